@@ -93,13 +93,14 @@ def resolve_items(queries: DataFrame, items: DataFrame, row: str, item: str = "i
 
 @dataclass
 class ItemIndex:
-    """The stored index: vocabulary, item vectors and the slim catalogue."""
+    """The stored index: vocabulary, item vectors and the slim catalogue.
+
+    ``row`` numbers the items, ``item`` is their id, which may repeat.
+    """
 
     vocabulary: DataFrame
     vectors: DataFrame
-    catalogue: DataFrame
-    row: str
-    item: str
+    items: DataFrame
     title: str | None
 
     @classmethod
@@ -110,43 +111,42 @@ class ItemIndex:
               min_df: int = 2, max_terms: int = 20_000, path: str | None = None) -> ItemIndex:
         """Fit the vocabulary, weigh every item and store the three tables.
 
-        ``row`` identifies and orders the item rows; it defaults to the id and is
-        only needed when ids repeat. ``path`` defaults to the shared folder.
+        ``row`` names a column that numbers the item rows; without it they are
+        numbered in reading order. ``path`` defaults to the shared folder.
         """
         spark = items.sparkSession
         path = path or work_path(spark, "index")
-        row = row or item
-        rows = items.where(F.col(item).isNotNull()).withColumn("_quality", quality(rating, popularity))
-        post = postings(rows, row, text, stop_words, keep=["_quality"]).persist(StorageLevel.MEMORY_AND_DISK)
+        wanted = dict.fromkeys([item, *([title] if title else []), *columns, text])
+        staged = items.where(F.col(item).isNotNull()).select(
+            (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
+            F.col(item).alias("item"), quality(rating, popularity).alias("quality"), *wanted)
+        # Written once: numbers the rows for good, and three passes read it.
+        staged.write.mode("overwrite").parquet(f"{path}/items")
+        rows = spark.read.schema(staged.schema).parquet(f"{path}/items")
+        keep = ["item", "quality"]
+        post = postings(rows, "row", text, stop_words, keep=keep).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             vocab = vocabulary(post, document_count(rows), min_df, max_terms)
             vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
             vocab = spark.read.schema(vocab.schema).parquet(f"{path}/vocabulary")
-            vecs = vectors(post, vocab, row, max_terms, keep=["_quality"])
-            (vecs.select(F.col(row).alias("row"), F.col("_quality").alias("quality"), "entries")
-             .write.mode("overwrite").parquet(f"{path}/vectors"))
+            vectors(post, vocab, "row", max_terms, keep=keep).write.mode("overwrite").parquet(f"{path}/vectors")
         finally:
             post.unpersist()
-        wanted = dict.fromkeys([row, item, *([title] if title else []), *columns])
-        rows.select(*wanted).write.mode("overwrite").parquet(f"{path}/catalogue")
-        return cls.load(spark, path, row=row, item=item, title=title)
+        return cls.load(spark, path, title=title)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, *, row: str = "id", item: str = "id",
-             title: str | None = "title") -> ItemIndex:
-        return cls(*[spark.read.parquet(f"{path}/{t}") for t in ("vocabulary", "vectors", "catalogue")],
-                   row, item, title)
+    def load(cls, spark: SparkSession, path: str, *, title: str | None = "title") -> ItemIndex:
+        return cls(*[spark.read.parquet(f"{path}/{t}") for t in ("vocabulary", "vectors", "items")], title)
 
     def resolve(self, queries: DataFrame) -> DataFrame:
         """H3 over the catalogue of this index."""
-        title = self.title or "_no_title"
-        items = self.catalogue if self.title else self.catalogue.withColumn(title, F.lit(None).cast("string"))
-        return resolve_items(queries, items, self.row, self.item, title)
+        title = F.col(self.title) if self.title else F.lit(None).cast("string")
+        return resolve_items(queries, self.items.select("row", "item", title.alias("title")), "row", "item")
 
     def _products(self, terms: DataFrame, small: bool) -> DataFrame:
-        """(query_id, row, quality, product) for every term a query and an item share."""
-        entries = (self.vectors.select("row", "quality", F.explode("entries").alias("e"))
-                   .select("row", "quality", "e.index", "e.weight"))
+        """(query_id, row, item, quality, product) for every term a query and an item share."""
+        entries = (self.vectors.select("row", "item", "quality", F.explode("entries").alias("e"))
+                   .select("row", "item", "quality", "e.index", "e.weight"))
         on = ["index"]
         if small:
             terms = F.broadcast(terms)
@@ -162,13 +162,13 @@ class ItemIndex:
                      .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts"))
             on = ["index", "part"]
         return entries.join(terms, on).select(
-            "query_id", "row", "quality", (F.col("weight") * F.col("query_weight")).alias("product"))
+            "query_id", "row", "item", "quality", (F.col("weight") * F.col("query_weight")).alias("product"))
 
     def scores(self, resolved: DataFrame, k: int, quality_boost: bool = True) -> DataFrame:
-        """H4: (query_id, row, rank, similarity, final) of the best ``k`` items per query.
+        """H4: (query_id, row, item, rank, similarity, final) of the best ``k`` items per query.
 
         ``resolved`` has (query_id, row). Exact for any number of queries. Scores
-        are ranked at nine decimals, ties by row, so that the order of summation
+        are ranked at nine decimals, ties by id, so that the order of summation
         cannot matter.
         """
         resolved = materialise(resolved.select("query_id", F.col("row").alias("own")), "queries")
@@ -183,23 +183,24 @@ class ItemIndex:
             .select("query_id", "e.index", F.col("e.weight").alias("query_weight")), "query-terms")
         products = self._products(terms, terms.count() <= BROADCAST_ROWS)
 
-        best = (self.vectors.select("row", "quality")
-                .orderBy(F.desc(F.round(base, RANK_PLACES)), "row").limit(k + 1)
-                .agg(F.collect_list(F.struct("row", "quality"))).scalar())
+        candidate = ["row", "item", "quality"]
+        best = (self.vectors.select(*candidate)
+                .orderBy(F.desc(F.round(base, RANK_PLACES)), "item", "row").limit(k + 1)
+                .agg(F.collect_list(F.struct(*candidate))).scalar())
         unseen = (resolved.select("query_id", F.explode(best).alias("b"))
-                  .select("query_id", "b.row", "b.quality", F.lit(0.0).alias("product")))
+                  .select("query_id", "b.*", F.lit(0.0).alias("product")))
         # The query's own item ranks behind all others, for catalogues of up to k items.
-        itself = (self.vectors.select("row", "quality").join(own, F.col("row") == F.col("own"))
-                  .select("query_id", "row", "quality", F.lit(0.0).alias("product")))
+        itself = (self.vectors.select(*candidate).join(own, F.col("row") == F.col("own"))
+                  .select("query_id", *candidate, F.lit(0.0).alias("product")))
 
-        total = F.sum("product")
         sims = (products.unionByName(unseen).unionByName(itself)
-                .groupBy("query_id", "row", "quality").agg(total.alias("similarity")))
-        sims = (sims.join(own, "query_id")
+                .groupBy("query_id", *candidate).agg(F.sum("product").alias("similarity"))
+                .join(own, "query_id")
                 .withColumn("similarity", F.when(F.col("row") == F.col("own"), -1.0).otherwise(F.col("similarity"))))
         final = F.col("similarity") * SIMILARITY_WEIGHT + base if quality_boost else F.col("similarity")
-        scored = sims.select("query_id", "row", "similarity", final.alias("final"))
-        return top_per_group(scored, ["query_id"], [F.desc(F.round("final", RANK_PLACES)), F.asc("row")], k)
+        scored = sims.select("query_id", "row", "item", "similarity", final.alias("final"))
+        order = [F.desc(F.round("final", RANK_PLACES)), F.asc("item"), F.asc("row")]
+        return top_per_group(scored, ["query_id"], order, k)
 
     def recommend(self, queries: DataFrame, k: int = 10, quality_boost: bool = True,
                   answer: dict[str, str] | None = None) -> DataFrame:
@@ -207,7 +208,7 @@ class ItemIndex:
         answer = ANSWER_COLUMNS if answer is None else answer
         resolved = materialise(self.resolve(queries).select("query_id", F.col("row").alias("own")), "queries")
         count = resolved.count()
-        best = self._scores(resolved, count, k, quality_boost).withColumnRenamed("row", self.row)
-        return (self.catalogue.join(_size_checked(best, count * k), self.row)
+        best = self._scores(resolved, count, k, quality_boost).drop("item")
+        return (self.items.join(_size_checked(best, count * k), "row")
                 .select("query_id", "rank", *[F.col(c).alias(a) for a, c in answer.items()],
                         rounded("similarity").alias("similarity_score"), rounded("final").alias("final_score")))
