@@ -73,12 +73,13 @@ def micro_ingest(spark: SparkSession, landing: str, bronze_dir: str, checkpoint:
     within the batch.
     """
     stream = landing_stream(spark, landing, schema, files_per_batch).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_place"))
+        "*", F.col("_metadata.file_path").alias("_file"))
 
     def write(batch: DataFrame, token: str) -> None:
         records = has_identity(batch)
         if skip_known:
-            records = keep_first(records, ["id"], F.struct("_file", "_place"))
+            placed = records.withColumn("_place", F.monotonically_increasing_id())
+            records = keep_first(placed, ["id"], F.struct("_file", "_place"))
             path = f"{bronze_dir}/movies_metadata"
             known = _others(batch.sparkSession, path, BRONZE["movies_metadata"], token, "id")
             if known is not None:
