@@ -1,14 +1,17 @@
 """Content-based top-k recommendation.
 
-The index holds one row per item with its weighted terms. A table of queries
-is resolved to items, the query vectors are joined to the index on the term,
-and the products are summed per (query, item). Items that share no term can
-still win on quality, so the best k+1 items by quality join every query's
-candidates; no other item without a shared term can reach the top k.
+The index holds one row per item with its weighted terms, bucketed by item. A
+table of queries is resolved to items, the query vectors are joined to the
+index on the term, and the products are summed per (query, item) inside each
+bucket; only the best k+1 items per query and task are shuffled. Items that
+share no term can still win on quality, so the best k+1 items by quality join
+every query's candidates; no other item without a shared term can reach the
+top k.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -48,6 +51,11 @@ def quality(rating: Column | str, popularity: Column | str) -> Column:
             + unit_clip(popularity, POPULARITY_SCALE) * POPULARITY_WEIGHT)
 
 
+def _table_name(path: str) -> str:
+    """Catalogue name of the bucketed vectors stored under ``path``."""
+    return f"lakeloom_vectors_{hashlib.md5(path.encode()).hexdigest()}"
+
+
 def _size_checked(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
@@ -64,20 +72,19 @@ def resolve_items(queries: DataFrame, items: DataFrame, row: str, item: str = "i
     """
     asked = queries.select("query_id", "query", title_key("query").alias("_text"),
                            is_id_query("query").alias("_by_id"))
-    rows = items.where(F.col(item).isNotNull())
+    rows = items.where(F.col(item).isNotNull()).select(
+        F.col(item).cast("bigint").alias("_id"), title_key(title).alias("_title"), F.col(row).alias("_row"))
     by_id = (asked.where("_by_id").select("query_id", F.col("query").try_cast("bigint").alias("_id"))
-             .join(rows.select(F.col(item).cast("bigint").alias("_id"), F.col(row).alias("_row")), "_id")
+             .join(rows.select("_id", "_row"), "_id")
              .groupBy("query_id").agg(F.max("_row").alias("row")))
 
-    titles = (rows.select(title_key(title).alias("_title"), F.col(row).alias("_row"))
-              .where(F.col("_title").isNotNull())
-              .groupBy("_title").agg(F.min("_row").alias("_first"), F.max("_row").alias("_last")))
+    titles = rows.select("_title", "_row").where(F.col("_title").isNotNull())
     named = asked.where("not _by_id").select("query_id", "_text")
-    exact = named.join(titles, named["_text"] == titles["_title"]).select("query_id", F.col("_last").alias("row"))
+    exact = _last_row(named.withColumnRenamed("_text", "_title"), titles)
 
     open_queries = named.join(exact.select("query_id"), "query_id", "left_anti")
     blank = open_queries.where("_text = ''").select(
-        "query_id", titles.agg(F.min_by("_last", "_first")).scalar().alias("row"))
+        "query_id", titles.agg(F.min_by("_title", "_row")).scalar().alias("_title"))
     probes = open_queries.where("_text <> ''").select(
         "query_id", "_text", F.substring("_text", 1, GRAM).alias("_gram"))
     length = F.length("_title")
@@ -87,8 +94,14 @@ def resolve_items(queries: DataFrame, items: DataFrame, row: str, item: str = "i
                               lambda i: F.substring(F.col("_title"), i, n)))))
     inside = (titles.select("*", F.explode(grams).alias("_gram"))
               .join(probes, "_gram").where(F.contains("_title", "_text"))
-              .groupBy("query_id").agg(F.min_by("_last", "_first").alias("row")))
-    return by_id.unionByName(exact).unionByName(blank.where("row is not null")).unionByName(inside)
+              .groupBy("query_id").agg(F.min_by("_title", "_row").alias("_title")))
+    partial = _last_row(blank.where(F.col("_title").isNotNull()).unionByName(inside), titles)
+    return by_id.unionByName(exact).unionByName(partial)
+
+
+def _last_row(wanted: DataFrame, titles: DataFrame) -> DataFrame:
+    """(query_id, row) of the last row with each (query_id, title) wanted."""
+    return wanted.join(titles, "_title").groupBy("query_id").agg(F.max("_row").alias("row"))
 
 
 @dataclass
@@ -108,11 +121,13 @@ class ItemIndex:
               title: str | None = "title", row: str | None = None,
               rating: str | Column = "vote_average", popularity: str | Column = "popularity",
               columns: Sequence[str] = INDEX_COLUMNS, stop_words: Sequence[str] = (),
-              min_df: int = 2, max_terms: int = 20_000, path: str | None = None) -> ItemIndex:
+              min_df: int = 2, max_terms: int = 20_000, path: str | None = None,
+              buckets: int | None = None) -> ItemIndex:
         """Fit the vocabulary, weigh every item and store the three tables.
 
         ``row`` names a column that numbers the item rows; without it they are
-        numbered in reading order. ``path`` defaults to the shared folder.
+        numbered in reading order. ``path`` defaults to the shared folder, and
+        ``buckets``, the number of tasks that score, to the shuffle partitions.
         """
         spark = items.sparkSession
         path = path or work_path(spark, "index")
@@ -124,19 +139,32 @@ class ItemIndex:
         staged.write.mode("overwrite").parquet(f"{path}/items")
         rows = spark.read.schema(staged.schema).parquet(f"{path}/items")
         keep = ["item", "quality"]
-        post = postings(rows, "row", text, stop_words, keep=keep).persist(StorageLevel.MEMORY_AND_DISK)
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        post = postings(rows, "row", text, stop_words, keep, buckets).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             vocab = vocabulary(post, document_count(rows), min_df, max_terms)
             vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
             vocab = spark.read.schema(vocab.schema).parquet(f"{path}/vocabulary")
-            vectors(post, vocab, "row", max_terms, keep=keep).write.mode("overwrite").parquet(f"{path}/vectors")
+            # One task per bucket already, so this is one file per bucket.
+            (vectors(post, vocab, "row", max_terms, keep).write.mode("overwrite").format("parquet")
+             .bucketBy(buckets, "row").option("path", f"{path}/vectors").saveAsTable(_table_name(path)))
         finally:
             post.unpersist()
-        return cls.load(spark, path, title=title)
+        meta = spark.createDataFrame([(buckets, title)], "buckets int, title string")
+        meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+        return cls.load(spark, path)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, *, title: str | None = "title") -> ItemIndex:
-        return cls(*[spark.read.parquet(f"{path}/{t}") for t in ("vocabulary", "vectors", "items")], title)
+    def load(cls, spark: SparkSession, path: str) -> ItemIndex:
+        """Open a stored index; the bucketed table is declared in the session catalogue if it is new there."""
+        meta = spark.read.schema("buckets int, title string").json(f"{path}/meta").first()
+        name = _table_name(path)
+        if not spark.catalog.tableExists(name):
+            columns = spark.read.parquet(f"{path}/vectors").schema
+            spark.sql(f"CREATE TABLE {name} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns)}) "
+                      f"USING parquet CLUSTERED BY (row) INTO {meta.buckets} BUCKETS LOCATION '{path}/vectors'")
+        return cls(spark.read.parquet(f"{path}/vocabulary"), spark.table(name), spark.read.parquet(f"{path}/items"),
+                   meta.title)
 
     def resolve(self, queries: DataFrame) -> DataFrame:
         """H3 over the catalogue of this index."""
@@ -188,19 +216,28 @@ class ItemIndex:
                 .orderBy(F.desc(F.round(base, RANK_PLACES)), "item", "row").limit(k + 1)
                 .agg(F.collect_list(F.struct(*candidate))).scalar())
         unseen = (resolved.select("query_id", F.explode(best).alias("b"))
-                  .select("query_id", "b.*", F.lit(0.0).alias("product")))
+                  .select("query_id", "b.*", F.lit(0.0).alias("similarity")))
         # The query's own item ranks behind all others, for catalogues of up to k items.
         itself = (self.vectors.select(*candidate).join(own, F.col("row") == F.col("own"))
-                  .select("query_id", *candidate, F.lit(0.0).alias("product")))
-
-        sims = (products.unionByName(unseen).unionByName(itself)
-                .groupBy("query_id", *candidate).agg(F.sum("product").alias("similarity"))
-                .join(own, "query_id")
-                .withColumn("similarity", F.when(F.col("row") == F.col("own"), -1.0).otherwise(F.col("similarity"))))
-        final = F.col("similarity") * SIMILARITY_WEIGHT + base if quality_boost else F.col("similarity")
-        scored = sims.select("query_id", "row", "item", "similarity", final.alias("final"))
-        order = [F.desc(F.round("final", RANK_PLACES)), F.asc("item"), F.asc("row")]
-        return top_per_group(scored, ["query_id"], order, k)
+                  .select("query_id", *candidate, F.lit(0.0).alias("similarity")))
+
+        def final(similarity: str) -> Column:
+            return F.col(similarity) * SIMILARITY_WEIGHT + base if quality_boost else F.col(similarity)
+
+        def best_of(scored: DataFrame, n: int) -> DataFrame:
+            order = [F.desc(F.round("final", RANK_PLACES)), F.asc("item"), F.asc("row")]
+            return top_per_group(scored.withColumn("final", final("similarity")), ["query_id"], order, n)
+
+        # The query's own item may take one place here, hence k+1. The sums of
+        # an item are complete within its bucket.
+        sims = products.groupBy("query_id", *candidate).agg(F.sum("product").alias("similarity"))
+        similar = best_of(sims, k + 1).drop("rank", "final")
+        # At most 2k+3 candidates per query from here on; similarity is never negative.
+        shortlist = (similar.unionByName(unseen).unionByName(itself)
+                     .groupBy("query_id", *candidate).agg(F.max("similarity").alias("similarity"))
+                     .join(own, "query_id")
+                     .withColumn("similarity", F.when(F.col("row") == F.col("own"), -1.0).otherwise(F.col("similarity"))))
+        return best_of(shortlist, k).select("query_id", "row", "item", "rank", "similarity", "final")
 
     def recommend(self, queries: DataFrame, k: int = 10, quality_boost: bool = True,
                   answer: dict[str, str] | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from lakeloom.functions.text import word_count
 from lakeloom.operators.metrics import classification_metrics, confusion, roc_auc
 from lakeloom.operators.tfidf import document_count, postings, raw_weight, vectors, vocabulary, with_vocabulary
-from lakeloom.session import work_path
+from lakeloom.session import materialise, work_path
 
 # Least words of a review, share of test rows, vocabulary and solver limits.
 MIN_WORDS = 10
@@ -73,13 +73,13 @@ def split_key(key: Column | str, seed: int = SEED) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f"-{seed}")))
 
 
-def stratified_split(df: DataFrame, key: str, label: str, test_share: float = TEST_SHARE,
-                     seed: int = SEED) -> DataFrame:
-    """H7: ``df`` plus ``is_test``, exact counts per class, the same rows on every run.
+def split_limits(df: DataFrame, key: str, label: str, test_share: float = TEST_SHARE,
+                 seed: int = SEED) -> DataFrame:
+    """(_label, _limit): per class the highest hash that is still a test row.
 
     The test rows of a class are those with the lowest hash. Counts per hash
     prefix find the prefix in which the last test row falls; only the rows of
-    that one prefix are ranked, which yields the limit hash of the class.
+    that one prefix are ranked.
     """
     hashed = df.select(label, split_key(key, seed).alias("hash"))
     prefix = F.substring("hash", 1, PREFIX_DIGITS)
@@ -93,8 +93,15 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = TE
              .select("_label", "_prefix", (F.col("test") - F.col("_before")).alias("_take")))
     in_edge = hashed.join(F.broadcast(edges), (F.col(label) == F.col("_label")) & (prefix == F.col("_prefix")))
     place = F.row_number().over(W.partitionBy("_label").orderBy("hash"))
-    limits = (in_edge.withColumn("_place", place).where(F.col("_place") == F.col("_take"))
-              .select("_label", F.col("hash").alias("_limit")))
+    return (in_edge.withColumn("_place", place).where(F.col("_place") == F.col("_take"))
+            .select("_label", F.col("hash").alias("_limit")))
+
+
+def stratified_split(df: DataFrame, key: str, label: str, test_share: float = TEST_SHARE, seed: int = SEED,
+                     limits: DataFrame | None = None) -> DataFrame:
+    """H7: ``df`` plus ``is_test``, exact counts per class, the same rows on every run."""
+    limits = split_limits(df, key, label, test_share, seed) if limits is None else limits
+    # One row per class.
     return (df.join(F.broadcast(limits), F.col(label) == F.col("_label"), "left")
             .withColumn("is_test", F.coalesce(split_key(key, seed) <= F.col("_limit"), F.lit(False)))
             .drop("_label", "_limit"))
@@ -200,12 +207,12 @@ def evaluation_report(scored: DataFrame, actual: str, train_rows: Column | int)
 def train_and_evaluate(reviews: DataFrame, *, key: str, text: str, label: str, stop_words: Sequence[str] = (),
                        path: str | None = None, **fit) -> tuple[SentimentModel, DataFrame]:
     """Filter, split, fit on the training part, report on the test part."""
-    usable = stratified_split(usable_reviews(reviews, text), key, label)
-    # Written once: the training part, the test part and the report all read it.
     path = path or work_path(reviews.sparkSession, "sentiment")
-    usable.select(key, text, F.col(label).cast("int").alias("actual"), "is_test").write.mode(
-        "overwrite").parquet(f"{path}/split")
-    rows = reviews.sparkSession.read.parquet(f"{path}/split")
+    usable = usable_reviews(reviews, text).select(key, text, F.col(label).cast("int").alias("actual"))
+    # Written once: the split, the training part, the test part and the report all read it.
+    usable.write.mode("overwrite").parquet(f"{path}/reviews")
+    usable = reviews.sparkSession.read.schema(usable.schema).parquet(f"{path}/reviews")
+    rows = stratified_split(usable, key, "actual", limits=materialise(split_limits(usable, key, "actual"), "split"))
     train, test = rows.where("not is_test"), rows.where("is_test")
     model = SentimentModel.fit(train, key=key, text=text, label="actual", stop_words=stop_words, path=path, **fit)
     scored = model.score(test, key, text, keep=["actual"])

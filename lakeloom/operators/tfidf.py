@@ -21,12 +21,13 @@ BROADCAST_TERMS = 1_000_000
 
 
 def postings(docs: DataFrame, key: str, text: str, stop_words: Sequence[str] = (),
-             keep: Sequence[str] = ()) -> DataFrame:
+             keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """(key, *keep, term, tf): how often each term occurs in each document.
 
     ``key`` is unique. A document without terms keeps one row with a NULL term.
     """
-    spread = docs.select(key, *keep, text).repartition(key)
+    narrow = docs.select(key, *keep, text)
+    spread = narrow.repartition(partitions, key) if partitions else narrow.repartition(key)
     return (spread.select(key, *keep, F.explode_outer(terms(text, stop_words)).alias("term"))
             .groupBy(key, *keep, "term").agg(F.count("*").alias("tf")))
 

@@ -117,7 +117,7 @@ def gold_features(movies: DataFrame, credits: DataFrame, keywords: DataFrame,
 def land(tables: dict[str, DataFrame], bronze_dir: str) -> None:
     """Append shaped records to the Bronze tables."""
     for name, rows in tables.items():
-        append_batch(rows, f"{bronze_dir}/{name}")
+        append_batch(rows, f"{bronze_dir}/{name}", key="id" if name == "movies_metadata" else None)
 
 
 def read_bronze(spark: SparkSession, bronze_dir: str, na_tokens: bool = True) -> dict[str, DataFrame | None]:

@@ -38,7 +38,7 @@ def file_order() -> Column:
                     path.alias("file"), F.monotonically_increasing_id().alias("place"))
 
 
-def read_text_table(spark: SparkSession, path: str, columns: Sequence[str], na_tokens: bool = True,
+def read_text_table(spark: SparkSession, path: str | list[str], columns: Sequence[str], na_tokens: bool = True,
                     multi_line: bool = True, keep_order: bool = False) -> DataFrame:
     """Header CSV whose cells are all text.
 

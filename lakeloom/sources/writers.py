@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lakeloom.sources.readers import read_parquet
+from lakeloom.sources.readers import read_parquet, read_text_table
+
+LEDGER = "_keys"
 
-ROWS_PER_TEXT_FILE = 1_000_000
+# A file with line breaks inside cells is read by one task.
+ROWS_PER_TEXT_FILE = 50_000
 
 
 class SchemaMismatch(ValueError):
@@ -50,13 +54,14 @@ def header_of(spark: SparkSession, path: str) -> list[str] | None:
     return first.columns or None
 
 
-def append_batch(df: DataFrame, path: str, token: str | None = None) -> str:
+def append_batch(df: DataFrame, path: str, token: str | None = None, key: str | None = None) -> str:
     """Append rows to a text table as one more batch folder.
 
     The header of the table must equal the columns of ``df`` in order. Batch
     folders are numbered, so folder order is append order. A ``token`` names
     the batch: writing the same token again replaces that batch, which makes a
-    replayed streaming batch harmless.
+    replayed streaming batch harmless. ``key`` also notes the keys of the batch
+    in a Parquet ledger beside the table, for ``known_keys``.
     """
     spark = df.sparkSession
     known = header_of(spark, path)
@@ -71,9 +76,30 @@ def append_batch(df: DataFrame, path: str, token: str | None = None) -> str:
         last = int(batches[-1].split("-")[1]) if batches else 0
         name = f"batch-{last + 1:010d}{suffix}"
     _text_writer(df, "overwrite").csv(f"{path}/{name}")
+    if key:
+        # After the rows: a crash in between leaves rows to deduplicate, not keys without rows.
+        batch = read_text_table(spark, f"{path}/{name}", df.columns, na_tokens=False)
+        batch.select(key).write.mode("overwrite").parquet(f"{path}{LEDGER}/{name}")
     return name
 
 
+def known_keys(spark: SparkSession, path: str, columns: list[str], key: str,
+               without: str | None = None) -> DataFrame | None:
+    """Keys a text table holds, apart from the batch with token ``without``.
+
+    Reads the narrow ledger of each batch, and the text only of batches that
+    have none.
+    """
+    noted = set(_batches(spark, path + LEDGER))
+    parts = []
+    kept = [b for b in _batches(spark, path) if without is None or b.split("-", 2)[2:] != [without]]
+    if ledgers := [f"{path}{LEDGER}/{b}" for b in kept if b in noted]:
+        parts.append(spark.read.schema(f"`{key}` string").parquet(*ledgers))
+    if texts := [f"{path}/{b}" for b in kept if b not in noted]:
+        parts.append(read_text_table(spark, texts, columns, na_tokens=False).select(key))
+    return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
+
+
 def write_manifest(manifest: DataFrame, path: str) -> None:
     """A bounded audit table as one JSON file."""
     manifest.coalesce(1).write.mode("overwrite").json(path)

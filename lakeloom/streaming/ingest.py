@@ -12,9 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeloom.operators.relational import exclude_existing, keep_first
 from lakeloom.operators.shaping import has_identity, metadata_rows, review_rows
-from lakeloom.sources.readers import optional, read_text_table
 from lakeloom.sources.schemas import BRONZE, LANDING
-from lakeloom.sources.writers import append_batch
+from lakeloom.sources.writers import append_batch, known_keys
 
 ON_DEMAND_REVIEW_LENGTH = 20
 
@@ -52,16 +51,10 @@ def start_append(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame,
             .trigger(availableNow=True).start())
 
 
-def _others(spark: SparkSession, path: str, columns: list[str], token: str, key: str) -> DataFrame | None:
-    """Keys already in a text table, apart from an earlier attempt of the same batch."""
-    table = optional(read_text_table, spark, path, columns, na_tokens=False, keep_order=True)
-    return None if table is None else table.where(~F.col("_order.folder").endswith(f"-{token}")).select(key)
-
-
 def append_new(batch: DataFrame, path: str, key: str, token: str) -> None:
     """Append the rows whose key the text table lacks; the same token again changes nothing."""
-    known = _others(batch.sparkSession, path, batch.columns, token, key)
-    append_batch(batch if known is None else exclude_existing(batch, known, [key]), path, token)
+    known = known_keys(batch.sparkSession, path, batch.columns, key, without=token)
+    append_batch(batch if known is None else exclude_existing(batch, known, [key]), path, token, key)
 
 
 def micro_ingest(spark: SparkSession, landing: str, bronze_dir: str, checkpoint: str,
@@ -81,7 +74,7 @@ def micro_ingest(spark: SparkSession, landing: str, bronze_dir: str, checkpoint:
             placed = records.withColumn("_place", F.monotonically_increasing_id())
             records = keep_first(placed, ["id"], F.struct("_file", "_place"))
             path = f"{bronze_dir}/movies_metadata"
-            known = _others(batch.sparkSession, path, BRONZE["movies_metadata"], token, "id")
+            known = known_keys(batch.sparkSession, path, BRONZE["movies_metadata"], "id", without=token)
             if known is not None:
                 records = exclude_existing(records, known.select(F.col("id").try_cast("bigint").alias("id")), ["id"])
         records = records.persist()
@@ -89,7 +82,7 @@ def micro_ingest(spark: SparkSession, landing: str, bronze_dir: str, checkpoint:
             # The metadata decide what counts as known, so they are written last.
             reviews = review_rows(records, longer_than=ON_DEMAND_REVIEW_LENGTH, flatten_first=True)
             append_batch(reviews, f"{bronze_dir}/reviews", token)
-            append_batch(metadata_rows(records), f"{bronze_dir}/movies_metadata", token)
+            append_batch(metadata_rows(records), f"{bronze_dir}/movies_metadata", token, key="id")
         finally:
             records.unpersist()
 

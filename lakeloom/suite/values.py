@@ -9,6 +9,7 @@ from lakeloom.functions import nested as N
 from lakeloom.functions import score
 from lakeloom.functions import text as X
 from lakeloom.operators import shaping as R
+from lakeloom.operators.relational import top_per_group
 from lakeloom.suite.common import STOP_WORDS, sql_collapse, sql_strip, sql_terms, sql_words, table
 
 
@@ -116,30 +117,30 @@ JSON_SCALAR = """
 SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, json_extract(props, '$.missing')::BIGINT AS missing FROM events"""
 
 
-def _documents_as_records(spark, sf):
-    """Documents as detail records whose reviews are the lines of the text."""
-    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    rating = F.col("quality").cast("double") * 5
-    lines = F.transform(F.split("text", "\n"), lambda line: F.struct(
-        F.lit(None).cast("string").alias("id"), line.alias("content"),
-        F.struct(rating.alias("rating")).alias("author_details")))
-    return docs.select(F.col("doc_id").alias("id"), F.lit("").alias("title"), F.col("source").alias("name"),
-                       F.struct(lines.alias("results")).alias("reviews"))
+def _conversation_records(spark, sf):
+    """Conversations as detail records whose reviews are the turns, of which the operator takes three."""
+    turns = table(spark, sf, "conversations")
+    first = top_per_group(turns, ["conv_id"], [F.asc("turn")], R.REVIEW_LIMIT + 1)
+    review = F.struct("turn", F.when(F.col("turn") != 1, F.concat_ws("-", "conv_id", "turn")).alias("id"),
+                      F.concat(F.lit(" \n"), F.col("text"), F.lit("\r\n ")).alias("content"),
+                      F.struct((F.col("turn") * 5.0).alias("rating")).alias("author_details"))
+    # At most four turns per conversation are left.
+    listed = first.groupBy("conv_id").agg(F.array_sort(F.collect_list(review)).alias("results"))
+    return listed.select(F.col("conv_id").alias("id"), F.lit("").alias("title"),
+                         F.concat(F.lit("talk "), "conv_id").alias("name"), F.struct("results").alias("reviews"))
 
 
 def nested_slice(spark, sf):
-    rows = R.review_rows(_documents_as_records(spark, sf))
-    return rows.withColumn("review_text", F.md5("review_text"))
+    return R.review_rows(_conversation_records(spark, sf), longer_than=60)
 
 
 NESTED_SLICE = f"""
-WITH l AS (SELECT d.doc_id, source, quality, unnest(string_split(text, chr(10))[1:3]) AS line
-  FROM documents d LEFT JOIN labels b ON d.doc_id = b.doc_id),
-s AS (SELECT *, {sql_strip('line')} AS body, CASE WHEN quality = 1 THEN 5.0 ELSE 7.0 END AS r FROM l)
-SELECT 'r_' || doc_id AS review_id, doc_id::VARCHAR AS "movieId", source AS movie_title,
-  md5(replace(body, chr(13), '')) AS review_text, CASE WHEN r >= 6 THEN 'positive' ELSE 'negative' END AS sentiment,
-  CASE WHEN r = 5.0 THEN '5.0' ELSE '7.0' END AS rating
-FROM s WHERE length(body) > 30"""
+WITH t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn, {sql_strip('text')} AS body FROM conversations)
+SELECT CASE WHEN turn <> 1 THEN conv_id || '-' || turn ELSE 'r_' || conv_id END AS review_id, conv_id::VARCHAR AS "movieId",
+  'talk ' || conv_id AS movie_title, replace(replace(body, chr(10), ' '), chr(13), '') AS review_text,
+  CASE WHEN turn = 1 THEN 'negative' ELSE 'positive' END AS sentiment,
+  CASE WHEN turn = 0 THEN '7.0' ELSE (turn * 5.0)::DOUBLE::VARCHAR END AS rating
+FROM t WHERE rn <= 3 AND length(body) > 60"""
 
 
 def _customer_records(spark, sf):
