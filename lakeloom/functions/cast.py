@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lakeloom.functions.common import as_column
+
 # Decimal text, optionally signed, with an exponent, or infinity. It shuts out
 # the forms Spark's own cast takes but a text file should not mean (12d, 0x1A).
 NUMBER_PATTERN = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
@@ -12,13 +14,9 @@ WHOLE_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 DATE_FORMAT = "yyyy-M-d"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def lenient_double(c: Column | str, default: float | None = None) -> Column:
     """Number from text; anything else is NULL, or ``default`` if given."""
-    c = _col(c)
+    c = as_column(c)
     value = F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
     return value if default is None else F.coalesce(value, F.lit(float(default)))
 
@@ -36,7 +34,7 @@ def lenient_id(c: Column | str, on_fraction: str = "raise") -> Column:
     makes it NULL instead. Whole-number text never passes through a double, so
     ids above 2**53 stay exact.
     """
-    c = _col(c)
+    c = as_column(c)
     number = lenient_double(c)
     whole = number.try_cast("bigint")
     otherwise = F.lit(None).cast("bigint")
@@ -52,7 +50,7 @@ def lenient_id(c: Column | str, on_fraction: str = "raise") -> Column:
 
 def parse_date(c: Column | str) -> Column:
     """X4 as a DATE: ISO order, one- or two-digit month and day, else NULL."""
-    return F.try_to_date(_col(c), DATE_FORMAT)
+    return F.try_to_date(as_column(c), DATE_FORMAT)
 
 
 def iso_date(c: Column | str) -> Column:

@@ -11,9 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from lakeloom.functions.common import as_column, let
 
 
 def _type(v: Column) -> Column:
@@ -34,51 +32,60 @@ def _is_empty_value(v: Column) -> Column:
         F.lit(True))
 
 
+def _name(v: Column) -> Column:
+    """(used, text) of the name of one object; a used name without text is not a text."""
+    return let(F.try_variant_get(v, "$.name", "variant"), lambda n: let(
+        F.when(_type(n) == "STRING", F.variant_get(n, "$", "string")),
+        lambda text: F.struct(F.coalesce(text != "", ~_is_empty_value(n)).alias("used"), text.alias("text"))))
+
+
 def _joined_names(objects: Column, unique: bool) -> Column:
-    names = F.transform(objects, lambda v: F.try_variant_get(v, "$.name", "variant"))
-    used = F.filter(names, lambda n: ~F.when(_type(n) == "STRING", F.variant_get(n, "$", "string") == "")
-                    .otherwise(_is_empty_value(n)))
-    text = F.transform(used, lambda n: F.when(_type(n) == "STRING", F.variant_get(n, "$", "string")))
-    # A used name that is no text makes the whole cell unusable.
-    broken = F.exists(text, lambda s: s.isNull())
-    values = F.array_distinct(text) if unique else text
-    return F.coalesce(F.when(~broken, F.array_join(values, ", ")), F.lit(""))
+    def join(used: Column) -> Column:
+        text = F.transform(used, lambda n: n["text"])
+        joined = F.array_join(F.array_distinct(text) if unique else text, ", ")
+        # A used name that is no text makes the whole cell unusable.
+        return F.when(F.exists(used, lambda n: n["text"].isNull()), "").otherwise(joined)
+
+    used = F.filter(F.transform(objects, _name), lambda n: n["used"])
+    return F.coalesce(let(used, join), F.lit(""))
 
 
 def json_names(c: Column | str) -> Column:
     """X11: names of the objects in a JSON list, comma-joined; anything else is ''."""
-    return _joined_names(_objects(_col(c)), unique=False)
+    return _joined_names(_objects(as_column(c)), unique=False)
 
 
 def json_names_by_role(c: Column | str, jobs: Sequence[str]) -> Column:
     """X12+D3: distinct names, in list order, of the objects whose job is one of ``jobs``."""
-    objects = _objects(_col(c))
+    def member(v: Column) -> Column:
+        return let(F.try_variant_get(v, "$.job", "variant"), lambda job: F.struct(
+            F.coalesce(F.when(_type(job) == "STRING", F.variant_get(job, "$", "string").isin(*jobs)),
+                       F.lit(False)).alias("wanted"),
+            # A job that is itself a list or an object makes the whole cell unusable.
+            F.coalesce(_type(job).rlike("^(OBJECT|ARRAY)"), F.lit(False)).alias("nested"), v.alias("object")))
 
-    def job(v):
-        return F.try_variant_get(v, "$.job", "variant")
+    def join(members: Column) -> Column:
+        wanted = F.transform(F.filter(members, lambda m: m["wanted"]), lambda m: m["object"])
+        return F.when(F.exists(members, lambda m: m["nested"]), "").otherwise(_joined_names(wanted, unique=True))
 
-    wanted = F.filter(objects, lambda v: F.coalesce(
-        (_type(job(v)) == "STRING") & F.variant_get(job(v), "$", "string").isin(*jobs), F.lit(False)))
-    nested_job = F.exists(objects, lambda v: F.coalesce(
-        _type(job(v)).startswith("OBJECT") | _type(job(v)).startswith("ARRAY"), F.lit(False)))
-    return F.when(F.coalesce(nested_job, F.lit(False)), "").otherwise(_joined_names(wanted, unique=True))
+    return F.coalesce(let(F.transform(_objects(as_column(c)), member), join), F.lit(""))
 
 
 def json_scalar(c: Column | str, path: str, kind: str) -> Column:
     """One typed value at ``path`` of a JSON text, NULL when absent or of another type."""
-    return F.try_variant_get(F.try_parse_json(_col(c)), path, kind)
+    return F.try_variant_get(F.try_parse_json(as_column(c)), path, kind)
 
 
 def first_n(c: Column | str, n: int) -> Column:
     """the first ``n`` items of a list; a NULL list is empty."""
-    return F.slice(F.coalesce(_col(c), F.array()), 1, n)
+    return F.slice(F.coalesce(as_column(c), F.array()), 1, n)
 
 
 def as_json(c: Column | str) -> Column:
     """JSON text of a list, ``[]`` for NULL."""
-    return F.coalesce(F.to_json(_col(c)), F.lit("[]"))
+    return F.coalesce(F.to_json(as_column(c)), F.lit("[]"))
 
 
 def first_text(*candidates: Column | str) -> Column:
     """The first text that is neither NULL nor empty, else ''."""
-    return F.coalesce(*[F.nullif(_col(c), F.lit("")) for c in candidates], F.lit(""))
+    return F.coalesce(*[F.nullif(as_column(c), F.lit("")) for c in candidates], F.lit(""))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lakeloom.functions.common import as_column
+
 # Fixed values of the ranking formula and the label rule.
 SIMILARITY_WEIGHT = 0.80
 RATING_WEIGHT = 0.15
@@ -15,33 +17,29 @@ POSITIVE_FROM = 6.0
 DEFAULT_RATING = 7.0
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def sentiment_label(rating: Column | str, threshold: float = POSITIVE_FROM) -> Column:
     """X14: 'positive' from ``threshold`` up."""
-    return F.when(_col(rating) >= threshold, "positive").otherwise("negative")
+    return F.when(as_column(rating) >= threshold, "positive").otherwise("negative")
 
 
 def label_value(label: Column | str) -> Column:
     """1 for 'positive', 0 for anything else."""
-    return F.when(_col(label) == "positive", 1).otherwise(0)
+    return F.when(as_column(label) == "positive", 1).otherwise(0)
 
 
 def unit_clip(c: Column | str, scale: float) -> Column:
     """Divide by ``scale`` and keep within [0, 1]; NULL counts 0."""
-    share = F.coalesce(_col(c).cast("double"), F.lit(0.0)) / F.lit(scale)
+    share = F.coalesce(as_column(c).cast("double"), F.lit(0.0)) / F.lit(scale)
     return F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0))
 
 
 def blend(similarity: Column | str, rating: Column | str, popularity: Column | str) -> Column:
     """Similarity, rating and popularity in fixed shares."""
-    return (_col(similarity) * SIMILARITY_WEIGHT
+    return (as_column(similarity) * SIMILARITY_WEIGHT
             + unit_clip(rating, RATING_SCALE) * RATING_WEIGHT
             + unit_clip(popularity, POPULARITY_SCALE) * POPULARITY_WEIGHT)
 
 
 def rounded(c: Column | str, places: int = 4) -> Column:
     """Round half to even."""
-    return F.bround(_col(c), places)
+    return F.bround(as_column(c), places)

@@ -7,33 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.common import as_column
 from lakeloom.functions.nested import first_text
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def year_in_range(date: Column | str, start: int, end: int) -> Column:
     """P5: false only when the first four characters are a year outside the range."""
-    date = F.coalesce(_col(date), F.lit(""))
+    date = F.coalesce(as_column(date), F.lit(""))
     year = F.substring(date, 1, 4).try_cast("int")
     return (F.length(date) < 4) | F.coalesce(year.between(start, end), F.lit(True))
 
 
 def is_presentable(poster: Column | str, overview: Column | str, min_length: int = 20) -> Column:
     """Has a poster and an overview of at least ``min_length`` characters."""
-    return ((F.coalesce(_col(poster), F.lit("")) != "")
-            & (F.length(F.coalesce(_col(overview), F.lit(""))) >= min_length))
+    return ((F.coalesce(as_column(poster), F.lit("")) != "")
+            & (F.length(F.coalesce(as_column(overview), F.lit(""))) >= min_length))
 
 
 def meets_threshold(language: Column | str, length: Column | str, votes: Column | str,
                     home_language: str = "en", home: tuple[float, float] = (40, 500),
                     other: tuple[float, float] = (30, 5)) -> Column:
     """Long enough or voted on enough, with one (length, votes) pair for the home language."""
-    length = F.coalesce(_col(length), F.lit(0))
-    votes = F.coalesce(_col(votes), F.lit(0))
-    at_home = F.coalesce(_col(language), F.lit(home_language)) == home_language
+    length = F.coalesce(as_column(length), F.lit(0))
+    votes = F.coalesce(as_column(votes), F.lit(0))
+    at_home = F.coalesce(as_column(language), F.lit(home_language)) == home_language
     return (F.when(at_home, (length >= home[0]) | (votes >= home[1]))
             .otherwise((length >= other[0]) | (votes >= other[1])))
 
