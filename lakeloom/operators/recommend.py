@@ -131,18 +131,21 @@ class ItemIndex:
         """
         spark = items.sparkSession
         path = path or work_path(spark, "index")
-        wanted = dict.fromkeys([item, *([title] if title else []), *columns, text])
-        staged = items.where(F.col(item).isNotNull()).select(
+        wanted = dict.fromkeys([item, *([title] if title else []), *columns])
+        base = items.where(F.col(item).isNotNull()).select(
             (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
-            F.col(item).alias("item"), quality(rating, popularity).alias("quality"), *wanted)
-        # Written once: numbers the rows for good, and three passes read it.
-        staged.write.mode("overwrite").parquet(f"{path}/items")
-        rows = spark.read.schema(staged.schema).parquet(f"{path}/items")
+            F.col(item).alias("item"), quality(rating, popularity).alias("quality"), *wanted,
+            F.col(text).alias("_text"))
+        # Row numbers made here hold only for what is written, so the text is written with them.
+        stored = base.drop("_text") if row else base
+        stored.write.mode("overwrite").parquet(f"{path}/items")
+        stored = spark.read.schema(stored.schema).parquet(f"{path}/items")
+        rows = base if row else stored
         keep = ["item", "quality"]
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        post = postings(rows, "row", text, stop_words, keep, buckets).persist(StorageLevel.MEMORY_AND_DISK)
+        post = postings(rows, "row", "_text", stop_words, keep, buckets).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            vocab = vocabulary(post, document_count(rows), min_df, max_terms)
+            vocab = vocabulary(post, document_count(stored), min_df, max_terms)
             vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
             vocab = spark.read.schema(vocab.schema).parquet(f"{path}/vocabulary")
             # One task per bucket already, so this is one file per bucket.

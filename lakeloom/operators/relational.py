@@ -119,9 +119,8 @@ def resolve_tags(queries: DataFrame, query: str, candidates: DataFrame, items: D
     carry, the earlier candidate on a tie. Queries without any tag are NULL.
     """
     shortlist = top_per_group(candidates, [query], [F.asc("position")], candidate_limit, "_place")
-    wanted = shortlist.select("tag").distinct()
+    # Counted before the join, so a tag on very many items is one row per task.
     coverage = (items.select(F.explode(F.array_distinct(tags)).alias("tag"))
-                .join(wanted, "tag", "left_semi")
                 .groupBy("tag").agg(F.count("*").alias("items")))
     best = (shortlist.join(coverage, "tag", "left")
             .groupBy(query)

@@ -3,8 +3,9 @@
 Ten stages claim items in priority order, each stage through one or more keys.
 An item belongs to the first stage that may take it, except that a region
 takes only its quota and leaves the rest to later stages. All of that is one
-pass: every item lists the keys it matches, one aggregate per item picks the
-stage, and only the quota winners (a bounded set) are joined back.
+pass: every row lists the keys it matches and keeps the first one before, in
+and after the region stage, one aggregate merges the rows of an id, and only
+the quota winners (a bounded set) are joined back.
 """
 
 from __future__ import annotations
@@ -82,49 +83,59 @@ def stage_keys(start: int, end: int, genres: Sequence[str] | None = None,
 def acquire(listing: DataFrame, target: int, *, existing: DataFrame | None = None,
             groups: Sequence[str] | None = None, start: int = P.YEARS[0], end: int = P.YEARS[1],
             genres: Sequence[str] | None = None, keywords: dict[str, int] | None = None,
-            languages: Sequence[str] | None = None, per_key_limit: int | None = None) -> DataFrame:
-    """Choose up to ``target`` new ids: (id, stage, key, position) in priority order.
-
-    ``listing`` has one row per id with the landing columns plus ``genre_ids``,
-    ``keyword_ids`` and ``trending_rank``. ``per_key_limit`` reads only the first
-    rows of every key's listing. ``position`` is the place in the result.
+            languages: Sequence[str] | None = None, per_key_limit: int | None = None,
+            by: Sequence[str] = ("id",)) -> DataFrame:
+    """Choose up to ``target`` new items: (*by, stage, key, position) in priority order.
+
+    ``listing`` has the landing columns plus ``genre_ids``, ``keyword_ids`` and
+    ``trending_rank``. ``per_key_limit`` reads only the first rows of every
+    key's listing. ``position`` is the place in the result. Movies and series
+    share their ids unless ``by`` is ("media_type", "id").
     """
     stages = [s for g in (groups or GROUPS) for s in GROUPS[g]]
     keys = [k for k in stage_keys(start, end, genres, keywords, languages) if k.stage in stages]
+    by = list(by)
+    # Ordered by key, then best first within a key.
     matches = F.array(*[
-        F.when(k.member, F.struct(F.lit(k.stage).alias("stage"), F.lit(n).alias("key_no"),
-                                  F.lit(k.name).alias("key"), k.sort.cast("double").alias("sort")))
+        F.when(k.member, F.struct(F.lit(n).alias("key_no"), (-k.sort.cast("double")).alias("after_best")))
         for n, k in enumerate(keys)])
-    claims = listing.select(
-        "id", is_acceptable(start, end).alias("accepted"),
-        F.explode(F.filter(matches, lambda m: m.isNotNull())).alias("m")).select("id", "accepted", "m.*")
-    if per_key_limit is not None:
-        claims = top_per_group(claims, ["key_no"], [F.desc("sort"), F.asc("id")], per_key_limit, "_place").drop("_place")
-    claims = claims.where("accepted")
+    first_region = sum(k.stage < REGION_STAGE for k in keys)
+    region_keys = sum(k.stage == REGION_STAGE for k in keys)
+    zones = {"before": lambda m: m["key_no"] < first_region,
+             "region": lambda m: m["key_no"].between(first_region, first_region + region_keys - 1),
+             "after": lambda m: m["key_no"] >= first_region + region_keys}
+    rows = listing.select(*by, is_acceptable(start, end).alias("accepted"),
+                          F.filter(matches, lambda m: m.isNotNull()).alias("m"))
+    if per_key_limit is None:
+        rows = rows.where("accepted").select(*by, *[
+            F.try_element_at(F.filter("m", zone), F.lit(1)).alias(z) for z, zone in zones.items()])
+    else:
+        claims = rows.select(*by, "accepted", F.explode("m").alias("m")).withColumn("key_no", F.col("m.key_no"))
+        claims = top_per_group(claims, ["key_no"], [F.asc("m.after_best"), *[F.asc(c) for c in by[::-1]]],
+                               per_key_limit, "_place")
+        rows = claims.where("accepted").select(*by, *[F.when(zone(F.col("m")), F.col("m")).alias(z)
+                                                      for z, zone in zones.items()])
     if existing is not None:
-        claims = exclude_existing(claims, existing, ["id"])
+        rows = exclude_existing(rows, existing, by)
+    per_item = rows.groupBy(*by).agg(*[F.min(z).alias(z) for z in zones])
 
-    claim = F.struct("stage", "key_no", "key", "sort")
-    per_item = claims.groupBy("id").agg(
-        F.min_by(claim, F.when(F.col("stage") < REGION_STAGE, F.col("key_no"))).alias("before"),
-        F.min_by(claim, F.when(F.col("stage") == REGION_STAGE, F.col("key_no"))).alias("region"),
-        F.min_by(claim, F.when(F.col("stage") > REGION_STAGE, F.col("key_no"))).alias("after"))
-
-    region_keys = sum(k.stage == REGION_STAGE for k in keys)
+    choice = F.coalesce("before", "after")
     if region_keys:
         quota = group_quota(target, region_keys)
-        waiting = per_item.where("before is null and region is not null").select(
-            "id", F.col("region.key_no").alias("key_no"), F.col("region.sort").alias("sort"))
-        winners = top_per_group(waiting, ["key_no"], [F.desc("sort"), F.asc("id")], quota, "_place")
-        won = winners.select("id", F.lit(True).alias("won"))
+        waiting = per_item.where("before is null and region is not null").select(*by, "region.*")
+        order = [F.asc("after_best"), *[F.asc(c) for c in by[::-1]]]
+        winners = top_per_group(waiting, ["key_no"], order, quota, "_place")
+        won = winners.select(*by, F.lit(True).alias("won"))
         # At most quota x regions rows, both fixed by the arguments.
         small = quota * region_keys <= BROADCAST_ROWS
-        per_item = per_item.join(F.broadcast(won) if small else won, "id", "left")
+        per_item = per_item.join(F.broadcast(won) if small else won, by, "left")
         choice = F.coalesce("before", F.when(F.col("won"), F.col("region")), "after")
-    else:
-        choice = F.coalesce("before", "after")
-    chosen = (per_item.select("id", choice.alias("c")).where("c is not null").select("id", "c.*")
-              .orderBy("key_no", F.desc("sort"), "id").limit(target))
+    order = ["key_no", "after_best", *by[::-1]]
+    chosen = (per_item.select(*by, choice.alias("c")).where("c is not null").select(*by, "c.*")
+              .orderBy(*order).limit(target))
     # At most ``target`` rows are left, so one ordered window is fine.
-    place = F.row_number().over(W.orderBy("key_no", F.desc("sort"), "id")).cast("bigint")
-    return chosen.select("id", F.col("stage").cast("bigint").alias("stage"), "key", place.alias("position"))
+    place = F.row_number().over(W.orderBy(*order)).cast("bigint")
+    stage_of = F.array(*[F.lit(k.stage) for k in keys])
+    name_of = F.array(*[F.lit(k.name) for k in keys])
+    return chosen.select(*by, F.get(stage_of, "key_no").cast("bigint").alias("stage"),
+                         F.get(name_of, "key_no").alias("key"), place.alias("position"))

@@ -16,9 +16,12 @@ from lakeloom.operators.quality import audit_gold, audit_layer
 from lakeloom.operators.recommend import ItemIndex
 from lakeloom.operators.relational import keep_first, left_join
 from lakeloom.operators.sentiment import SentimentModel, train_and_evaluate
+from lakeloom.operators.shaping import bronze_rows
+from lakeloom.plans.acquire import acquire
+from lakeloom.session import materialise
 from lakeloom.sources.readers import MissingInput, ORDER, optional, read_parquet, read_text_table, required
 from lakeloom.sources.schemas import BRONZE
-from lakeloom.sources.writers import append_batch, write_manifest, write_parquet, write_text_copy
+from lakeloom.sources.writers import append_batch, known_keys, write_manifest, write_parquet, write_text_copy
 
 # Least review length, default title, Gold columns, texts to clean, weights of the soup.
 REVIEW_LENGTH = 20
@@ -106,18 +109,44 @@ SILVER_STEPS = {
 
 
 def gold_features(movies: DataFrame, credits: DataFrame, keywords: DataFrame,
-                  soup: Sequence[tuple[str | Column, int]] = SOUP) -> DataFrame:
-    """J1 twice, cleaned text columns, release year and the weighted text."""
-    joined = left_join(movies.select(*GOLD_MOVIE_COLUMNS), credits.select("id", *GOLD_CREDIT_COLUMNS), "id")
-    joined = left_join(joined, keywords.select("id", "keywords_clean"), "id")
+                  soup: Sequence[tuple[str | Column, int]] = SOUP, null_safe: bool = True) -> DataFrame:
+    """J1 twice, cleaned text columns, release year and the weighted text.
+
+    By default rows without a usable id match each other, every one with every
+    one; ``null_safe=False`` leaves them unmatched, for input with many bad ids.
+    """
+    joined = left_join(movies.select(*GOLD_MOVIE_COLUMNS), credits.select("id", *GOLD_CREDIT_COLUMNS), "id",
+                       null_safe=null_safe)
+    joined = left_join(joined, keywords.select("id", "keywords_clean"), "id", null_safe=null_safe)
     cleaned = joined.withColumns({c: clean(c) for c in GOLD_TEXT_COLUMNS})
     return cleaned.withColumns({"release_year": release_year("release_date"), "metadata_soup": weighted_text(soup)})
 
 
-def land(tables: dict[str, DataFrame], bronze_dir: str) -> None:
-    """Append shaped records to the Bronze tables."""
-    for name, rows in tables.items():
-        append_batch(rows, f"{bronze_dir}/{name}", key="id" if name == "movies_metadata" else None)
+def land(records: DataFrame, bronze_dir: str) -> None:
+    """Append detail records to the six Bronze tables.
+
+    The records are stored once in columnar form, so that the six tables do not
+    each parse the nested source again. The metadata, which decide what counts
+    as known, are written last.
+    """
+    tables = bronze_rows(materialise(records, "records"))
+    for name in sorted(tables, key=lambda n: n == "movies_metadata"):
+        append_batch(tables[name], f"{bronze_dir}/{name}", key="id" if name == "movies_metadata" else None)
+
+
+def ingest(listing: DataFrame, details: DataFrame, bronze_dir: str, target: int, **choice) -> DataFrame:
+    """Choose up to ``target`` new items, land their detail records, return the choice.
+
+    Ids already in Bronze are skipped. ``choice`` goes to ``acquire``.
+    """
+    known = known_keys(listing.sparkSession, f"{bronze_dir}/movies_metadata", BRONZE["movies_metadata"], "id")
+    existing = None if known is None else known.select(F.col("id").try_cast("bigint").alias("id"))
+    chosen = materialise(acquire(listing, target, existing=existing, **choice), "chosen")
+    # Stages before the tenth select movies, the tenth selects series.
+    kind = F.when(F.col("stage") == 10, "tv").otherwise("movie")
+    picked = chosen.select("id", kind.alias("media_type"))
+    land(details.join(picked, ["id", "media_type"], "left_semi"), bronze_dir)
+    return chosen
 
 
 def read_bronze(spark: SparkSession, bronze_dir: str, na_tokens: bool = True) -> dict[str, DataFrame | None]:
@@ -140,12 +169,13 @@ def build_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, text_cop
     return done
 
 
-def build_gold(spark: SparkSession, silver_dir: str, gold_dir: str, text_copy: bool = True) -> DataFrame:
+def build_gold(spark: SparkSession, silver_dir: str, gold_dir: str, text_copy: bool = True,
+               null_safe: bool = True) -> DataFrame:
     """S10+S5+S6: rewrite the Gold feature table from the three required Silver tables."""
     tables = [required(read_parquet, spark, f"{silver_dir}/{t}")
               for t in ("silver_movies", "silver_credits", "silver_keywords")]
     path = f"{gold_dir}/gold_movies_features"
-    write_parquet(gold_features(*tables), path)
+    write_parquet(gold_features(*tables, null_safe=null_safe), path)
     gold = read_parquet(spark, path)
     if text_copy:
         write_text_copy(gold, f"{path}_text")

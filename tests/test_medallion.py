@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators.quality import audit_layer, table_profile
-from lakeloom.operators.shaping import bronze_rows
 from lakeloom.plans import medallion as L
 from lakeloom.sources.readers import MissingInput, read_landing, read_text_table
 from lakeloom.sources.schemas import BRONZE
@@ -38,13 +37,13 @@ def flow(spark, tmp_path_factory):
     landing.mkdir()
     (landing / "a.json").write_text("\n".join(json.dumps(record(i)) for i in range(1, 61)))
     dirs = {n: str(root / n) for n in ("bronze", "silver", "gold", "models")}
-    L.land(bronze_rows(read_landing(spark, str(landing))), dirs["bronze"])
+    L.land(read_landing(spark, str(landing)), dirs["bronze"])
     # The second crawl repeats some items with other titles, and one record is a failed fetch.
     again = [json.dumps(record(i, title="Changed")) for i in (1, 2, 3)] + [json.dumps({"id": 99, "media_type": "tv"})]
     late = root / "late"
     late.mkdir()
     (late / "b.json").write_text("\n".join(again))
-    L.land(bronze_rows(read_landing(spark, str(late))), dirs["bronze"])
+    L.land(read_landing(spark, str(late)), dirs["bronze"])
     manifests = L.run_all(spark, dirs["bronze"], dirs["silver"], dirs["gold"], dirs["models"])
     return root, dirs, manifests
 
@@ -160,3 +159,21 @@ def test_observed_rows(spark):
     seen = Observation("rows")
     spark.range(7).observe(seen, F.count("*").alias("rows")).write.format("noop").mode("overwrite").save()
     assert seen.get["rows"] == 7
+
+
+def test_ingest_lands_only_new_choices(spark, tmp_path):
+    lines = [json.dumps(record(i)) for i in range(1, 9)] + [json.dumps(record(3, media_type="tv", title="Series"))]
+    (tmp_path / "d.json").write_text("\n".join(lines))
+    details = read_landing(spark, str(tmp_path / "d.json"))
+    listing = details.withColumns({
+        "genre_ids": F.array(F.when(F.col("media_type") == "tv", 18).otherwise(28)), "keyword_ids": F.array(F.lit(0)),
+        "trending_rank": F.lit(None).cast("int"), "vote_count": F.lit(700), "first_air_date": F.col("release_date")})
+    bronze = str(tmp_path / "bronze")
+    first = L.ingest(listing, details, bronze, 3)
+    assert [(r.id, r.stage) for r in first.orderBy("position").collect()] == [(8, 1), (7, 1), (6, 1)]
+    second = L.ingest(listing, details, bronze, 100)
+    assert {r.id for r in second.collect()} == {1, 2, 3, 4, 5}
+    assert L.ingest(listing, details, bronze, 100).count() == 0
+    titles = read_text_table(spark, f"{bronze}/movies_metadata", BRONZE["movies_metadata"])
+    assert sorted(int(r.id) for r in titles.collect()) == list(range(1, 9))
+    assert titles.where("media_type = 'tv'").count() == 0

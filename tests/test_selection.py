@@ -125,3 +125,15 @@ def test_acquire_one_group_only(spark):
     assert [(r.stage, r.key) for r in acquire(df, 5, groups=["keywords"]).collect()] == [(2, "superhero")]
     assert [(r.stage, r.key) for r in acquire(df, 5, groups=["streams"]).collect()] == [(5, "popular")]
     assert acquire(df, 5, groups=["genres"], genres=["drama"]).count() == 0
+
+
+def test_ids_of_movies_and_series(spark):
+    row = (1, "movie", [28, 18], [], "en", "2000-01-01", "2000-01-01", 600, 8.0, 1.0, None, "o" * 30, "p", 90)
+    df = spark.createDataFrame(
+        [row, (1, "tv", *row[2:])],
+        "id long, media_type string, genre_ids array<int>, keyword_ids array<int>, original_language string, "
+        "release_date string, first_air_date string, vote_count int, vote_average double, popularity double, "
+        "trending_rank int, overview string, poster_path string, runtime int")
+    assert [(r.id, r.stage) for r in acquire(df, 5).collect()] == [(1, 1)]
+    apart = acquire(df, 5, by=["media_type", "id"]).orderBy("position").collect()
+    assert [(r.media_type, r.stage, r.key) for r in apart] == [("movie", 1, "action"), ("tv", 10, "drama")]
