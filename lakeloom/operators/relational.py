@@ -9,17 +9,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
+WINDOW_PRUNE_LIMIT = 1000
+SLICES = 64
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: str | Column) -> DataFrame:
     """The first row of every key by ``order``, which must be unique per key.
 
-    NULL keys equal each other. An aggregate, not a window, so a hot key is cut
-    to one row per task before anything is shuffled.
+    NULL keys equal each other. A hot key is cut to one row per task before
+    anything is shuffled.
     """
     order = F.col(order) if isinstance(order, str) else order
-    first = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.min_by(F.struct(*df.columns), order).alias("_row"))
-    return first.select("_row.*")
+    return top_per_group(df, keys, [order.asc()], 1, "_place").drop("_place")
 
 
 def exclude_existing(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -78,8 +80,13 @@ def top_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
     """the first ``n`` rows of each group with their 1-based rank.
 
     Spark prunes to ``n`` rows per group in every task before the shuffle, so
-    the size of a group does not matter.
+    the size of a group does not matter. It does so for small ``n`` only; a
+    larger one is first applied to slices of each group.
     """
+    if n > WINDOW_PRUNE_LIMIT:
+        sliced = df.withColumn("_slice", F.spark_partition_id() % SLICES)
+        within = W.partitionBy(*groups, "_slice").orderBy(*order)
+        df = sliced.withColumn(rank, F.row_number().over(within)).where(F.col(rank) <= n).drop("_slice", rank)
     window = W.partitionBy(*groups).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window).cast("bigint")).where(F.col(rank) <= n)
 

@@ -46,9 +46,23 @@ def test_quota_is_pruned_before_the_shuffle(spark):
     assert len(re.findall("WindowGroupLimit", text)) == 2
 
 
-def test_keep_first_aggregates_before_the_shuffle(spark, sf):
+def test_keep_first_prunes_before_the_shuffle(spark, sf):
     text = plan(R.keep_first(sf("events"), ["user_id"], "event_id"))
-    assert len(re.findall(r"partial_min_by", text)) == 1 and "Window" not in text
+    assert len(re.findall("WindowGroupLimit", text)) == 2 and len(re.findall("Exchange hash", text)) == 1
+
+
+def test_large_quota_works_on_slices(spark, sf):
+    events = sf("events").repartition(5)
+    order = [F.desc("value"), F.asc("event_id")]
+    got = R.top_per_group(events, ["event_type"], order, 150)
+    monkey, R.WINDOW_PRUNE_LIMIT = R.WINDOW_PRUNE_LIMIT, 10
+    try:
+        sliced = R.top_per_group(events, ["event_type"], order, 150)
+        assert len(re.findall("Exchange hash", plan(sliced))) == 2
+        assert sorted(map(tuple, got.select("event_id", "rank").collect())) == sorted(
+            map(tuple, sliced.select("event_id", "rank").collect()))
+    finally:
+        R.WINDOW_PRUNE_LIMIT = monkey
 
 
 def test_one_shuffle_of_the_text(spark, sf):
