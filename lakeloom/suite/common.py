@@ -32,3 +32,14 @@ def sql_words(c: str) -> str:
 
 def sql_terms(words: str) -> str:
     return f"{words} || list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1])"
+
+
+def sql_vocabulary(min_df: int, max_terms: int) -> str:
+    """CTEs w (words), p (term counts) and v (vocabulary) of the documents."""
+    return f"""
+w AS (SELECT doc_id, {sql_words('text')} AS w FROM documents),
+p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({sql_terms('w')}) AS term FROM w) GROUP BY 1, 2),
+v AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS index, df, cf,
+    ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf
+  FROM (SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM p GROUP BY 1
+    HAVING count(*) >= {min_df} ORDER BY cf DESC, term LIMIT {max_terms}))"""

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeloom.operators import quality as Q
 from lakeloom.operators import sentiment as S
+from lakeloom.operators.sentiment import MAX_TERMS, MIN_DF
+from lakeloom.operators.tfidf import vocabulary_of
 from lakeloom.operators.shaping import metadata_rows, one_line
 from lakeloom.plans import medallion as L
 from lakeloom.session import work_path
@@ -15,7 +16,7 @@ from lakeloom.sources import writers as W
 from lakeloom.sources.schemas import BRONZE, LANDING, text_schema
 from lakeloom.streaming import ingest as I
 from lakeloom.streaming.scoring import score_stream
-from lakeloom.suite.common import STOP_WORDS, sql_strip, table
+from lakeloom.suite.common import STOP_WORDS, sql_strip, sql_terms, sql_vocabulary, sql_words, table
 
 TABLES = {
     "region": ["r_regionkey", "r_name"],
@@ -195,17 +196,34 @@ def stream_dedup_watermark(spark, sf):
 STREAM_DEDUP_WATERMARK = "SELECT event_id, event_type FROM events"
 
 
+def _fixed_model(spark, sf, path):
+    """A linear model over the vocabulary of the documents whose coefficients follow from the counts."""
+    terms = vocabulary_of(table(spark, sf, "documents"), "doc_id", "text", STOP_WORDS, MIN_DF, MAX_TERMS)
+    W.write_parquet(terms.withColumn("coefficient", F.col("cf") / F.col("df") - 1.3), f"{path}/terms")
+    return S.SentimentModel(R.read_parquet(spark, f"{path}/terms"), 0.05, STOP_WORDS, MAX_TERMS, path)
+
+
 def stream_score(spark, sf):
     path = work_path(spark, "score")
-    reviews = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
-    model = S.SentimentModel.fit(S.usable_reviews(reviews, "text"), key="doc_id", text="text", label="quality",
-                                 stop_words=STOP_WORDS, max_iter=100, path=f"{path}/model")
-    schema = T.StructType([f for f in table(spark, sf, "conversations").schema.fields])
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf)
+    stream = (spark.readStream.schema(table(spark, sf, "conversations").schema)
+              .option("pathGlobFilter", "conversations.parquet").parquet(sf))
     turns = stream.select(F.concat_ws("-", "conv_id", "turn").alias("turn_id"), "role", "text")
+    model = _fixed_model(spark, sf, path)
     score_stream(turns, model, "turn_id", "text", f"{path}/out", f"{path}/checkpoint", keep=["role"]).awaitTermination()
     return spark.read.parquet(f"{path}/out").select(
-        "turn_id", "role", "label", "prediction", F.round("confidence", 4).alias("confidence"))
+        "turn_id", "role", "label", "prediction", F.round("probability", 5).alias("probability"),
+        F.round("confidence", 5).alias("confidence"))
+
+
+STREAM_SCORE = f"""
+WITH {sql_vocabulary(MIN_DF, MAX_TERMS)},
+c AS (SELECT conv_id || '-' || turn AS turn_id, role, {sql_words('text')} AS w FROM conversations),
+t AS (SELECT turn_id, term, count(*) AS tf FROM (SELECT turn_id, unnest({sql_terms('w')}) AS term FROM c) GROUP BY 1, 2),
+x AS (SELECT turn_id, (1 + ln(tf)) * idf AS x, cf / df - 1.3 AS coefficient FROM t JOIN v USING (term)),
+d AS (SELECT turn_id, sum(x * coefficient) / sqrt(sum(x * x)) AS dot FROM x GROUP BY 1),
+s AS (SELECT turn_id, role, 1 / (1 + exp(-(0.05 + coalesce(dot, 0)))) AS p FROM c LEFT JOIN d USING (turn_id))
+SELECT turn_id, role, CASE WHEN p > 0.5 THEN 'positive' ELSE 'negative' END AS label, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS prediction,
+  round(p, 5) AS probability, round(greatest(p, 1 - p), 5) AS confidence FROM s"""
 
 
 def gold_sql_view(spark, sf):
@@ -298,7 +316,7 @@ CASES = {
     "micro_ingest_stream": (micro_ingest_stream, MICRO_INGEST_STREAM),
     "cross_run_dedup": (cross_run_dedup, CROSS_RUN_DEDUP),
     "stream_dedup_watermark": (stream_dedup_watermark, STREAM_DEDUP_WATERMARK),
-    "stream_score": (stream_score, None),
+    "stream_score": (stream_score, STREAM_SCORE),
     "gold_sql_view": (gold_sql_view, GOLD_SQL_VIEW),
     "silver_reviews_flow": (silver_reviews_flow, SILVER_REVIEWS_FLOW),
     "gold_features_flow": (gold_features_flow, GOLD_FEATURES_FLOW),

@@ -9,17 +9,11 @@ from lakeloom.operators import metrics as M
 from lakeloom.operators import sentiment as S
 from lakeloom.operators import tfidf as T
 from lakeloom.operators.recommend import ItemIndex, resolve_items
-from lakeloom.suite.common import STOP_WORDS, sql_terms, sql_words, table
+from lakeloom.suite.common import STOP_WORDS, sql_vocabulary, table
 
 TOP_K = 10
 
-SQL_VOCABULARY = f"""
-w AS (SELECT doc_id, {sql_words('text')} AS w FROM documents),
-p AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({sql_terms('w')}) AS term FROM w) GROUP BY 1, 2),
-v AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS index, df, cf,
-    ln((1 + (SELECT count(*) FROM documents)) / (1 + df)) + 1 AS idf
-  FROM (SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM p GROUP BY 1
-    HAVING count(*) >= 2 ORDER BY cf DESC, term LIMIT 20000))"""
+SQL_VOCABULARY = sql_vocabulary(2, 20_000)
 
 SQL_WEIGHTS = f"""{SQL_VOCABULARY},
 x AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS x FROM p JOIN v USING (term)),

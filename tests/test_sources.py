@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.session import materialise, shared_root, work_path
+from lakeloom.session import drop_work, materialise, shared_root, work_path
 from lakeloom.sources import readers as R
 from lakeloom.sources import writers as W
 
@@ -89,6 +89,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert df.count() == 5 and shared_root(spark) in df.inputFiles()[0]
 
 
+def test_work_paths_can_be_dropped(spark, tmp_path):
+    path = work_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    drop_work(spark, path)
+    assert R.optional(R.read_parquet, spark, path) is None
+    with pytest.raises(ValueError):
+        drop_work(spark, str(tmp_path))
+
+
 def test_published_tables(spark, sf):
     W.publish(sf("nation"), "a_view")
     W.publish(sf("nation"), "a_table", permanent=True)
