@@ -21,7 +21,7 @@ from lakeloom.plans.acquire import acquire
 from lakeloom.session import materialise
 from lakeloom.sources.readers import MissingInput, ORDER, optional, read_parquet, read_text_table, required
 from lakeloom.sources.schemas import BRONZE
-from lakeloom.sources.writers import append_batch, known_keys, write_manifest, write_parquet, write_text_copy
+from lakeloom.sources.writers import append_batch, known_keys, text_table_paths, write_manifest, write_parquet, write_text_copy
 
 # Least review length, default title, Gold columns, texts to clean, weights of the soup.
 REVIEW_LENGTH = 20
@@ -149,10 +149,14 @@ def ingest(listing: DataFrame, details: DataFrame, bronze_dir: str, target: int,
     return chosen
 
 
-def read_bronze(spark: SparkSession, bronze_dir: str, na_tokens: bool = True) -> dict[str, DataFrame | None]:
-    """The Bronze tables that exist, as text, in file order."""
-    return {name: optional(read_text_table, spark, f"{bronze_dir}/{name}", columns, na_tokens=na_tokens, keep_order=True)
-            for name, columns in BRONZE.items()}
+def read_bronze(spark: SparkSession, bronze_dir: str, na_tokens: bool = True,
+                keep_order: bool = True) -> dict[str, DataFrame | None]:
+    """The Bronze tables that exist, as text, in file order: ``name.csv`` files and appended batches."""
+    out = {}
+    for name, columns in BRONZE.items():
+        paths = text_table_paths(spark, f"{bronze_dir}/{name}")
+        out[name] = read_text_table(spark, paths, columns, na_tokens=na_tokens, keep_order=keep_order) if paths else None
+    return out
 
 
 def build_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, text_copy: bool = True) -> list[str]:
@@ -206,7 +210,7 @@ def audit(spark: SparkSession, bronze_dir: str, silver_dir: str, gold_dir: str,
           recommender: ItemIndex | None = None, classifier: SentimentModel | None = None,
           metrics: DataFrame | None = None) -> dict[str, DataFrame]:
     """Write and return the manifest of every layer."""
-    bronze = {n: optional(read_text_table, spark, f"{bronze_dir}/{n}", c) for n, c in BRONZE.items()}
+    bronze = read_bronze(spark, bronze_dir, keep_order=False)
     silver = {n: optional(read_parquet, spark, f"{silver_dir}/{n}") for n in SILVER_STEPS}
     gold = required(read_parquet, spark, f"{gold_dir}/gold_movies_features")
     manifests = {

@@ -35,10 +35,25 @@ def _text_writer(df: DataFrame, mode: str):
             .option("emptyValue", ""))
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) pair of a Hadoop path."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def text_table_paths(spark: SparkSession, path: str) -> list[str]:
+    """What a text table consists of: a plain ``path.csv`` first, then the batches under ``path``."""
+    found = []
+    for candidate in (f"{path}.csv", path):
+        files, folder = _folder(spark, candidate)
+        if files.exists(folder):
+            found.append(candidate)
+    return found
+
+
 def _batches(spark: SparkSession, path: str) -> list[str]:
     """Names of the batch folders of a text table, in order (folder metadata only)."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, folder = _folder(spark, path)
     if not files.exists(folder):
         return []
     names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
@@ -47,10 +62,10 @@ def _batches(spark: SparkSession, path: str) -> list[str]:
 
 def header_of(spark: SparkSession, path: str) -> list[str] | None:
     """Column names in the header of an existing text table, None when there is none."""
-    batches = _batches(spark, path)
-    if not batches:
+    files = [p for p in text_table_paths(spark, path) if p != path] + [f"{path}/{b}" for b in _batches(spark, path)]
+    if not files:
         return None
-    first = spark.read.option("header", True).option("recursiveFileLookup", True).csv(f"{path}/{batches[0]}")
+    first = spark.read.option("header", True).option("recursiveFileLookup", True).csv(files[0])
     return first.columns or None
 
 
@@ -95,7 +110,8 @@ def known_keys(spark: SparkSession, path: str, columns: list[str], key: str,
     kept = [b for b in _batches(spark, path) if without is None or b.split("-", 2)[2:] != [without]]
     if ledgers := [f"{path}{LEDGER}/{b}" for b in kept if b in noted]:
         parts.append(spark.read.schema(f"`{key}` string").parquet(*ledgers))
-    if texts := [f"{path}/{b}" for b in kept if b not in noted]:
+    plain = [p for p in text_table_paths(spark, path) if p != path]
+    if texts := plain + [f"{path}/{b}" for b in kept if b not in noted]:
         parts.append(read_text_table(spark, texts, columns, na_tokens=False).select(key))
     return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
 

@@ -7,6 +7,7 @@ from lakeloom.operators.quality import audit_layer, table_profile
 from lakeloom.plans import medallion as L
 from lakeloom.sources.readers import MissingInput, read_landing, read_text_table
 from lakeloom.sources.schemas import BRONZE
+from lakeloom.sources.writers import append_batch, known_keys
 from lakeloom.streaming.ingest import micro_ingest
 
 GOOD = "A superb film with great music, loved every single scene of this wonderful story."
@@ -177,3 +178,17 @@ def test_ingest_lands_only_new_choices(spark, tmp_path):
     titles = read_text_table(spark, f"{bronze}/movies_metadata", BRONZE["movies_metadata"])
     assert sorted(int(r.id) for r in titles.collect()) == list(range(1, 9))
     assert titles.where("media_type = 'tv'").count() == 0
+
+
+def test_plain_csv_files_are_bronze_too(spark, tmp_path):
+    (tmp_path / "keywords.csv").write_text('id,keywords\n7,"[{""name"": ""old""}]"\n8,[]\n')
+    path = f"{tmp_path}/keywords"
+    new = spark.createDataFrame([("7", "[]"), ("9", '[{"name":"n"}]')], "id string, keywords string")
+    with pytest.raises(ValueError):
+        append_batch(new.select("keywords", "id"), path)
+    assert {r.id for r in known_keys(spark, path, BRONZE["keywords"], "id").collect()} == {"7", "8"}
+    append_batch(new, path, key="id")
+    assert {r.id for r in known_keys(spark, path, BRONZE["keywords"], "id").collect()} == {"7", "8", "9"}
+    bronze = L.read_bronze(spark, str(tmp_path))
+    assert [n for n, df in bronze.items() if df is not None] == ["keywords"]
+    assert {tuple(r)[::2] for r in L.silver_keywords(bronze["keywords"]).collect()} == {(7, "old"), (8, ""), (9, "n")}
