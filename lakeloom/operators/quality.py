@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeloom.functions.score import rounded
@@ -147,6 +147,6 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str], step: str) -> DataFrame:
         "rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def audited(df: DataFrame, name: str, *metrics: Column) -> DataFrame:
-    """A4 without a second pass: report metrics while ``df`` is written (``Observation`` or listener)."""
-    return df.observe(name, F.count("*").alias("rows"), *metrics)
+def audited(df: DataFrame, seen: Observation, *metrics: Column) -> DataFrame:
+    """A4 without a second pass: ``seen`` gets the row count and metrics of ``df`` when it is written."""
+    return df.observe(seen, F.count("*").alias("rows"), *metrics)

@@ -11,7 +11,7 @@ top k.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,7 +24,8 @@ from lakeloom.functions.score import (POPULARITY_SCALE, POPULARITY_WEIGHT, RATIN
 from lakeloom.functions.text import is_id_query, title_key
 from lakeloom.operators.relational import top_per_group
 from lakeloom.operators.tfidf import document_count, postings, vectors, vocabulary
-from lakeloom.session import materialise, work_path
+from lakeloom.session import delete_path, materialise, work_path
+from lakeloom.sources.readers import MissingInput, optional
 
 BROADCAST_ROWS = 2_000_000
 HOT_TERM_ROWS = 1_000_000
@@ -51,9 +52,12 @@ def quality(rating: Column | str, popularity: Column | str) -> Column:
             + unit_clip(popularity, POPULARITY_SCALE) * POPULARITY_WEIGHT)
 
 
-def _table_name(path: str) -> str:
-    """Catalogue name of the bucketed vectors stored under ``path``."""
-    return f"lakeloom_vectors_{hashlib.md5(path.encode()).hexdigest()}"
+META = "buckets int, title string, build string"
+
+
+def _table_name(build: str) -> str:
+    """Catalogue name of the bucketed vectors of one build."""
+    return f"lakeloom_vectors_{build}"
 
 
 def _size_checked(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -131,6 +135,9 @@ class ItemIndex:
         """
         spark = items.sparkSession
         path = path or work_path(spark, "index")
+        # Every build has a table and folder of its own, so a catalogue can never
+        # pair an old bucket count with new files.
+        build, previous = uuid.uuid4().hex, cls._meta(spark, path)
         wanted = dict.fromkeys([item, *([title] if title else []), *columns])
         base = items.where(F.col(item).isNotNull()).select(
             (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
@@ -150,22 +157,32 @@ class ItemIndex:
             vocab = spark.read.schema(vocab.schema).parquet(f"{path}/vocabulary")
             # One task per bucket already, so this is one file per bucket.
             (vectors(post, vocab, "row", max_terms, keep).write.mode("overwrite").format("parquet")
-             .bucketBy(buckets, "row").option("path", f"{path}/vectors").saveAsTable(_table_name(path)))
+             .bucketBy(buckets, "row").option("path", f"{path}/vectors-{build}").saveAsTable(_table_name(build)))
         finally:
             post.unpersist()
-        meta = spark.createDataFrame([(buckets, title)], "buckets int, title string")
+        meta = spark.createDataFrame([(buckets, title, build)], META)
         meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+        if previous is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {_table_name(previous.build)}")
+            delete_path(spark, f"{path}/vectors-{previous.build}")
         return cls.load(spark, path)
 
+    @staticmethod
+    def _meta(spark: SparkSession, path: str):
+        meta = optional(spark.read.schema(META).json, f"{path}/meta")
+        return None if meta is None else meta.first()
+
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ItemIndex:
         """Open a stored index; the bucketed table is declared in the session catalogue if it is new there."""
-        meta = spark.read.schema("buckets int, title string").json(f"{path}/meta").first()
-        name = _table_name(path)
+        meta = cls._meta(spark, path)
+        if meta is None:
+            raise MissingInput(f"no item index at {path}")
+        name, vectors_path = _table_name(meta.build), f"{path}/vectors-{meta.build}"
         if not spark.catalog.tableExists(name):
-            columns = spark.read.parquet(f"{path}/vectors").schema
+            columns = spark.read.parquet(vectors_path).schema
             spark.sql(f"CREATE TABLE {name} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns)}) "
-                      f"USING parquet CLUSTERED BY (row) INTO {meta.buckets} BUCKETS LOCATION '{path}/vectors'")
+                      f"USING parquet CLUSTERED BY (row) INTO {meta.buckets} BUCKETS LOCATION '{vectors_path}'")
         return cls(spark.read.parquet(f"{path}/vocabulary"), spark.table(name), spark.read.parquet(f"{path}/items"),
                    meta.title)
 

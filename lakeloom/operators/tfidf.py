@@ -87,13 +87,6 @@ def vectors(post: DataFrame, vocab: DataFrame, key: str, max_terms: int,
     ).alias("entries"))
 
 
-def weights(vecs: DataFrame, vocab: DataFrame, key: str) -> DataFrame:
-    """H2 in long form: (key, term, weight)."""
-    return (vecs.select(key, F.explode("entries").alias("e")).select(key, "e.index", "e.weight")
-            .join(F.broadcast(vocab.select("index", "term")), "index")
-            .select(key, "term", "weight"))
-
-
 def vocabulary_of(docs: DataFrame, key: str, text: str, stop_words: Sequence[str] = (),
                   min_df: int = 2, max_terms: int = 20_000) -> DataFrame:
     """H1 from documents."""

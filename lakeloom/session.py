@@ -57,12 +57,17 @@ def work_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of tables."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_work(spark: SparkSession, path: str) -> None:
     """Delete one work path, once nothing reads it any more."""
     if not path.startswith(shared_root(spark) + "/"):
         raise ValueError(f"{path} is not a work path")
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_path(spark, path)
 
 
 def materialise(df, purpose: str):

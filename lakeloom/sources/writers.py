@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.sources.readers import read_parquet, read_text_table
+from lakeloom.sources.readers import read_text_table
 
 LEDGER = "_keys"
 
@@ -128,8 +128,3 @@ def publish(df: DataFrame, name: str, permanent: bool = False) -> None:
     else:
         df.createOrReplaceTempView(name)
 
-
-def round_trip(df: DataFrame, path: str) -> DataFrame:
-    """Write Parquet and read it back."""
-    write_parquet(df, path)
-    return read_parquet(df.sparkSession, path)

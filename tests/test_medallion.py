@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.operators.quality import audit_layer, table_profile
+from lakeloom.operators.quality import audit_layer, audited, table_profile
 from lakeloom.plans import medallion as L
 from lakeloom.sources.readers import MissingInput, read_landing, read_text_table
 from lakeloom.sources.schemas import BRONZE
@@ -158,8 +158,9 @@ def test_profile_counts_nulls(spark):
 def test_observed_rows(spark):
     from pyspark.sql import Observation
     seen = Observation("rows")
-    spark.range(7).observe(seen, F.count("*").alias("rows")).write.format("noop").mode("overwrite").save()
-    assert seen.get["rows"] == 7
+    df = audited(spark.range(7), seen, F.max("id").alias("largest"))
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 7, "largest": 6}
 
 
 def test_ingest_lands_only_new_choices(spark, tmp_path):

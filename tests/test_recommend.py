@@ -7,6 +7,7 @@ import pytest
 
 from lakeloom.operators import recommend as R
 from lakeloom.operators import tfidf as T
+from lakeloom.sources.readers import MissingInput
 
 ANSWER = {"id": "id", "title": "title"}
 
@@ -85,9 +86,15 @@ def test_stored_index_opens_again(spark, tmp_path):
     built = R.ItemIndex.build(df, text="text", rating="rating", columns=["title"], path=str(tmp_path / "i"), buckets=3)
     queries = spark.createDataFrame([(1, "t3"), (2, "104"), (3, "nothing like it")], "query_id int, query string")
     first = sorted(map(tuple, built.recommend(queries, 4, answer=ANSWER).collect()))
-    spark.sql(f"DROP TABLE {R._table_name(str(tmp_path / 'i'))}")
+    build = R.ItemIndex._meta(spark, str(tmp_path / "i")).build
+    spark.sql(f"DROP TABLE {R._table_name(build)}")
     again = R.ItemIndex.load(spark, str(tmp_path / "i"))
     assert sorted(map(tuple, again.recommend(queries, 4, answer=ANSWER).collect())) == first
+    rebuilt = R.ItemIndex.build(df, text="text", rating="rating", columns=["title"], path=str(tmp_path / "i"), buckets=2)
+    assert sorted(map(tuple, rebuilt.recommend(queries, 4, answer=ANSWER).collect())) == first
+    assert len(list((tmp_path / "i").glob("vectors-*"))) == 1
+    with pytest.raises(MissingInput):
+        R.ItemIndex.load(spark, str(tmp_path / "none"))
     assert {r[0] for r in first} == {1, 2} and len(first) == 8
 
 
