@@ -7,17 +7,21 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.common import as_column
 
-# Decimal text, optionally signed, with an exponent, or infinity. It shuts out
-# the forms Spark's own cast takes but a text file should not mean (12d, 0x1A).
-NUMBER_PATTERN = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
-WHOLE_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
+# Decimal text, optionally signed, with an exponent. It shuts out the forms
+# Spark's own cast takes but a text file should not mean (12d, 0x1A).
+NUMBER_PATTERN = r"\A\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*\z"
+INFINITY_PATTERN = r"\A[+-]?(?i:inf|infinity)\z"
+WHOLE_PATTERN = r"\A\s*[+-]?[0-9]+\s*\z"
 DATE_FORMAT = "yyyy-M-d"
 
 
 def lenient_double(c: Column | str, default: float | None = None) -> Column:
     """Number from text; anything else is NULL, or ``default`` if given."""
     c = as_column(c)
-    value = F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
+    number = c.try_cast("double")
+    # A number too large for a double is no number.
+    value = (F.when(c.rlike(NUMBER_PATTERN) & (F.abs(number) < float("inf")), number)
+             .when(c.rlike(INFINITY_PATTERN), number))
     return value if default is None else F.coalesce(value, F.lit(float(default)))
 
 
