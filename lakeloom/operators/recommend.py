@@ -250,8 +250,9 @@ class ItemIndex:
 
         # The query's own item may take one place here, hence k+1. The sums of
         # an item are complete within its bucket.
-        sims = products.groupBy("query_id", *candidate).agg(F.sum("product").alias("similarity"))
-        similar = best_of(sims, k + 1).drop("rank", "final")
+        sims = products.groupBy("query_id", "row").agg(
+            F.max("item").alias("item"), F.max("quality").alias("quality"), F.sum("product").alias("similarity"))
+        similar = best_of(sims, k + 1).select("query_id", *candidate, "similarity")
         # At most 2k+3 candidates per query from here on; similarity is never negative.
         shortlist = (similar.unionByName(unseen).unionByName(itself)
                      .groupBy("query_id", *candidate).agg(F.max("similarity").alias("similarity"))

@@ -28,6 +28,7 @@ MAX_TERMS = 10_000
 MAX_ITERATIONS = 1000
 REGULARISATION_C = 1.0
 PREFIX_DIGITS = 4
+ROWS_PER_TASK = 2000
 
 
 def usable_reviews(df: DataFrame, text: str, min_words: int = MIN_WORDS) -> DataFrame:
@@ -155,7 +156,9 @@ class SentimentModel:
             data = _as_feature_vectors(rows, size, f"{path}/training")
         finally:
             post.unpersist()
-        total_weight = data.agg(F.sum("weight")).first()[0]
+        total_weight, rows = data.agg(F.sum("weight"), F.count("*")).first()
+        # Every solver step is a job over all tasks; a small training set needs few of them.
+        data = data.coalesce(max(1, rows // ROWS_PER_TASK))
         solver = LogisticRegression(
             featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iter,
             regParam=1.0 / (c * total_weight), elasticNetParam=0.0, standardization=False, family="binomial")
