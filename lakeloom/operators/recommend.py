@@ -15,7 +15,6 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +22,7 @@ from lakeloom.functions.score import (POPULARITY_SCALE, POPULARITY_WEIGHT, RATIN
                                       SIMILARITY_WEIGHT, rounded, unit_clip)
 from lakeloom.functions.text import is_id_query, title_key
 from lakeloom.operators.relational import top_per_group
-from lakeloom.operators.tfidf import document_count, postings, vectors, vocabulary
+from lakeloom.operators.tfidf import document_count, vectors, vocabulary
 from lakeloom.session import delete_path, materialise, work_path
 from lakeloom.sources.readers import MissingInput, optional
 
@@ -148,18 +147,14 @@ class ItemIndex:
         stored.write.mode("overwrite").parquet(f"{path}/items")
         stored = spark.read.schema(stored.schema).parquet(f"{path}/items")
         rows = base if row else stored
-        keep = ["item", "quality"]
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        post = postings(rows, "row", "_text", stop_words, keep, buckets).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            vocab = vocabulary(post, document_count(stored), min_df, max_terms)
-            vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
-            vocab = spark.read.schema(vocab.schema).parquet(f"{path}/vocabulary")
-            # One task per bucket already, so this is one file per bucket.
-            (vectors(post, vocab, "row", max_terms, keep).write.mode("overwrite").format("parquet")
-             .bucketBy(buckets, "row").option("path", f"{path}/vectors-{build}").saveAsTable(_table_name(build)))
-        finally:
-            post.unpersist()
+        vocab = vocabulary(rows, "_text", stop_words, min_df, max_terms, document_count(stored))
+        vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
+        vocab = spark.read.schema(vocab.schema).parquet(f"{path}/vocabulary")
+        # One task per bucket already, so this is one file per bucket.
+        (vectors(rows, "row", "_text", vocab, max_terms, stop_words, ["item", "quality"], buckets)
+         .write.mode("overwrite").format("parquet").bucketBy(buckets, "row")
+         .option("path", f"{path}/vectors-{build}").saveAsTable(_table_name(build)))
         meta = spark.createDataFrame([(buckets, title, build)], META)
         meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
         if previous is not None:

@@ -6,7 +6,6 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +15,7 @@ from pyspark.sql import types as T
 
 from lakeloom.functions.text import word_count
 from lakeloom.operators.metrics import classification_metrics, confusion, roc_auc
-from lakeloom.operators.tfidf import document_count, postings, raw_weight, vectors, vocabulary, with_vocabulary
+from lakeloom.operators.tfidf import document_count, raw_weight, term_counts, vectors, vocabulary
 from lakeloom.session import materialise, work_path
 
 # Least words of a review, share of test rows, vocabulary and solver limits.
@@ -143,19 +142,14 @@ class SentimentModel:
         spark = train.sparkSession
         path = path or work_path(spark, "sentiment")
         train = train.select(key, text, F.col(label).cast("int").alias("label"))
-        post = postings(train, key, text, stop_words, keep=["label"]).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            vocab = vocabulary(post, document_count(train), min_df, max_terms)
-            vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
-            vocab = spark.read.schema(vocab.schema).parquet(f"{path}/vocabulary")
-            # One row per class.
-            class_weights = F.broadcast(balanced_weights(train, "label").select("label", "weight"))
-            rows = (vectors(post, vocab, key, max_terms, keep=["label"]).join(class_weights, "label")
-                    .select(F.col("label").cast("double").alias("label"), "weight", "entries"))
-            size = max(vocab.count(), 1)
-            data = _as_feature_vectors(rows, size, f"{path}/training")
-        finally:
-            post.unpersist()
+        vocab = vocabulary(train, text, stop_words, min_df, max_terms)
+        vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
+        vocab = spark.read.schema(vocab.schema).parquet(f"{path}/vocabulary")
+        # One row per class.
+        class_weights = F.broadcast(balanced_weights(train, "label").select("label", "weight"))
+        rows = (vectors(train, key, text, vocab, max_terms, stop_words, ["label"]).join(class_weights, "label")
+                .select(F.col("label").cast("double").alias("label"), "weight", "entries"))
+        data = _as_feature_vectors(rows, max(vocab.count(), 1), f"{path}/training")
         total_weight, rows = data.agg(F.sum("weight"), F.count("*")).first()
         # Every solver step is a job over all tasks; a small training set needs few of them.
         data = data.coalesce(max(1, rows // ROWS_PER_TASK))
@@ -183,11 +177,11 @@ class SentimentModel:
 
         ``key`` is unique. Text without known terms is scored by the intercept.
         """
-        post = postings(df, key, text, self.stop_words, keep=keep)
-        known = with_vocabulary(post, self.terms.select("term", "idf", "coefficient"), self.max_terms)
-        w = raw_weight()
-        sums = known.select(key, *keep, w.alias("w"), (w * F.col("coefficient")).alias("wc")).groupBy(key, *keep).agg(
-            F.sum("wc").alias("dot"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        counts = term_counts(df, key, text, self.terms.select("term", "index", "idf", "coefficient"), self.max_terms,
+                             self.stop_words, keep)
+        w = F.col("w")
+        sums = counts.select(key, *keep, raw_weight().alias("w"), "coefficient").groupBy(key, *keep).agg(
+            F.sum(w * F.col("coefficient")).alias("dot"), F.sqrt(F.sum(w * w)).alias("norm"))
         margin = F.lit(self.intercept) + F.coalesce(F.try_divide("dot", "norm"), F.lit(0.0))
         scored = sums.select(key, *keep, (1 / (1 + F.exp(-margin))).alias("probability"))
         positive = F.col("probability") > 0.5

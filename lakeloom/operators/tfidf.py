@@ -1,9 +1,13 @@
 """Term counts, vocabulary and TF-IDF weights.
 
-The text is hashed to tasks by document once; term counts, weights and norms
-of a document then need no further shuffle, and only one row per (task, term)
-travels to count documents per term. The vocabulary is the one table joined to
-every posting and its size is an argument.
+Fitting reads the text twice. The first pass counts terms: the occurrences and
+first occurrences of a term are told apart inside the row, so the text itself
+is never shuffled, only one row per task and term. The second pass hashes the
+text to tasks by document, looks the terms up in the vocabulary (whose size is
+an argument, so it is broadcast) and counts, weighs and normalises within the
+task. Keeping the term counts of all documents between the passes would cost
+more than reading the text again: with two-word terms they are many times
+larger than the text.
 """
 
 from __future__ import annotations
@@ -14,28 +18,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakeloom.functions.common import let
 from lakeloom.functions.text import terms
 from lakeloom.operators.relational import top_n_pruned
 
 BROADCAST_TERMS = 1_000_000
 
 
-def postings(docs: DataFrame, key: str, text: str, stop_words: Sequence[str] = (),
-             keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
-    """(key, *keep, term, tf): how often each term occurs in each document.
+def _spread(docs: DataFrame) -> DataFrame:
+    """Spread the rows of a few input files over all cores; many files are spread already."""
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores) if 0 < len(docs.inputFiles()) < cores else docs
 
-    ``key`` is unique. A document without terms keeps one row with a NULL term.
-    """
-    narrow = docs.select(key, *keep, text)
-    spread = narrow.repartition(partitions, key) if partitions else narrow.repartition(key)
-    return (spread.select(key, *keep, F.explode_outer(terms(text, stop_words)).alias("term"))
-            .groupBy(key, *keep, "term").agg(F.count("*").alias("tf")))
 
-
-def term_statistics(post: DataFrame) -> DataFrame:
+def term_statistics(docs: DataFrame, text: str, stop_words: Sequence[str] = ()) -> DataFrame:
     """(term, df, cf): documents with the term and its occurrences in all of them."""
-    return (post.where(F.col("term").isNotNull()).groupBy("term")
-            .agg(F.count("*").alias("df"), F.sum("tf").alias("cf")))
+    def marked(words: Column) -> Column:
+        return F.transform(words, lambda w, i: F.struct(
+            w.alias("term"), F.when((i == 0) | (F.get(words, i - 1) != w), 1).otherwise(0).alias("first")))
+
+    listed = let(F.sort_array(terms(text, stop_words)), marked)
+    return (_spread(docs.select(text)).select(F.explode(listed).alias("t"))
+            .groupBy("t.term").agg(F.sum("t.first").alias("df"), F.count("*").alias("cf")))
 
 
 def document_count(docs: DataFrame) -> Column:
@@ -48,22 +52,36 @@ def smoothed_idf(n: Column, df: Column | str) -> Column:
     return F.log((1 + n) / (1 + df)) + 1
 
 
-def vocabulary(post: DataFrame, n: Column, min_df: int, max_terms: int) -> DataFrame:
+def vocabulary(docs: DataFrame, text: str, stop_words: Sequence[str] = (), min_df: int = 2,
+               max_terms: int = 20_000, n: Column | None = None) -> DataFrame:
     """H1: (term, index, df, cf, idf) of the ``max_terms`` most frequent terms.
 
     Terms in fewer than ``min_df`` documents are out; the cut goes by cf, then
-    by term. ``index`` numbers the kept terms alphabetically from 0.
+    by term. ``index`` numbers the kept terms alphabetically from 0. ``n`` is the
+    number of documents, by default the rows of ``docs``.
     """
-    kept = top_n_pruned(term_statistics(post).where(F.col("df") >= min_df), "cf", "term", max_terms)
+    n = document_count(docs) if n is None else n
+    frequent = term_statistics(docs, text, stop_words).where(F.col("df") >= min_df)
+    kept = top_n_pruned(frequent, "cf", "term", max_terms)
     # At most ``max_terms`` rows, so one ordered window is fine.
     index = (F.row_number().over(W.orderBy("term")) - 1).cast("int")
     return kept.select("term", index.alias("index"), "df", "cf", smoothed_idf(n, "df").alias("idf"))
 
 
-def with_vocabulary(post: DataFrame, vocab: DataFrame, max_terms: int, how: str = "left") -> DataFrame:
-    """Look every posting up in the vocabulary, broadcast while its bound is small."""
-    small = max_terms <= BROADCAST_TERMS
-    return post.join(F.broadcast(vocab) if small else vocab, "term", how)
+def term_counts(docs: DataFrame, key: str, text: str, vocab: DataFrame, max_terms: int,
+                stop_words: Sequence[str] = (), keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """(key, *keep, *vocab, tf): occurrences of each vocabulary term in each document.
+
+    ``key`` is unique; the result is partitioned by it. ``vocab`` has ``term``
+    and the columns wanted per term, one of them unique. The terms outside the vocabulary make one
+    row per document without a term, so that no document is lost.
+    """
+    narrow = docs.select(key, *keep, text)
+    spread = narrow.repartition(partitions, key) if partitions else narrow.repartition(key)
+    found = (spread.select(key, *keep, F.explode_outer(terms(text, stop_words)).alias("term"))
+             .join(F.broadcast(vocab) if max_terms <= BROADCAST_TERMS else vocab, "term", "left"))
+    wanted = [c for c in vocab.columns if c != "term"]
+    return found.groupBy(key, *keep, *wanted).agg(F.count("*").alias("tf"))
 
 
 def raw_weight(tf: str = "tf", idf: str = "idf") -> Column:
@@ -71,34 +89,27 @@ def raw_weight(tf: str = "tf", idf: str = "idf") -> Column:
     return (1 + F.log(F.col(tf))) * F.col(idf)
 
 
-def vectors(post: DataFrame, vocab: DataFrame, key: str, max_terms: int,
-            keep: Sequence[str] = ()) -> DataFrame:
+def vectors(docs: DataFrame, key: str, text: str, vocab: DataFrame, max_terms: int,
+            stop_words: Sequence[str] = (), keep: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """H2: (key, *keep, entries): L2-normalised weights as a list of (index, weight) by index.
 
     A document without vocabulary terms has an empty list.
     """
-    known = with_vocabulary(post, vocab.select("term", "index", "idf"), max_terms)
-    raw = known.select(key, *keep, "index", raw_weight().alias("w"))
+    counts = term_counts(docs, key, text, vocab.select("term", "index", "idf"), max_terms, stop_words, keep, partitions)
+    raw = counts.select(key, *keep, "index", raw_weight().alias("w"))
     entry = F.when(F.col("index").isNotNull(), F.struct("index", "w"))
     rows = raw.groupBy(key, *keep).agg(
-        F.array_sort(F.collect_list(entry)).alias("raw"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        F.sort_array(F.collect_list(entry)).alias("raw"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return rows.select(key, *keep, F.transform(
         "raw", lambda e: F.struct(e["index"].alias("index"), (e["w"] / F.col("norm")).alias("weight"))
     ).alias("entries"))
 
 
-def vocabulary_of(docs: DataFrame, key: str, text: str, stop_words: Sequence[str] = (),
-                  min_df: int = 2, max_terms: int = 20_000) -> DataFrame:
-    """H1 from documents."""
-    return vocabulary(postings(docs, key, text, stop_words), document_count(docs), min_df, max_terms)
-
-
-def weights_of(docs: DataFrame, key: str, text: str, stop_words: Sequence[str] = (),
-               min_df: int = 2, max_terms: int = 20_000) -> DataFrame:
-    """H1 and H2 from documents, as (key, term, weight) rows."""
-    post = postings(docs, key, text, stop_words)
-    vocab = vocabulary(post, document_count(docs), min_df, max_terms)
-    known = with_vocabulary(post, vocab.select("term", "idf"), max_terms, "inner")
-    raw = known.select(key, "term", raw_weight().alias("w"))
+def weights(docs: DataFrame, key: str, text: str, stop_words: Sequence[str] = (),
+            min_df: int = 2, max_terms: int = 20_000) -> DataFrame:
+    """H1 and H2 from documents, in long form: (key, term, weight)."""
+    vocab = vocabulary(docs, text, stop_words, min_df, max_terms).select(F.col("term"), F.col("term").alias("name"), "idf")
+    known = term_counts(docs, key, text, vocab, max_terms, stop_words).where(F.col("name").isNotNull())
+    raw = known.select(key, F.col("name").alias("term"), raw_weight().alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key)))
     return raw.select(key, "term", (F.col("w") / norm).alias("weight"))

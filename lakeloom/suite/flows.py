@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakeloom.operators import quality as Q
 from lakeloom.operators import sentiment as S
 from lakeloom.operators.sentiment import MAX_TERMS, MIN_DF
-from lakeloom.operators.tfidf import vocabulary_of
+from lakeloom.operators.tfidf import vocabulary
 from lakeloom.operators.shaping import metadata_rows, one_line
 from lakeloom.plans import medallion as L
 from lakeloom.session import work_path
@@ -198,7 +198,7 @@ STREAM_DEDUP_WATERMARK = "SELECT event_id, event_type FROM events"
 
 def _fixed_model(spark, sf, path):
     """A linear model over the vocabulary of the documents whose coefficients follow from the counts."""
-    terms = vocabulary_of(table(spark, sf, "documents"), "doc_id", "text", STOP_WORDS, MIN_DF, MAX_TERMS)
+    terms = vocabulary(table(spark, sf, "documents"), "text", STOP_WORDS, MIN_DF, MAX_TERMS)
     W.write_parquet(terms.withColumn("coefficient", F.col("cf") / F.col("df") - 1.3), f"{path}/terms")
     return S.SentimentModel(R.read_parquet(spark, f"{path}/terms"), 0.05, STOP_WORDS, MAX_TERMS, path)
 

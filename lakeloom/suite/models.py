@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.functions.score import rounded
 from lakeloom.operators import metrics as M
 from lakeloom.operators import sentiment as S
 from lakeloom.operators import tfidf as T
@@ -22,7 +21,7 @@ wt AS (SELECT doc_id, term, x / norm AS weight FROM x JOIN n USING (doc_id))"""
 
 
 def vocabulary(spark, sf):
-    vocab = T.vocabulary_of(table(spark, sf, "documents"), "doc_id", "text", STOP_WORDS)
+    vocab = T.vocabulary(table(spark, sf, "documents"), "text", STOP_WORDS)
     return vocab.select("term", F.col("index").cast("bigint").alias("index"), "df", "cf", F.round("idf", 6).alias("idf"))
 
 
@@ -30,7 +29,7 @@ VOCABULARY = f"WITH {SQL_VOCABULARY} SELECT term, index, df, cf, round(idf, 6) A
 
 
 def tfidf_weights(spark, sf):
-    weights = T.weights_of(table(spark, sf, "documents"), "doc_id", "text", STOP_WORDS)
+    weights = T.weights(table(spark, sf, "documents"), "doc_id", "text", STOP_WORDS)
     return weights.select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 

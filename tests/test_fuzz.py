@@ -6,7 +6,6 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
 
 from lakeloom.functions import cast, nested, text
 

@@ -65,12 +65,18 @@ def test_large_quota_works_on_slices(spark, sf):
         R.WINDOW_PRUNE_LIMIT = monkey
 
 
-def test_one_shuffle_of_the_text(spark, sf):
-    post = T.postings(sf("documents"), "doc_id", "text")
-    assert len(re.findall(r"Exchange hashpartitioning", plan(post))) == 1
+def test_weighing_shuffles_the_text_once_and_nothing_else(spark, sf):
     vocab = spark.createDataFrame([("a", 0, 1.0)], "term string, index int, idf double")
-    vecs = T.vectors(post, vocab, "doc_id", 10)
-    assert len(re.findall(r"Exchange hashpartitioning", plan(vecs))) == 1
+    text = plan(T.vectors(sf("documents"), "doc_id", "text", vocab, 10))
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1 and "SortMergeJoin" not in text
+
+
+def test_counting_terms_does_not_shuffle_the_text(spark, sf, tmp_path):
+    sf("documents").repartition(8).write.parquet(str(tmp_path / "docs"))
+    many = plan(T.term_statistics(spark.read.parquet(str(tmp_path / "docs")), "text"))
+    assert re.findall(r"Exchange \w+", many) == ["Exchange hashpartitioning"]
+    # A single file is spread over the cores first.
+    assert "RoundRobinPartitioning" in plan(T.term_statistics(sf("documents"), "text"))
 
 
 def test_filters_and_columns_reach_the_scan(spark):

@@ -54,9 +54,9 @@ def catalogue(spark, seed, n=40):
 def test_vocabulary_and_weights_equal_brute_force(spark):
     items, df = catalogue(spark, 3)
     kept, weights = brute_weights([i["text"] for i in items], 2, 25)
-    vocab = T.vocabulary_of(df, "id", "text", max_terms=25).orderBy("index").collect()
+    vocab = T.vocabulary(df, "text", max_terms=25).orderBy("index").collect()
     assert [(r["term"], r["index"]) for r in vocab] == [(t, n) for n, t in enumerate(kept)]
-    got = {(r.id, r.term): r.weight for r in T.weights_of(df, "id", "text", max_terms=25).collect()}
+    got = {(r.id, r.term): r.weight for r in T.weights(df, "id", "text", max_terms=25).collect()}
     expected = {(i["id"], t): x for i, w in zip(items, weights) for t, x in w.items()}
     assert got == pytest.approx(expected)
 
