@@ -12,7 +12,7 @@ from lakeloom.functions.nested import json_names, json_names_by_role
 from lakeloom.functions.score import DEFAULT_RATING, sentiment_label
 from lakeloom.functions.text import clean, default_stop_words, filled, language_code, longer_than, weighted_text
 from lakeloom.operators.presets import WRITER_PRODUCER_JOBS
-from lakeloom.operators.quality import audit_gold, audit_layer
+from lakeloom.operators.quality import audit_gold, audit_layer, compression, removed_rows, stored_size, union_all
 from lakeloom.operators.recommend import ItemIndex
 from lakeloom.operators.relational import keep_first, left_join
 from lakeloom.operators.sentiment import SentimentModel, train_and_evaluate
@@ -223,6 +223,21 @@ def audit(spark: SparkSession, bronze_dir: str, silver_dir: str, gold_dir: str,
     return {n: m for n, (m, _) in manifests.items()}
 
 
+def removed_report(spark: SparkSession, bronze_dir: str, silver_dir: str) -> DataFrame:
+    """A4: rows before, after and removed per Silver step."""
+    bronze = read_bronze(spark, bronze_dir, keep_order=False)
+    return union_all([removed_rows(bronze[source], read_parquet(spark, f"{silver_dir}/{name}"), name)
+                      for name, (source, _) in SILVER_STEPS.items() if bronze[source] is not None])
+
+
+def compression_report(spark: SparkSession, bronze_dir: str, silver_dir: str) -> DataFrame:
+    """Q4: size of each raw text table against the Silver table made of it."""
+    bronze = read_bronze(spark, bronze_dir, keep_order=False)
+    present = [(name, source) for name, (source, _) in SILVER_STEPS.items() if bronze[source] is not None]
+    return compression(union_all([stored_size(bronze[source], name) for name, source in present]),
+                       union_all([stored_size(read_parquet(spark, f"{silver_dir}/{name}"), name) for name, _ in present]))
+
+
 def run_all(spark: SparkSession, bronze_dir: str, silver_dir: str, gold_dir: str, models_dir: str,
             stop_words: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The whole flow over landed Bronze tables; returns the manifests."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeloom.sources.readers import read_text_table
 
@@ -105,13 +106,16 @@ def known_keys(spark: SparkSession, path: str, columns: list[str], key: str,
     Reads the narrow ledger of each batch, and the text only of batches that
     have none.
     """
-    noted = set(_batches(spark, path + LEDGER))
+    noted = _batches(spark, path + LEDGER)
     parts = []
-    kept = [b for b in _batches(spark, path) if without is None or b.split("-", 2)[2:] != [without]]
-    if ledgers := [f"{path}{LEDGER}/{b}" for b in kept if b in noted]:
-        parts.append(spark.read.schema(f"`{key}` string").parquet(*ledgers))
+    if noted:
+        # One scan of the whole ledger, however many batches there are.
+        ledger = (spark.read.schema(f"`{key}` string").option("recursiveFileLookup", True).parquet(path + LEDGER))
+        own = F.col("_metadata.file_path").contains(f"-{without}/") if without else F.lit(False)
+        parts.append(ledger.where(~own).select(key))
     plain = [p for p in text_table_paths(spark, path) if p != path]
-    if texts := plain + [f"{path}/{b}" for b in kept if b not in noted]:
+    unnoted = sorted({b for b in _batches(spark, path) if b.split("-", 2)[2:] != [without]} - set(noted))
+    if texts := plain + [f"{path}/{b}" for b in unnoted]:
         parts.append(read_text_table(spark, texts, columns, na_tokens=False).select(key))
     return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
 

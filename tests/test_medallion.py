@@ -93,6 +93,15 @@ def test_manifests(spark, flow):
     assert spark.read.json(f"{dirs['silver']}/silver_manifest").first().total_rows == 240
 
 
+def test_reports(spark, flow):
+    _, dirs, _ = flow
+    removed = {r.step: (r.rows_before, r.rows_after, r.rows_removed)
+               for r in L.removed_report(spark, dirs["bronze"], dirs["silver"]).collect()}
+    assert removed["silver_movies"] == (63, 60, 3) and removed["silver_reviews"] == (63, 60, 3)
+    sizes = L.compression_report(spark, dirs["bronze"], dirs["silver"]).collect()
+    assert len(sizes) == 4 and all(r.ratio == pytest.approx(r.text_kb / r.stored_kb, abs=0.01) for r in sizes)
+
+
 def test_recommender_answers_by_title(spark, flow):
     _, dirs, _ = flow
     index = L.ItemIndex.load(spark, f"{dirs['models']}/recommender")
