@@ -177,7 +177,7 @@ class ItemIndex:
         if not spark.catalog.tableExists(name):
             columns = spark.read.parquet(vectors_path).schema
             spark.sql(f"CREATE TABLE {name} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns)}) "
-                      f"USING parquet CLUSTERED BY (row) INTO {meta.buckets} BUCKETS LOCATION '{vectors_path}'")
+                      f"USING parquet CLUSTERED BY (row) INTO {meta.buckets} BUCKETS LOCATION '{vectors_path.replace("'", chr(92) + "'")}'")
         return cls(spark.read.parquet(f"{path}/vocabulary"), spark.table(name), spark.read.parquet(f"{path}/items"),
                    meta.title)
 

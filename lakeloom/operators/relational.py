@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lakeloom.functions.text import strip
+
 # Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
 WINDOW_PRUNE_LIMIT = 1000
 SLICES = 64
@@ -63,9 +65,9 @@ def lookup_code(df: DataFrame, name: str, codes: DataFrame, code_name: str, code
     ``codes`` has one row per name.
     """
     table = codes.select(F.col(code_name).alias("_name"), F.col(code).cast("bigint").alias("_code"))
-    key = F.trim(F.lower(F.col(name)))
+    key = strip(F.lower(F.col(name)))
     return (df.join(table, key == F.col("_name"), "left")
-            .withColumn(code, F.coalesce("_code", F.trim(F.col(name)).try_cast("bigint")))
+            .withColumn(code, F.coalesce("_code", strip(name).try_cast("bigint")))
             .where(F.col(code).isNotNull())
             .drop("_name", "_code"))
 

@@ -40,11 +40,10 @@ def movie_genre_ids(names: Sequence[str] | None) -> list[tuple[str, int]]:
     """J3 for the selector's own arguments: genre name or number; unknown names are skipped."""
     out = []
     for name in names or list(P.MOVIE_GENRES):
-        code = P.MOVIE_GENRES.get(name.lower().strip())
-        if code is None and name.strip().lstrip("+-").isdigit():
-            code = int(name)
-        if code is not None:
-            out.append((name, code))
+        try:
+            out.append((name, P.MOVIE_GENRES.get(name.lower().strip()) or int(name)))
+        except ValueError:
+            continue
     return out
 
 

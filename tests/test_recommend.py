@@ -82,6 +82,7 @@ def test_top_k_equals_scoring_every_pair(spark, monkeypatch, seed, k, boost, n,
 
 
 def test_stored_index_opens_again(spark, tmp_path):
+    tmp_path = tmp_path / "it's here"
     _, df = catalogue(spark, 6)
     built = R.ItemIndex.build(df, text="text", rating="rating", columns=["title"], path=str(tmp_path / "i"), buckets=3)
     queries = spark.createDataFrame([(1, "t3"), (2, "104"), (3, "nothing like it")], "query_id int, query string")

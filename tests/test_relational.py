@@ -56,9 +56,9 @@ def test_left_join_keeps_left_rows_when_right_keys_are_unique(spark, sf):
 
 
 def test_lookup_code(spark):
-    names = spark.createDataFrame([(" Action",), ("77",), ("nope",), (None,)], "n string")
+    names = spark.createDataFrame([(" Action\t",), ("77",), ("nope",), (None,)], "n string")
     codes = spark.createDataFrame([("action", 28)], "name string, code int")
-    assert rows(R.lookup_code(names, "n", codes, "name", "code")) == [(" Action", 28), ("77", 77)]
+    assert rows(R.lookup_code(names, "n", codes, "name", "code")) == [(" Action\t", 28), ("77", 77)]
 
 
 def test_group_quota():
