@@ -11,15 +11,33 @@ from pyspark.sql import functions as F
 from lakeloom.functions.score import rounded
 
 
-def table_profile(df: DataFrame, name: str, layer: str | None = None) -> DataFrame:
-    """A1+A3: one row with rows, column count, column list and the NULL count of every column."""
-    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns]
-    counted = df.agg(F.count("*").alias("_rows"), *nulls)
+def table_profile(df: DataFrame, name: str, layer: str | None = None, stored: bool = False) -> DataFrame:
+    """A1+A3: one row with rows, column count, column list and the NULL count of every column.
+
+    ``stored`` adds file_count and size_kb of a table read from files. All of it
+    is one pass: counted per file first, then added up.
+    """
+    names = df.columns
+    nulls = [f"_nulls{i}" for i in range(len(names))]
+    counts = [F.count("*").alias("_rows"), *[
+        F.count_if(F.col(f"`{c}`").isNull()).alias(n) for c, n in zip(names, nulls)]]
+    if stored:
+        per_file = (df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_size"))
+                    .groupBy("_file").agg(*counts, F.max("_size").alias("_size")))
+        counted = per_file.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_rows", *nulls)],
+                               F.count("*").alias("file_count"), _kilobytes(F.sum("_size")).alias("size_kb"))
+    else:
+        counted = df.agg(*counts)
     return counted.select(
         F.lit(name).alias("table_name"), F.lit(layer).alias("layer"),
-        F.col("_rows").alias("row_count"), F.lit(len(df.columns)).cast("bigint").alias("col_count"),
-        F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
-        F.create_map(*[x for c in df.columns for x in (F.lit(c), F.col(f"`{c}`"))]).alias("null_counts"))
+        F.col("_rows").alias("row_count"), F.lit(len(names)).cast("bigint").alias("col_count"),
+        F.array(*[F.lit(c) for c in names]).alias("columns"),
+        F.create_map(*[x for c, n in zip(names, nulls) for x in (F.lit(c), F.col(n))]).alias("null_counts"),
+        *(["file_count", "size_kb"] if stored else []))
+
+
+def _kilobytes(size: Column) -> Column:
+    return rounded(F.coalesce(size, F.lit(0)) / 1024.0, 2)
 
 
 def null_rates(profile: DataFrame) -> DataFrame:
@@ -34,7 +52,7 @@ def stored_size(df: DataFrame, name: str) -> DataFrame:
     files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
     return (files.groupBy("f").agg(F.max("s").alias("s"))
             .agg(F.lit(name).alias("table_name"), F.count("*").alias("file_count"),
-                 rounded(F.coalesce(F.sum("s"), F.lit(0)) / 1024.0, 2).alias("size_kb")))
+                 _kilobytes(F.sum("s")).alias("size_kb")))
 
 
 def compression(text_sizes: DataFrame, stored_sizes: DataFrame) -> DataFrame:
@@ -77,9 +95,7 @@ def audit_layer(tables: dict[str, DataFrame | None], layer: str, pipeline: str,
     spark = next(iter(present.values())).sparkSession if present else None
     if spark is None:
         raise ValueError(f"layer {layer} has no table at all")
-    per_table = union_all([table_profile(df, n, layer) for n, df in present.items()])
-    sizes = union_all([stored_size(df, n) for n, df in present.items()])
-    per_table = per_table.join(sizes, "table_name", "left")
+    per_table = union_all([table_profile(df, n, layer, stored=True) for n, df in present.items()])
     checked = [key_profile(df, n, keys[n]) for n, df in present.items() if keys and n in keys]
     if checked:
         per_table = per_table.join(union_all(checked).drop("row_count"), "table_name", "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import relational as R
 from lakeloom.operators import tfidf as T
+from lakeloom.plans.medallion import GOLD_CREDIT_COLUMNS, GOLD_MOVIE_COLUMNS, gold_features
 from lakeloom.suite import CASES
 from lakeloom.suite.models import item_index, item_queries
 
@@ -88,3 +89,15 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_vocabulary_is_sorted_only_above_the_cut(spark, sf):
     df = sf("events").groupBy(F.col("props").alias("term")).agg(F.count("*").alias("cf"))
     assert "Subquery" in plan(R.top_n_pruned(df, "cf", "term", 10))
+
+
+def test_gold_shuffles_each_table_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        movies, credits, keywords = (spark.range(9).selectExpr("id", *[f"'x' AS {c}" for c in cols if c != "id"]) for cols in (
+            GOLD_MOVIE_COLUMNS, GOLD_CREDIT_COLUMNS, ["keywords_clean"]))
+        text = plan(gold_features(movies, credits, keywords))
+        assert len(re.findall("Exchange hashpartitioning", text)) == 3 and len(re.findall("SortMergeJoin", text)) == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
