@@ -18,9 +18,12 @@ def _type(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def _objects(text: Column) -> Column:
-    """Objects of a JSON list; NULL when the text is no JSON list."""
-    items = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+def json_objects(c: Column | str) -> Column:
+    """Objects of a JSON list; NULL when the text is no JSON list.
+
+    A transient column of these lets several results share one parse.
+    """
+    items = F.try_variant_get(F.try_parse_json(as_column(c)), "$", "array<variant>")
     return F.filter(items, lambda v: _type(v).startswith("OBJECT"))
 
 
@@ -50,13 +53,13 @@ def _joined_names(objects: Column, unique: bool) -> Column:
     return F.coalesce(let(used, join), F.lit(""))
 
 
-def json_names(c: Column | str) -> Column:
-    """X11: names of the objects in a JSON list, comma-joined; anything else is ''."""
-    return _joined_names(_objects(as_column(c)), unique=False)
+def object_names(objects: Column | str) -> Column:
+    """X11 on parsed objects: their names, comma-joined; '' for NULL."""
+    return _joined_names(as_column(objects), unique=False)
 
 
-def json_names_by_role(c: Column | str, jobs: Sequence[str]) -> Column:
-    """X12+D3: distinct names, in list order, of the objects whose job is one of ``jobs``."""
+def object_names_by_role(objects: Column | str, jobs: Sequence[str]) -> Column:
+    """X12+D3 on parsed objects: distinct names, in list order, of those whose job is one of ``jobs``."""
     def member(v: Column) -> Column:
         return let(F.try_variant_get(v, "$.job", "variant"), lambda job: F.struct(
             F.coalesce(F.when(_type(job) == "STRING", F.variant_get(job, "$", "string").isin(*jobs)),
@@ -68,7 +71,17 @@ def json_names_by_role(c: Column | str, jobs: Sequence[str]) -> Column:
         wanted = F.transform(F.filter(members, lambda m: m["wanted"]), lambda m: m["object"])
         return F.when(F.exists(members, lambda m: m["nested"]), "").otherwise(_joined_names(wanted, unique=True))
 
-    return F.coalesce(let(F.transform(_objects(as_column(c)), member), join), F.lit(""))
+    return F.coalesce(let(F.transform(as_column(objects), member), join), F.lit(""))
+
+
+def json_names(c: Column | str) -> Column:
+    """X11: names of the objects in a JSON list, comma-joined; anything else is ''."""
+    return object_names(json_objects(c))
+
+
+def json_names_by_role(c: Column | str, jobs: Sequence[str]) -> Column:
+    """X12+D3: distinct names, in list order, of the objects whose job is one of ``jobs``."""
+    return object_names_by_role(json_objects(c), jobs)
 
 
 def json_scalar(c: Column | str, path: str, kind: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.cast import iso_date, lenient_double, lenient_id, lenient_int, release_year
-from lakeloom.functions.nested import json_names, json_names_by_role
+from lakeloom.functions.nested import json_names, json_objects, object_names, object_names_by_role
 from lakeloom.functions.score import DEFAULT_RATING, sentiment_label
 from lakeloom.functions.text import clean, default_stop_words, filled, language_code, longer_than, weighted_text
 from lakeloom.operators.presets import WRITER_PRODUCER_JOBS
@@ -72,13 +72,15 @@ def silver_movies(bronze: DataFrame, normalise_key: bool = False, on_fraction: s
 
 def silver_credits(bronze: DataFrame, normalise_key: bool = False, on_fraction: str = "raise") -> DataFrame:
     """Deduplicated credits with cast, director and crew names."""
-    return _first_rows(bronze, "id", normalise_key).withColumns({
+    # The crew lists are most of the raw bytes, so they are parsed once for all three columns.
+    parsed = _first_rows(bronze, "id", normalise_key).withColumn("_crew", json_objects("crew"))
+    return parsed.withColumns({
         "id": lenient_id("id", on_fraction),
         "top_cast_clean": json_names("cast"),
-        "director_clean": json_names_by_role("crew", ["Director"]),
-        "writers_producers_clean": json_names_by_role("crew", WRITER_PRODUCER_JOBS),
-        "all_crew_clean": json_names("crew"),
-    })
+        "director_clean": object_names_by_role("_crew", ["Director"]),
+        "writers_producers_clean": object_names_by_role("_crew", WRITER_PRODUCER_JOBS),
+        "all_crew_clean": object_names("_crew"),
+    }).drop("_crew")
 
 
 def silver_keywords(bronze: DataFrame, normalise_key: bool = False, on_fraction: str = "raise") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import relational as R
 from lakeloom.operators import tfidf as T
-from lakeloom.plans.medallion import GOLD_CREDIT_COLUMNS, GOLD_MOVIE_COLUMNS, gold_features
+from lakeloom.plans.medallion import GOLD_CREDIT_COLUMNS, GOLD_MOVIE_COLUMNS, gold_features, silver_credits
 from lakeloom.suite import CASES
 from lakeloom.suite.models import item_index, item_queries
 
@@ -101,3 +101,9 @@ def test_gold_shuffles_each_table_once(spark):
         assert len(re.findall("Exchange hashpartitioning", text)) == 3 and len(re.findall("SortMergeJoin", text)) == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_crew_is_parsed_once(spark):
+    bronze = spark.createDataFrame([("1", "[]", "[]")], "id string, cast string, crew string")
+    text = silver_credits(bronze)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"parse_?json\(crew", text, re.I)) == 1, text
