@@ -13,18 +13,28 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.common import as_column, let
 
+# From the opening bracket to the closing one, with nothing but white space around.
+LIST_PATTERN = r"(?s)\A[ \t\r\n]*\[.*\][ \t\r\n]*\z"
+
 
 def _type(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
 def json_objects(c: Column | str) -> Column:
-    """Objects of a JSON list; NULL when the text is no JSON list.
+    """(name, job) of the objects of a JSON list; NULL when the text is no JSON list.
 
-    A transient column of these lets several results share one parse.
+    A transient column of these lets several results share one parse. A list of
+    objects takes the schema-bound parser, which skips all other fields; what
+    that one gives up on (mixed lists, mostly) is parsed as a whole.
     """
-    items = F.try_variant_get(F.try_parse_json(as_column(c)), "$", "array<variant>")
-    return F.filter(items, lambda v: _type(v).startswith("OBJECT"))
+    c = as_column(c)
+    bound = F.from_json(c, "array<struct<name variant, job variant>>", {"allowSingleQuotes": "false"})
+    quick = F.filter(bound, lambda v: v.isNotNull())
+    items = F.try_variant_get(F.try_parse_json(c), "$", "array<variant>")
+    whole = F.transform(F.filter(items, lambda v: _type(v).startswith("OBJECT")), lambda v: F.struct(
+        F.try_variant_get(v, "$.name", "variant").alias("name"), F.try_variant_get(v, "$.job", "variant").alias("job")))
+    return F.when(c.rlike(LIST_PATTERN), F.coalesce(quick, whole))
 
 
 def _is_empty_value(v: Column) -> Column:
@@ -37,7 +47,7 @@ def _is_empty_value(v: Column) -> Column:
 
 def _name(v: Column) -> Column:
     """(used, text) of the name of one object; a used name without text is not a text."""
-    return let(F.try_variant_get(v, "$.name", "variant"), lambda n: let(
+    return let(v["name"], lambda n: let(
         F.when(_type(n) == "STRING", F.variant_get(n, "$", "string")),
         lambda text: F.struct(F.coalesce(text != "", ~_is_empty_value(n)).alias("used"), text.alias("text"))))
 
@@ -61,7 +71,7 @@ def object_names(objects: Column | str) -> Column:
 def object_names_by_role(objects: Column | str, jobs: Sequence[str]) -> Column:
     """X12+D3 on parsed objects: distinct names, in list order, of those whose job is one of ``jobs``."""
     def member(v: Column) -> Column:
-        return let(F.try_variant_get(v, "$.job", "variant"), lambda job: F.struct(
+        return let(v["job"], lambda job: F.struct(
             F.coalesce(F.when(_type(job) == "STRING", F.variant_get(job, "$", "string").isin(*jobs)),
                        F.lit(False)).alias("wanted"),
             # A job that is itself a list or an object makes the whole cell unusable.

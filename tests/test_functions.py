@@ -54,6 +54,11 @@ def test_dates(spark):
     ("[]", ""),
     ("null", ""),
     ("bad", ""),
+    ('[{"name":"A"}] xyz', ""),
+    (' \n[{"name":"A","name":"B"}] ', "B"),
+    ('[{"name":NaN},{"name":"A"}]', ""),
+    ('[{"name":"A"},]', ""),
+    ('[{"NAME":"A"},{"name":"z","x":{"name":"Z"}}]', "z"),
     ('[{"name":"A"}', ""),
     ("[{'name':'A'}]", ""),
     (None, ""),
