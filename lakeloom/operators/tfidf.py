@@ -28,7 +28,8 @@ BROADCAST_TERMS = 1_000_000
 def _spread(docs: DataFrame) -> DataFrame:
     """Spread the rows of a few input files over all cores; many files are spread already."""
     cores = docs.sparkSession.sparkContext.defaultParallelism
-    return docs.repartition(cores) if 0 < len(docs.inputFiles()) < cores else docs
+    # Only the number of files crosses to Python, not their names.
+    return docs.repartition(cores) if 0 < len(docs._jdf.inputFiles()) < cores else docs
 
 
 def term_statistics(docs: DataFrame, text: str, stop_words: Sequence[str] = ()) -> DataFrame:
