@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import bpe, exact_dedup, toxicity
+from lakeloom.llm import bpe, decontaminate, exact_dedup, ngram_join, toxicity
 from lakeloom.llm.common import documents
 from lakeloom.session import materialise
 
 STAGES = [
     ("toxicity", toxicity.stage),
     ("exact_dedup", exact_dedup.stage),
+    ("ngram_join", ngram_join.stage),
+    ("decontaminate", decontaminate.stage),
     ("bpe", bpe.stage),
 ]
 

@@ -6,10 +6,13 @@ None where SQL cannot say it. Nothing else in the library imports this package.
 
 from __future__ import annotations
 
-from lakeloom.llm import bpe, exact_dedup, toxicity
+from lakeloom.llm import bpe, decontaminate, exact_dedup, ngram_join, sharding, toxicity
 
 CASES = {
     "op1_bpe": (bpe.op1_bpe, None),
     "op3_toxicity": (toxicity.op3_toxicity, None),
     "op4_exact_dedup": (exact_dedup.op4_exact_dedup, exact_dedup.SQL),
+    "op6_sharding": (sharding.op6_sharding, None),
+    "op8_ngram_join": (ngram_join.op8_ngram_join, None),
+    "op9_decontaminate": (decontaminate.op9_decontaminate, None),
 }

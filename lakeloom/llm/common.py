@@ -107,3 +107,17 @@ def components(edges: DataFrame, purpose: str = "components", rounds: int = 60)
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     roots = current.select(F.col("b").alias("a"), "b").distinct()
     return current.union(roots).select(F.col("a").alias("node"), F.col("b").alias("component")).distinct()
+
+
+#: Row numbers that may be broadcast: 8 bytes each.
+BROADCAST_ROWS = 1_000_000
+
+
+def by_row(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Join ``docs`` with the stored table ``rows`` on ``_row``.
+
+    The rows are counted: up to a bound they are broadcast and the texts stay
+    where they are; beyond it both sides are shuffled, the rows being hashed.
+    """
+    small = rows.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(rows) if small else rows.hint("shuffle_hash"), "_row", how)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import DOCUMENT_COLUMNS, SPACE, documents, sorted_names, text_of, with_row
+from lakeloom.llm.common import DOCUMENT_COLUMNS, SPACE, by_row, documents, sorted_names, text_of, with_row
 from lakeloom.session import materialise
 
 BLOCK_CHARS = 4096
@@ -103,8 +103,8 @@ def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS, hash_bits: int
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (a stored table) that stay, with all their columns."""
-    kept = materialise(exact_groups(docs).where("kept").select("_row"), "kept")
-    return with_row(docs, "_row").join(kept, "_row", "left_semi").drop("_row")
+    dropped = materialise(exact_groups(docs).where("not kept").select("_row"), "dropped")
+    return by_row(with_row(docs, "_row"), dropped, "left_anti").drop("_row")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
