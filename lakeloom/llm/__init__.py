@@ -6,10 +6,11 @@ None where SQL cannot say it. Nothing else in the library imports this package.
 
 from __future__ import annotations
 
-from lakeloom.llm import bpe, decontaminate, exact_dedup, ngram_join, sharding, toxicity
+from lakeloom.llm import bpe, decontaminate, exact_dedup, ngram_join, pii, sharding, toxicity
 
 CASES = {
     "op1_bpe": (bpe.op1_bpe, None),
+    "op2_pii": (pii.op2_pii, None),
     "op3_toxicity": (toxicity.op3_toxicity, None),
     "op4_exact_dedup": (exact_dedup.op4_exact_dedup, exact_dedup.SQL),
     "op6_sharding": (sharding.op6_sharding, None),
