@@ -6,7 +6,7 @@ None where SQL cannot say it. Nothing else in the library imports this package.
 
 from __future__ import annotations
 
-from lakeloom.llm import bpe, decontaminate, exact_dedup, ngram_join, pii, sharding, toxicity
+from lakeloom.llm import bpe, decontaminate, exact_dedup, ngram_join, pii, quality, sharding, toxicity
 
 CASES = {
     "op1_bpe": (bpe.op1_bpe, None),
@@ -14,6 +14,7 @@ CASES = {
     "op3_toxicity": (toxicity.op3_toxicity, None),
     "op4_exact_dedup": (exact_dedup.op4_exact_dedup, exact_dedup.SQL),
     "op6_sharding": (sharding.op6_sharding, None),
+    "op7_quality": (quality.op7_quality, None),
     "op8_ngram_join": (ngram_join.op8_ngram_join, None),
     "op9_decontaminate": (decontaminate.op9_decontaminate, None),
 }
