@@ -6,15 +6,28 @@ None where SQL cannot say it. Nothing else in the library imports this package.
 
 from __future__ import annotations
 
-from lakeloom.llm import bpe, decontaminate, exact_dedup, ngram_join, pii, quality, sharding, toxicity
+from lakeloom.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    ngram_join,
+    pii,
+    quality,
+    sharding,
+    substring_dedup,
+    toxicity,
+)
 
 CASES = {
     "op1_bpe": (bpe.op1_bpe, None),
     "op2_pii": (pii.op2_pii, None),
     "op3_toxicity": (toxicity.op3_toxicity, None),
     "op4_exact_dedup": (exact_dedup.op4_exact_dedup, exact_dedup.SQL),
+    "op5_line_dedup": (line_dedup.op5_line_dedup, None),
     "op6_sharding": (sharding.op6_sharding, None),
     "op7_quality": (quality.op7_quality, None),
     "op8_ngram_join": (ngram_join.op8_ngram_join, None),
     "op9_decontaminate": (decontaminate.op9_decontaminate, None),
+    "op10_substring_dedup": (substring_dedup.op10_substring_dedup, None),
 }
