@@ -103,8 +103,9 @@ def repeated_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least: int = BLO
     after = F.transform("lines", lambda h, i: F.struct(h.alias("h"), F.get("lines", i + 1).alias("next")))
     each = texts.select("_row", "o", F.explode(after).alias("l")).select("_row", "o", "l.h", "l.next").where("h <> 0")
     keyed = each.join(counts, "h").select(
-        "_row", "o", F.when(F.col("docs") <= rare_docs, F.col("h")).otherwise(F.xxhash64("h", "next")).alias("key"),
-        (F.col("docs") <= rare_docs).alias("rare")).where("rare or key is not null").distinct()
+        "_row", "o", F.when(F.col("docs") <= rare_docs, F.col("h")).when(
+            F.col("next").isNotNull(), F.xxhash64("h", "next")).alias("key"),
+        (F.col("docs") <= rare_docs).alias("rare")).where("key is not null").distinct()
     keyed = materialise(keyed, "line-keys")
     holders = materialise(keyed.groupBy("key", "rare").agg(F.min("o").alias("first"), F.count("*").alias("n"))
                           .where("n > 1").select("key", "rare", F.col("first.r").alias("first")), "holders")

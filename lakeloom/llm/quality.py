@@ -136,10 +136,8 @@ class Cnn:
     def fit(self, texts: list[bytes], label: np.ndarray, epochs: int = EPOCHS, rate: float = 0.01, batch: int = 32,
             seed: int = 5) -> Cnn:
         """Adam on the logistic loss, classes weighted to equal sums."""
-        if not len(label):
-            return self
-        share = label.mean()
-        if share in (0, 1):
+        share = label.mean() if len(label) else 0.5
+        if share in (0, 1) or not len(label):
             self.p["v"][:] = 0
             self.p["c"][:] = 12 * share - 6
             return self

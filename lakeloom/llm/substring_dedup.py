@@ -44,12 +44,12 @@ class Chunker:
     def __call__(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per text: where its chunks begin, its length last; and a hash for each chunk."""
         sizes = [len(t) for t in texts]
-        flat = np.frombuffer(b"".join(t + bytes(GEAR_BYTES) for t in texts), np.uint8)
-        begin = np.cumsum([0] + [n + GEAR_BYTES for n in sizes])
+        # Before each text there is room for one hash, in which nothing counts: every text starts from the same state.
+        flat = np.frombuffer(b"".join(bytes(GEAR_BYTES) + t for t in texts), np.uint8)
+        begin = np.cumsum([0] + [n + GEAR_BYTES for n in sizes])[:-1] + GEAR_BYTES
         rolled, width = _GEAR[flat], 1
-        for at, n in zip(begin, sizes):
-            # Between texts there is nothing: the hash of a text starts from zero.
-            rolled[at + n:at + n + GEAR_BYTES] = 0
+        for at in begin:
+            rolled[at - GEAR_BYTES:at] = 0
         while width < GEAR_BYTES:
             further = rolled.copy()
             further[width:] += rolled[:-width] << np.uint32(width)
@@ -57,6 +57,8 @@ class Chunker:
         mixed = (rolled ^ (rolled >> np.uint32(16))) * np.uint32(0x7FEB352D)
         cut = np.flatnonzero(mixed < np.uint32((1 << 32) // ONE_IN)) + 1
         cut = cut[np.diff(cut, prepend=-LEAST) >= LEAST]
+        if not texts:
+            return []
         if len(self._power) < len(flat) + 1:
             for name, factor in (("_power", _FACTOR), ("_inverse", pow(_FACTOR, -1, 1 << 64))):
                 row = np.full(len(flat) + 1, factor, np.uint64)
@@ -65,8 +67,8 @@ class Chunker:
         total = np.concatenate((np.zeros(1, np.uint64),
                                 np.cumsum(_VALUE[flat] * self._power[:len(flat)], dtype=np.uint64)))
         out = []
-        for at, n, first, last in zip(begin, sizes, np.searchsorted(cut, begin[:-1], "right"),
-                                      np.searchsorted(cut, begin[:-1] + sizes, "left")):
+        for at, n, first, last in zip(begin, sizes, np.searchsorted(cut, begin, "right"),
+                                      np.searchsorted(cut, begin + sizes, "left")):
             edges = np.concatenate(([at], cut[first:last], [at + n])) if n else np.array([at])
             long = np.flatnonzero(np.diff(edges) > MOST)
             if len(long):
