@@ -109,6 +109,11 @@ def as_json(c: Column | str) -> Column:
     return F.coalesce(F.to_json(as_column(c)), F.lit("[]"))
 
 
+def objects_json(c: Column | str) -> Column:
+    """JSON text of a list whose objects are JSON texts themselves, ``[]`` for NULL."""
+    return F.coalesce(F.concat(F.lit("["), F.array_join(as_column(c), ",", "null"), F.lit("]")), F.lit("[]"))
+
+
 def first_text(*candidates: Column | str) -> Column:
     """The first text that is neither NULL nor empty, else ''."""
     return F.coalesce(*[F.nullif(as_column(c), F.lit("")) for c in candidates], F.lit(""))

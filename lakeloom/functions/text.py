@@ -12,12 +12,14 @@ from lakeloom.functions.common import as_column, let
 
 # Unicode white space plus the four separator controls.
 SPACE = r"[\s\x1c-\x1f]"
+SPACE_CHARACTERS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                     0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
 def strip(c: Column | str) -> Column:
     """Drop white space of any kind at both ends."""
-    return F.regexp_replace(as_column(c), rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(as_column(c), F.lit(SPACE_CHARACTERS))
 
 
 def collapse(c: Column | str) -> Column:

@@ -121,7 +121,7 @@ class ItemIndex:
 
     @classmethod
     def build(cls, items: DataFrame, *, text: str = "metadata_soup", item: str = "id",
-              title: str | None = "title", row: str | None = None,
+              title: str | None = "title", row: str | None = None, order: str | None = None,
               rating: str | Column = "vote_average", popularity: str | Column = "popularity",
               columns: Sequence[str] = INDEX_COLUMNS, stop_words: Sequence[str] = (),
               min_df: int = 2, max_terms: int = 20_000, path: str | None = None,
@@ -129,37 +129,39 @@ class ItemIndex:
         """Fit the vocabulary, weigh every item and store the three tables.
 
         ``row`` names a column that numbers the item rows; without it they are
-        numbered in reading order. ``path`` defaults to the shared folder, and
+        numbered by the column ``order``, or else in reading order. ``path`` defaults to the shared folder, and
         ``buckets``, the number of tasks that score, to the shuffle partitions.
         """
         spark = items.sparkSession
         path = path or work_path(spark, "index")
-        # Every build has a table and folder of its own, so a catalogue can never
-        # pair an old bucket count with new files.
+        # Every build has a table and a folder of its own. The meta file, written
+        # last, says which one is open: a build that fails leaves the old one whole.
         build, previous = uuid.uuid4().hex, cls._meta(spark, path)
+        folder = f"{path}/build-{build}"
         wanted = dict.fromkeys([item, *([title] if title else []), *columns])
-        base = items.where(F.col(item).isNotNull()).select(
+        rows = items.where(F.col(item).isNotNull())
+        base = (rows.orderBy(order, item) if order else rows).select(
             (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
             F.col(item).alias("item"), quality(rating, popularity).alias("quality"), *wanted,
             F.col(text).alias("_text"))
         # Row numbers made here hold only for what is written, so the text is written with them.
         stored = base.drop("_text") if row else base
-        stored.write.mode("overwrite").parquet(f"{path}/items")
-        stored = spark.read.schema(stored.schema).parquet(f"{path}/items")
+        stored.write.parquet(f"{folder}/items")
+        stored = spark.read.schema(stored.schema).parquet(f"{folder}/items")
         rows = base if row else stored
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         vocab = vocabulary(rows, "_text", stop_words, min_df, max_terms, document_count(stored))
-        vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
-        vocab = spark.read.schema(vocab.schema).parquet(f"{path}/vocabulary")
+        vocab.write.parquet(f"{folder}/vocabulary")
+        vocab = spark.read.schema(vocab.schema).parquet(f"{folder}/vocabulary")
         # One task per bucket already, so this is one file per bucket.
         (vectors(rows, "row", "_text", vocab, max_terms, stop_words, ["item", "quality"], buckets)
          .write.mode("overwrite").format("parquet").bucketBy(buckets, "row")
-         .option("path", f"{path}/vectors-{build}").saveAsTable(_table_name(build)))
+         .option("path", f"{folder}/vectors").saveAsTable(_table_name(build)))
         meta = spark.createDataFrame([(buckets, title, build)], META)
         meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
         if previous is not None:
             spark.sql(f"DROP TABLE IF EXISTS {_table_name(previous.build)}")
-            delete_path(spark, f"{path}/vectors-{previous.build}")
+            delete_path(spark, f"{path}/build-{previous.build}")
         return cls.load(spark, path)
 
     @staticmethod
@@ -173,12 +175,13 @@ class ItemIndex:
         meta = cls._meta(spark, path)
         if meta is None:
             raise MissingInput(f"no item index at {path}")
-        name, vectors_path = _table_name(meta.build), f"{path}/vectors-{meta.build}"
+        folder = f"{path}/build-{meta.build}"
+        name, vectors_path = _table_name(meta.build), f"{folder}/vectors"
         if not spark.catalog.tableExists(name):
             columns = spark.read.parquet(vectors_path).schema
             spark.sql(f"CREATE TABLE {name} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns)}) "
                       f"USING parquet CLUSTERED BY (row) INTO {meta.buckets} BUCKETS LOCATION '{vectors_path.replace("'", chr(92) + "'")}'")
-        return cls(spark.read.parquet(f"{path}/vocabulary"), spark.table(name), spark.read.parquet(f"{path}/items"),
+        return cls(spark.read.parquet(f"{folder}/vocabulary"), spark.table(name), spark.read.parquet(f"{folder}/items"),
                    meta.title)
 
     def resolve(self, queries: DataFrame) -> DataFrame:

@@ -135,8 +135,9 @@ def resolve_tags(queries: DataFrame, query: str, candidates: DataFrame, items: D
             .groupBy(query)
             .agg(F.max_by(F.struct("tag", F.coalesce("items", F.lit(0)).alias("items")),
                           F.struct(F.coalesce("items", F.lit(0)), -F.col("position"))).alias("_best")))
-    fixed = overrides.select(F.col(query), F.col("tag").alias("_fixed"))
-    return (queries.select(query).distinct()
-            .join(fixed, query, "left").join(best, query, "left")
+    # Fixed queries are looked up without their case and outer white space.
+    fixed = overrides.select(strip(F.lower(F.col(query))).alias("_plain"), F.col("tag").alias("_fixed"))
+    return (queries.select(query).distinct().withColumn("_plain", strip(F.lower(F.col(query))))
+            .join(fixed, "_plain", "left").join(best, query, "left")
             .select(query, F.coalesce("_fixed", "_best.tag").alias("tag"),
                     F.when(F.col("_fixed").isNull(), F.col("_best.items")).alias("items")))

@@ -68,9 +68,12 @@ def test_counts(df: DataFrame, label: str, test_share: float = TEST_SHARE) -> Da
 
 
 def split_key(key: Column | str, seed: int = SEED) -> Column:
-    """Pseudo-random but repeatable order of the rows."""
+    """Pseudo-random but repeatable order of the rows, which have unique keys; NULL is one more key.
+
+    Rows of one key fall on one side of the split, which moves the class sizes by their number.
+    """
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(key.cast("string"), F.lit(f"-{seed}")))
+    return F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("null")), F.lit(f"-{seed}")))
 
 
 def split_limits(df: DataFrame, key: str, label: str, test_share: float = TEST_SHARE,

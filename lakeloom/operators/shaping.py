@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.nested import as_json, first_n, first_text
+from lakeloom.functions.nested import first_n, first_text, objects_json
 from lakeloom.functions.score import DEFAULT_RATING, sentiment_label
 from lakeloom.functions.text import strip
 from lakeloom.operators.presets import CREW_JOBS
+from lakeloom.sources.schemas import CORRUPT
 
 # Default runtime of a series, list lengths, seed user and seed time.
 SERIES_RUNTIME = 45
@@ -28,11 +29,19 @@ def has_identity(df: DataFrame) -> DataFrame:
     return df.where(F.col("id").isNotNull() & (first_text("title", "name") != ""))
 
 
+def landing_rejects(df: DataFrame) -> DataFrame:
+    """(reason, records): landed records, and those that ``has_identity`` leaves out, by what they lack."""
+    broken = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+    reason = (F.when(broken, "broken").when(F.col("id").isNull(), "no id")
+              .when(first_text("title", "name") == "", "no title").otherwise("landed"))
+    return df.groupBy(reason.alias("reason")).agg(F.count("*").alias("records"))
+
+
 def runtime(movie_default: int | None = 0) -> Column:
     """Minutes of a movie, or of the first episode length of a series."""
     series = F.coalesce(F.try_element_at("episode_run_time", F.lit(1)), F.lit(SERIES_RUNTIME))
     return F.when(F.col("media_type") == "tv", series).otherwise(
-        F.coalesce("runtime", F.lit(movie_default)))
+        F.coalesce(F.col("runtime").try_cast("int"), F.lit(movie_default)))
 
 
 def _text(c: str, default: str) -> Column:
@@ -47,7 +56,7 @@ def metadata_rows(df: DataFrame) -> DataFrame:
         first_text("title", "name").alias("title"),
         first_text("original_title", "original_name").alias("original_title"),
         _text("overview", "").alias("overview"),
-        as_json("genres").alias("genres"),
+        objects_json("genres").alias("genres"),
         _text("budget", "0").alias("budget"),
         _text("revenue", "0").alias("revenue"),
         first_text("release_date", "first_air_date").alias("release_date"),
@@ -61,19 +70,19 @@ def metadata_rows(df: DataFrame) -> DataFrame:
         _text("status", "Released").alias("status"),
         _text("tagline", "").alias("tagline"),
         F.col("media_type"),
-        as_json("production_companies").alias("production_companies"),
-        as_json("production_countries").alias("production_countries"),
-        as_json("spoken_languages").alias("spoken_languages"),
+        objects_json("production_companies").alias("production_companies"),
+        objects_json("production_countries").alias("production_countries"),
+        objects_json("spoken_languages").alias("spoken_languages"),
     )
 
 
 def credit_rows(df: DataFrame) -> DataFrame:
     """R2: the first cast members, and the first crew members with a key job."""
-    crew = F.filter("credits.crew", lambda c: F.coalesce(c["job"].isin(*CREW_JOBS), F.lit(False)))
+    crew = F.filter("credits.crew", lambda c: F.coalesce(F.get_json_object(c, "$.job").isin(*CREW_JOBS), F.lit(False)))
     return df.select(
         F.col("id").cast("string").alias("id"),
-        as_json(F.slice("credits.cast", 1, CAST_LIMIT)).alias("cast"),
-        as_json(F.slice(crew, 1, CREW_LIMIT)).alias("crew"),
+        objects_json(F.slice("credits.cast", 1, CAST_LIMIT)).alias("cast"),
+        objects_json(F.slice(crew, 1, CREW_LIMIT)).alias("crew"),
     )
 
 
@@ -81,7 +90,7 @@ def keyword_rows(df: DataFrame) -> DataFrame:
     """The movie keyword list, or the series one when the first is empty."""
     movie, series = F.col("keywords.keywords"), F.col("keywords.results")
     chosen = F.when(F.coalesce(F.size(movie), F.lit(0)) > 0, movie).otherwise(series)
-    return df.select(F.col("id").cast("string").alias("id"), as_json(chosen).alias("keywords"))
+    return df.select(F.col("id").cast("string").alias("id"), objects_json(chosen).alias("keywords"))
 
 
 def link_rows(df: DataFrame) -> DataFrame:

@@ -23,13 +23,14 @@ from lakeloom.functions.text import terms
 from lakeloom.operators.relational import top_n_pruned
 
 BROADCAST_TERMS = 1_000_000
+# Input up to this size may be one file that cannot be cut; more than that Spark deals out by itself.
+SMALL_INPUT = 256_000_000
 
 
 def _spread(docs: DataFrame) -> DataFrame:
-    """Spread the rows of a few input files over all cores; many files are spread already."""
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    # Only the number of files crosses to Python, not their names.
-    return docs.repartition(cores) if 0 < len(docs._jdf.inputFiles()) < cores else docs
+    """Spread the rows of a small input over all cores. A larger one is never shuffled: its scan has tasks enough."""
+    size = docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return docs.repartition(docs.sparkSession.sparkContext.defaultParallelism) if int(size) <= SMALL_INPUT else docs
 
 
 def term_statistics(docs: DataFrame, text: str, stop_words: Sequence[str] = ()) -> DataFrame:

@@ -25,6 +25,7 @@ from lakeloom.sources.writers import append_batch, known_keys, text_table_paths,
 
 # Least review length, default title, Gold columns, texts to clean, weights of the soup.
 REVIEW_LENGTH = 20
+ORDER_TABLE = "_movie_order"
 DEFAULT_TITLE = "Unknown Title"
 GOLD_MOVIE_COLUMNS = ("id", "title", "original_title", "overview", "release_date", "runtime", "popularity",
                       "vote_average", "vote_count", "original_language", "poster_path", "genres_clean",
@@ -39,14 +40,21 @@ SILVER_KEYS = {"silver_movies": ["id"], "silver_credits": ["id"], "silver_keywor
                "silver_reviews": ["review_id"]}
 
 
-def _first_rows(bronze: DataFrame, key: str, normalise: bool) -> DataFrame:
+def _first_rows(bronze: DataFrame, key: str, normalise: bool, keep_order: bool = False) -> DataFrame:
     """D1 by raw key text in file order; ``normalise`` compares ids as numbers instead."""
     if ORDER not in bronze.columns:
         bronze = bronze.withColumn(ORDER, F.monotonically_increasing_id())
     if not normalise:
-        return keep_first(bronze, [key], ORDER).drop(ORDER)
-    keyed = bronze.withColumn("_key", lenient_id(key, "null"))
-    return keep_first(keyed, ["_key"], ORDER).drop("_key", ORDER)
+        first = keep_first(bronze, [key], ORDER)
+    else:
+        first = keep_first(bronze.withColumn("_key", lenient_id(key, "null")), ["_key"], ORDER).drop("_key")
+    return first if keep_order else first.drop(ORDER)
+
+
+def movie_order(bronze: DataFrame, normalise_key: bool = False) -> DataFrame:
+    """(id, _order): where each movie stands in the Bronze files, which Silver and Gold columns do not say."""
+    rows = _first_rows(bronze, "id", normalise_key, keep_order=True)
+    return rows.select(lenient_id("id", "null").alias("id"), ORDER).groupBy("id").agg(F.max(ORDER).alias(ORDER))
 
 
 def silver_movies(bronze: DataFrame, normalise_key: bool = False, on_fraction: str = "raise") -> DataFrame:
@@ -171,6 +179,8 @@ def build_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, text_cop
         write_parquet(step(bronze[source]), f"{silver_dir}/{name}")
         if text_copy:
             write_text_copy(read_parquet(spark, f"{silver_dir}/{name}"), f"{silver_dir}/{name}_text")
+        if name == "silver_movies":
+            write_parquet(movie_order(bronze[source]), f"{silver_dir}/{ORDER_TABLE}")
         done.append(name)
     return done
 
@@ -185,15 +195,22 @@ def build_gold(spark: SparkSession, silver_dir: str, gold_dir: str, text_copy: b
     gold = read_parquet(spark, path)
     if text_copy:
         write_text_copy(gold, f"{path}_text")
+    order = optional(read_parquet, spark, f"{silver_dir}/{ORDER_TABLE}")
+    if order is not None:
+        write_parquet(order, f"{gold_dir}/{ORDER_TABLE}")
     return gold
 
 
 def train_recommender(spark: SparkSession, gold_dir: str, models_dir: str,
                       stop_words: Sequence[str] | None = None) -> ItemIndex:
-    """H1, H2, H6 over the Gold table, in its row order."""
+    """H1, H2, H6 over the Gold table, in the order of the Bronze files: of equal titles the last one answers."""
     gold = required(read_parquet, spark, f"{gold_dir}/gold_movies_features")
+    order = optional(read_parquet, spark, f"{gold_dir}/{ORDER_TABLE}")
+    if order is not None:
+        gold = gold.join(order, "id", "left")
     words = default_stop_words() if stop_words is None else stop_words
-    return ItemIndex.build(gold, stop_words=words, path=f"{models_dir}/recommender")
+    return ItemIndex.build(gold, stop_words=words, path=f"{models_dir}/recommender",
+                           order=None if order is None else ORDER)
 
 
 def train_sentiment(spark: SparkSession, silver_dir: str, models_dir: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def get_session(app_name: str = "lakeloom", warehouse: str | None = None,
 def shared_root(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    Only a session in one process (``local`` or ``local[...]``) without that setting gets a temporary folder.
     """
     context = spark.sparkContext
     root = (spark.conf.get("spark.checkpoint.dir", None)
@@ -45,7 +46,7 @@ def shared_root(spark: SparkSession) -> str:
             or context.getCheckpointDir())
     if root:
         return root.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     root = tempfile.mkdtemp(prefix="lakeloom-")
     context.setCheckpointDir(root)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.sources.schemas import LANDING, text_schema
+from lakeloom.sources.schemas import CORRUPT, LANDING, text_schema
 
 ORDER = "_order"
 
@@ -63,8 +63,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType = LANDING) -> DataFrame:
-    """Nested detail records as JSON lines, with a fixed schema."""
-    return spark.read.schema(schema).json(path)
+    """Nested detail records as JSON lines, with a fixed schema.
+
+    Objects in lists are kept whole, as JSON text. A line that cannot be read
+    is kept too, in a column of its own, and counted by ``landing_rejects``.
+    """
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 def existing_keys(df: DataFrame, key: str = "id") -> DataFrame:

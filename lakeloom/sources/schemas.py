@@ -19,9 +19,9 @@ BRONZE = {
     "reviews": ["review_id", "movieId", "movie_title", "review_text", "sentiment", "rating"],
 }
 
-_NAMED = T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))
-_CREW = T.ArrayType(T.StructType([
-    T.StructField("name", T.StringType()), T.StructField("job", T.StringType())]))
+# The objects of a list keep all their fields: each one is landed as its own JSON text.
+OBJECTS = T.ArrayType(T.StringType())
+CORRUPT = "_corrupt_record"
 _REVIEW = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("content", T.StringType()),
@@ -32,26 +32,22 @@ LANDING = T.StructType(
     [T.StructField("id", T.LongType())]
     + [T.StructField(c, T.StringType()) for c in (
         "title", "name", "original_title", "original_name", "overview", "poster_path", "imdb_id",
-        "original_language", "release_date", "first_air_date")]
-    + [T.StructField("runtime", T.IntegerType()),
-       T.StructField("episode_run_time", T.ArrayType(T.IntegerType())),
-       T.StructField("budget", T.LongType()),
-       T.StructField("revenue", T.LongType()),
-       T.StructField("popularity", T.DoubleType()),
-       T.StructField("vote_average", T.DoubleType()),
-       T.StructField("vote_count", T.LongType()),
-       T.StructField("status", T.StringType()),
-       T.StructField("tagline", T.StringType()),
-       T.StructField("media_type", T.StringType()),
-       T.StructField("genres", _NAMED),
-       T.StructField("production_companies", _NAMED),
-       T.StructField("production_countries", _NAMED),
-       T.StructField("spoken_languages", _NAMED),
+        "original_language", "release_date", "first_air_date",
+        # Numbers stay the text they were landed as, quoted or not.
+        "runtime", "budget", "revenue", "popularity", "vote_average", "vote_count",
+        "status", "tagline", "media_type")]
+    + [T.StructField("episode_run_time", T.ArrayType(T.IntegerType())),
+       T.StructField("genres", OBJECTS),
+       T.StructField("production_companies", OBJECTS),
+       T.StructField("production_countries", OBJECTS),
+       T.StructField("spoken_languages", OBJECTS),
        T.StructField("credits", T.StructType([
-           T.StructField("cast", _NAMED), T.StructField("crew", _CREW)])),
+           T.StructField("cast", OBJECTS), T.StructField("crew", OBJECTS)])),
        T.StructField("keywords", T.StructType([
-           T.StructField("keywords", _NAMED), T.StructField("results", _NAMED)])),
+           T.StructField("keywords", OBJECTS), T.StructField("results", OBJECTS)])),
        T.StructField("reviews", T.StructType([T.StructField("results", T.ArrayType(_REVIEW))])),
+       # The text of a line that is no JSON object.
+       T.StructField(CORRUPT, T.StringType()),
        ])
 
 

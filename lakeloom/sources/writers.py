@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,18 +85,20 @@ def append_batch(df: DataFrame, path: str, token: str | None = None, key: str |
     if known is not None and known != df.columns:
         raise SchemaMismatch(f"{path}: table has {known}, rows have {df.columns}")
     batches = _batches(spark, path)
-    suffix = f"-{token}" if token else ""
+    # Without a token the name is unique, so that two writers at once cannot take one folder.
+    suffix = f"-{token}" if token else f"-u{uuid.uuid4().hex}"
     again = [b for b in batches if token and b.split("-", 2)[2:] == [token]]
     if again:
         name = again[0]
     else:
         last = int(batches[-1].split("-")[1]) if batches else 0
         name = f"batch-{last + 1:010d}{suffix}"
-    _text_writer(df, "overwrite").csv(f"{path}/{name}")
+    mode = "overwrite" if token else "errorifexists"
+    _text_writer(df, mode).csv(f"{path}/{name}")
     if key:
         # After the rows: a crash in between leaves rows to deduplicate, not keys without rows.
         batch = read_text_table(spark, f"{path}/{name}", df.columns, na_tokens=False)
-        batch.select(key).write.mode("overwrite").parquet(f"{path}{LEDGER}/{name}")
+        batch.select(key).write.mode(mode).parquet(f"{path}{LEDGER}/{name}")
     return name
 
 

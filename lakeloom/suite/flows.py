@@ -8,7 +8,8 @@ from lakeloom.operators import quality as Q
 from lakeloom.operators import sentiment as S
 from lakeloom.operators.sentiment import MAX_TERMS, MIN_DF
 from lakeloom.operators.tfidf import vocabulary
-from lakeloom.operators.shaping import metadata_rows, one_line
+from lakeloom.operators.shaping import landing_rejects as landing_reject_counts
+from lakeloom.operators.shaping import metadata_rows
 from lakeloom.plans import medallion as L
 from lakeloom.session import work_path
 from lakeloom.sources import readers as R
@@ -115,23 +116,22 @@ def schema_checked_append(spark, sf):
     docs = table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", F.col("n_chars").cast("string").alias("n_chars"))
     W.append_batch(docs.where("lang = 'en'"), path)
-    W.append_batch(docs.where("lang <> 'en'"), path)
+    W.append_batch(docs.where("lang is distinct from 'en'"), path)
     back = R.read_text_table(spark, path, docs.columns, na_tokens=False)
     return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.col("n_chars").cast("bigint").alias("n_chars"),
-                       F.md5(one_line(F.coalesce("text", F.lit("")))).alias("text_md5"))
+                       F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
 
 
 SCHEMA_CHECKED_APPEND = """
-SELECT doc_id, lang, n_chars, md5(replace(replace(text, chr(10), ' '), chr(13), '')) AS text_md5
-FROM documents WHERE lang IS NOT NULL"""
+SELECT doc_id, lang, n_chars, md5(coalesce(text, '')) AS text_md5 FROM documents"""
 
 
 def _landing_documents(spark, sf, where):
     """Documents in the shape of landed detail records."""
     docs = table(spark, sf, "documents").where(where)
+    genre = F.struct(F.col("doc_id").alias("id"), F.col("lang").alias("name"), F.array(F.col("source")).alias("seen"))
     known = {"id": F.col("doc_id"), "title": F.col("source"), "overview": F.col("text"), "media_type": F.lit("movie"),
-             "vote_count": F.col("n_chars"), "original_language": F.col("lang"),
-             "genres": F.array(F.struct(F.col("lang").alias("name")))}
+             "vote_count": F.col("n_chars"), "original_language": F.col("lang"), "genres": F.array(genre)}
     return docs.select(*[known.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in LANDING.fields])
 
 
@@ -143,10 +143,24 @@ def nested_landing_source(spark, sf):
 
 
 NESTED_LANDING_SOURCE = """
-SELECT doc_id::VARCHAR AS id, source AS title, md5(text) AS overview_md5, '[{"name":"' || lang || '"}]' AS genres,
+SELECT doc_id::VARCHAR AS id, source AS title, md5(text) AS overview_md5, '[{"id":' || doc_id || ',"name":"' || lang || '","seen":["' || source || '"]}]' AS genres,
   n_chars::VARCHAR AS vote_count, 'tt' || doc_id AS imdb_id FROM documents"""
 
 
+def landing_rejects(spark, sf):
+    path = work_path(spark, "landing")
+    rows = F.to_json(F.struct(F.col("doc_id").alias("id"), F.when(F.col("n_chars") % 3 != 0, F.col("source")).alias("title")))
+    broken = F.when(F.col("lang") == "de", F.concat(F.lit("{"), rows)).when(
+        F.col("lang") == "fr", F.replace(rows, F.lit('"id"'), F.lit('"key"'))).otherwise(rows)
+    table(spark, sf, "documents").select(broken.alias("value")).write.text(path)
+    return landing_reject_counts(R.read_landing(spark, path))
+
+
+LANDING_REJECTS = """
+SELECT CASE WHEN lang = 'de' THEN 'broken' WHEN lang = 'fr' THEN 'no id' WHEN n_chars % 3 = 0 THEN 'no title' ELSE 'landed' END AS reason,
+  count(*) AS records FROM documents GROUP BY 1"""
+
+
 def micro_ingest_stream(spark, sf):
     path = work_path(spark, "ingest")
     _landing_documents(spark, sf, "lang <> 'en'").write.json(f"{path}/landing")
@@ -313,6 +327,7 @@ CASES = {
     "compression_ratio": (compression_ratio, None),
     "schema_checked_append": (schema_checked_append, SCHEMA_CHECKED_APPEND),
     "nested_landing_source": (nested_landing_source, NESTED_LANDING_SOURCE),
+    "landing_rejects": (landing_rejects, LANDING_REJECTS),
     "micro_ingest_stream": (micro_ingest_stream, MICRO_INGEST_STREAM),
     "cross_run_dedup": (cross_run_dedup, CROSS_RUN_DEDUP),
     "stream_dedup_watermark": (stream_dedup_watermark, STREAM_DEDUP_WATERMARK),

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.functions.text import weighted_text, word_count
+from lakeloom.functions.text import longer_than, weighted_text, word_count
 from lakeloom.operators import presets as P
 from lakeloom.operators import relational as R
 from lakeloom.operators import selection as S
+from lakeloom.operators.sentiment import usable_reviews
 from lakeloom.plans.acquire import acquire
-from lakeloom.suite.common import sql_collapse, table
+from lakeloom.suite.common import sql_collapse, sql_strip, table
 
 
 def dedup_keep_first(spark, sf):
@@ -32,7 +33,7 @@ def union_first_wins_cap(spark, sf):
               part.where("p_size <= 10")]
     sold = table(spark, sf, "lineitem").where("l_returnflag = 'R' and l_quantity >= 48").select(
         F.col("l_partkey").alias("p_partkey"))
-    return R.first_wins_union(stages, ["p_partkey"], "position", existing=sold, cap=500)
+    return R.first_wins_union(stages, ["p_partkey"], "position", existing=sold, cap=200)
 
 
 UNION_FIRST_WINS_CAP = """
@@ -45,7 +46,7 @@ n AS (SELECT * FROM c WHERE p_partkey NOT IN (
   SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 48)),
 r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY stage, position) AS rn FROM n)
 SELECT p_partkey, p_name, p_type, p_brand, p_size, position, stage FROM r WHERE rn = 1
-ORDER BY stage, position, p_partkey LIMIT 500"""
+ORDER BY stage, position, p_partkey LIMIT 200"""
 
 
 def incremental_exclude(spark, sf):
@@ -270,14 +271,14 @@ QUALIFY position <= 600"""
 
 
 def min_words(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", word_count("text").cast("bigint").alias("words"), "text")
-    return docs.where((F.col("words") >= 10) & (F.length("text") > 20)).drop("text")
+    docs = table(spark, sf, "documents").where(longer_than("text", 20))
+    return usable_reviews(docs, "text", 10).select("doc_id", word_count("text").cast("bigint").alias("words"))
 
 
 MIN_WORDS = f"""
 WITH c AS (SELECT doc_id, text, {sql_collapse('text')} AS t FROM documents),
 w AS (SELECT doc_id, text, CASE WHEN t = '' THEN 0 ELSE length(t) - length(replace(t, ' ', '')) + 1 END AS words FROM c)
-SELECT doc_id, words FROM w WHERE words >= 10 AND length(text) > 20"""
+SELECT doc_id, words FROM w WHERE words >= 10 AND length({sql_strip('text')}) > 20"""
 
 
 def weighted_soup(spark, sf):

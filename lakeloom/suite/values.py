@@ -9,7 +9,6 @@ from lakeloom.functions import nested as N
 from lakeloom.functions import score
 from lakeloom.functions import text as X
 from lakeloom.operators import shaping as R
-from lakeloom.operators.relational import top_per_group
 from lakeloom.suite.common import STOP_WORDS, sql_collapse, sql_strip, sql_terms, sql_words, table
 
 
@@ -120,12 +119,10 @@ SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, json_extract(props, '$
 def _conversation_records(spark, sf):
     """Conversations as detail records whose reviews are the turns, of which the operator takes three."""
     turns = table(spark, sf, "conversations")
-    first = top_per_group(turns, ["conv_id"], [F.asc("turn")], R.REVIEW_LIMIT + 1)
     review = F.struct("turn", F.when(F.col("turn") != 1, F.concat_ws("-", "conv_id", "turn")).alias("id"),
                       F.concat(F.lit(" \n"), F.col("text"), F.lit("\r\n ")).alias("content"),
                       F.struct((F.col("turn") * 5.0).alias("rating")).alias("author_details"))
-    # At most four turns per conversation are left.
-    listed = first.groupBy("conv_id").agg(F.array_sort(F.collect_list(review)).alias("results"))
+    listed = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(review)).alias("results"))
     return listed.select(F.col("conv_id").alias("id"), F.lit("").alias("title"),
                          F.concat(F.lit("talk "), "conv_id").alias("name"), F.struct("results").alias("reviews"))
 
@@ -149,9 +146,10 @@ def _customer_records(spark, sf):
     customer = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
 
     def named(*columns):
-        return F.array(*[F.struct(c.alias("name")) for c in columns])
+        return F.array(*[F.to_json(F.struct(c.alias("name"), F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("order")))
+                         for c in columns])
 
-    crew = F.array(*[F.struct(F.col(n).alias("name"), j.alias("job")) for n, j in (
+    crew = F.array(*[F.to_json(F.struct(F.col("c_custkey").alias("id"), F.col(n).alias("name"), j.alias("job"))) for n, j in (
         ("c_name", F.lit("Director")), ("n_name", F.lit("Editor")), ("n_name", segment), ("c_mktsegment", F.lit("Writer")))])
     cast = F.flatten(F.array_repeat(named(F.col("c_name"), F.col("n_name"), segment), 4))
     return customer.select(
@@ -168,8 +166,8 @@ def _customer_records(spark, sf):
         F.col("c_acctbal").alias("popularity"), F.when(segment != "HOUSEHOLD", F.col("c_acctbal")).alias("vote_average"),
         F.col("c_custkey").alias("vote_count"), F.lit(None).cast("string").alias("status"), F.lit("x").alias("tagline"),
         F.when(segment.isin("BUILDING", "MACHINERY"), "tv").otherwise("movie").alias("media_type"),
-        named(segment, F.col("n_name")).alias("genres"), named().cast("array<struct<name:string>>").alias("production_companies"),
-        F.lit(None).cast("array<struct<name:string>>").alias("production_countries"), named(F.col("n_name")).alias("spoken_languages"),
+        named(segment, F.col("n_name")).alias("genres"), F.array().cast("array<string>").alias("production_companies"),
+        F.lit(None).cast("array<string>").alias("production_countries"), named(F.col("n_name")).alias("spoken_languages"),
         F.struct(cast.alias("cast"), crew.alias("crew")).alias("credits"),
         F.struct(F.when(segment == "HOUSEHOLD", named(segment)).alias("keywords"),
                  F.when(segment != "MACHINERY", named(F.col("n_name"))).alias("results")).alias("keywords"))
@@ -182,7 +180,7 @@ def shape_records(spark, sf):
 SHAPE_RECORDS = """
 SELECT c_custkey::VARCHAR AS id, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_name ELSE 'the ' || c_name END AS title,
   n_name AS original_title, CASE WHEN c_mktsegment <> 'MACHINERY' THEN n_name ELSE '' END AS overview,
-  '[{"name":"' || c_mktsegment || '"},{"name":"' || n_name || '"}]' AS genres,
+  '[{"name":"' || c_mktsegment || o || ',{"name":"' || n_name || o || ']' AS genres,
   c_custkey::VARCHAR AS budget, '0' AS revenue, '1999-01-01' AS release_date,
   (CASE c_mktsegment WHEN 'BUILDING' THEN c_nationkey WHEN 'MACHINERY' THEN 45 WHEN 'FURNITURE' THEN 0
     ELSE c_nationkey END)::VARCHAR AS runtime,
@@ -191,8 +189,8 @@ SELECT c_custkey::VARCHAR AS id, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nam
   CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'tt00' || c_custkey ELSE 'tt' || c_custkey END AS imdb_id,
   'en' AS original_language, 'Released' AS status, 'x' AS tagline,
   CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'tv' ELSE 'movie' END AS media_type,
-  '[]' AS production_companies, '[]' AS production_countries, '[{"name":"' || n_name || '"}]' AS spoken_languages
-FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+  '[]' AS production_companies, '[]' AS production_countries, '[{"name":"' || n_name || o || ']' AS spoken_languages
+FROM (SELECT *, '","id":' || c_custkey || ',"order":' || c_nationkey || '}' AS o FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 
 def shape_lists(spark, sf):
@@ -201,10 +199,11 @@ def shape_lists(spark, sf):
 
 
 SHAPE_LISTS = """
-WITH t AS (SELECT c_custkey, c_mktsegment AS s, '{"name":"' || c_name || '"}' AS c, '{"name":"' || n_name || '"}' AS n,
-  '{"name":"' || c_mktsegment || '"}' AS m, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey)
+WITH o AS (SELECT *, '","id":' || c_custkey || ',"order":' || c_nationkey || '}' AS o FROM customer JOIN nation ON c_nationkey = n_nationkey),
+t AS (SELECT c_custkey, c_mktsegment AS s, '{"name":"' || c_name || o AS c, '{"name":"' || n_name || o AS n,
+  '{"name":"' || c_mktsegment || o AS m, c_name, n_name FROM o)
 SELECT c_custkey::VARCHAR AS id, '[' || repeat(c || ',' || n || ',' || m || ',', 3) || c || ']' AS cast,
-  '[{"name":"' || c_name || '","job":"Director"},{"name":"' || s || '","job":"Writer"}]' AS crew,
+  '[{"id":' || c_custkey || ',"name":"' || c_name || '","job":"Director"},{"id":' || c_custkey || ',"name":"' || s || '","job":"Writer"}]' AS crew,
   CASE s WHEN 'HOUSEHOLD' THEN '[' || m || ']' WHEN 'MACHINERY' THEN '[]' ELSE '[' || n || ']' END AS keywords
 FROM t"""
 

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +103,37 @@ def test_reports(spark, flow):
     assert len(sizes) == 4 and all(r.ratio == pytest.approx(r.text_kb / r.stored_kb, abs=0.01) for r in sizes)
 
 
+@pytest.mark.parametrize("parts", [1, 4, 16])
+def test_of_equal_titles_the_last_in_the_file_answers(spark, tmp_path, parts):
+    dirs = {n: str(tmp_path / n) for n in ("bronze", "silver", "gold", "models")}
+    ids = list(range(1, 41))
+    random.Random(parts).shuffle(ids)
+    (tmp_path / "a.json").write_text("\n".join(json.dumps(record(i, title="Same")) for i in ids))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        L.land(read_landing(spark, str(tmp_path / "a.json")).coalesce(1), dirs["bronze"])
+        L.build_silver(spark, dirs["bronze"], dirs["silver"], text_copy=False)
+        L.build_gold(spark, dirs["silver"], dirs["gold"], text_copy=False)
+        index = L.train_recommender(spark, dirs["gold"], dirs["models"])
+        found = index.resolve(spark.createDataFrame([(1, "same")], "query_id int, query string")).collect()
+        assert index.items.where(F.col("row") == found[0].row).first().item == ids[-1]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_build_that_fails_leaves_the_old_index(spark, flow, monkeypatch):
+    _, dirs, _ = flow
+    path = f"{dirs['models']}/recommender"
+    before = sorted(r.row for r in L.ItemIndex.load(spark, path).items.collect())
+    gold = spark.read.parquet(f"{dirs['gold']}/gold_movies_features").limit(3)
+    monkeypatch.setattr("lakeloom.operators.recommend.vectors", lambda *a, **b: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        L.ItemIndex.build(gold, path=path)
+    index = L.ItemIndex.load(spark, path)
+    assert sorted(r.row for r in index.items.collect()) == before == sorted(r.row for r in index.vectors.collect())
+
+
 def test_recommender_answers_by_title(spark, flow):
     _, dirs, _ = flow
     index = L.ItemIndex.load(spark, f"{dirs['models']}/recommender")

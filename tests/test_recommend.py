@@ -93,7 +93,7 @@ def test_stored_index_opens_again(spark, tmp_path):
     assert sorted(map(tuple, again.recommend(queries, 4, answer=ANSWER).collect())) == first
     rebuilt = R.ItemIndex.build(df, text="text", rating="rating", columns=["title"], path=str(tmp_path / "i"), buckets=2)
     assert sorted(map(tuple, rebuilt.recommend(queries, 4, answer=ANSWER).collect())) == first
-    assert len(list((tmp_path / "i").glob("vectors-*"))) == 1
+    assert len(list((tmp_path / "i").glob("build-*"))) == 1
     with pytest.raises(MissingInput):
         R.ItemIndex.load(spark, str(tmp_path / "none"))
     assert {r[0] for r in first} == {1, 2} and len(first) == 8

@@ -1,6 +1,7 @@
 import json
 
 from lakeloom.operators import shaping as R
+from lakeloom.sources.readers import read_landing
 from lakeloom.sources.schemas import BRONZE, LANDING
 
 
@@ -16,7 +17,7 @@ def by_id(df, key="id"):
 MOVIE = {
     "id": 1, "title": "", "name": "Named", "overview": "text", "media_type": "movie", "release_date": "",
     "first_air_date": "2001-02-03", "imdb_id": "", "runtime": None, "vote_average": 7.5, "budget": 5,
-    "genres": [{"name": "Drama"}], "credits": {
+    "genres": [{"id": 18, "name": "Drama", "more": {"x": [1, None]}}], "credits": {
         "cast": [{"name": f"c{i}"} for i in range(12)],
         "crew": [{"name": f"e{i}", "job": "Editor"} for i in range(3)]
         + [{"name": f"d{i}", "job": "Director"} for i in range(14)]},
@@ -40,7 +41,7 @@ def test_metadata(spark):
     rows = by_id(R.metadata_rows(landed(spark, MOVIE, SERIES)))
     movie, series = rows["1"], rows["2"]
     assert (movie.title, movie.release_date, movie.imdb_id, movie.runtime) == ("Named", "2001-02-03", "tt1", "0")
-    assert (movie.genres, movie.spoken_languages, movie.budget, movie.vote_average) == ('[{"name":"Drama"}]', "[]", "5", "7.5")
+    assert (json.loads(movie.genres), movie.spoken_languages, movie.budget, movie.vote_average) == (MOVIE["genres"], "[]", "5", "7.5")
     assert (series.runtime, series.original_language, series.status, series.popularity) == ("45", "en", "Released", "0.0")
 
 
@@ -48,6 +49,16 @@ def test_records_without_a_name_are_rejected(spark):
     assert [r.id for r in R.has_identity(landed(spark, MOVIE, EMPTY)).collect()] == [1]
 
 
+def test_rejected_records_are_counted(spark, tmp_path):
+    (tmp_path / "x.json").write_text("\n".join([json.dumps(MOVIE), json.dumps(EMPTY), '{"id": 4, "title"', '{"title": "t"}',
+                                                '{"id": 5, "title": "t", "budget": "12.5", "genres": [null, 3]}']))
+    landed = read_landing(spark, str(tmp_path / "x.json"))
+    counts = {r.reason: r.records for r in R.landing_rejects(landed).collect()}
+    assert counts == {"landed": 2, "no title": 1, "broken": 1, "no id": 1}
+    row = R.metadata_rows(landed.where("id = 5")).first()
+    assert (row.budget, row.genres) == ("12.5", "[null,3]")
+
+
 def test_credits(spark):
     row = R.credit_rows(landed(spark, MOVIE)).first()
     assert [c["name"] for c in json.loads(row.cast)] == [f"c{i}" for i in range(10)]
@@ -57,7 +68,7 @@ def test_credits(spark):
 
 def test_keywords(spark):
     rows = by_id(R.keyword_rows(landed(spark, MOVIE, SERIES)))
-    assert (rows["1"].keywords, rows["2"].keywords) == ('[{"name":"k"}]', "[]")
+    assert (json.loads(rows["1"].keywords), rows["2"].keywords) == ([{"name": "k"}], "[]")
 
 
 def test_links_and_seed_ratings(spark):
