@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.functions.score import rounded
+from lakeloom.session import materialise
 
 AUC_BUCKETS = 512
 
@@ -54,10 +55,11 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int = AUC_BUCKETS) -
 
     Rows are counted per distinct score first. The distinct scores are cut into
     evenly filled ranges, so each window stays small however the scores
-    cluster; the running total over the ranges is a small table.
+    cluster; the running total over the ranges is a small table. The counts
+    are written once, as they are read for the cuts and for the area.
     """
-    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("s")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+    counts = materialise(df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("s")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")), "scores")
     cuts = counts.approxQuantile("s", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets))
     splits = [float("-inf"), *sorted({*cuts} or {0.0}), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="s", outputCol="range").transform(counts)

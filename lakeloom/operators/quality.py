@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.score import rounded
@@ -93,16 +93,26 @@ def layer_totals(profiles: DataFrame, layer: str = "layer") -> DataFrame:
         F.when(F.count("*") > 0, "SUCCESS").otherwise("EMPTY").alias("status"))
 
 
+def _now() -> Column:
+    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp")
+
+
 def audit_layer(tables: dict[str, DataFrame | None], layer: str, pipeline: str,
                 keys: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """Q1/Q2: the manifest of a layer as one row; absent tables are left out.
 
-    ``keys`` names the key columns to check per table.
+    A layer with a table is a SUCCESS, one without any is EMPTY. ``keys`` names
+    the key columns to check per table.
     """
     present = {n: df for n, df in tables.items() if df is not None}
-    spark = next(iter(present.values())).sparkSession if present else None
-    if spark is None:
-        raise ValueError(f"layer {layer} has no table at all")
+    if not present:
+        counts = "row_count:bigint,col_count:bigint,columns:array<string>,file_count:bigint,size_kb:double"
+        checks = ",distinct_keys:bigint,duplicate_rows:bigint,null_keys:bigint" if keys else ""
+        return SparkSession.active().range(1).select(
+            F.lit(pipeline).alias("pipeline_name"), F.lit(layer).alias("layer"), _now(),
+            F.lit(0).cast("bigint").alias("total_tables"), F.lit(0).cast("bigint").alias("total_rows"),
+            F.lit("EMPTY").alias("status"),
+            F.array().cast(f"array<struct<table_name:string,layer:string,{counts}{checks},null_counts:string>>").alias("tables"))
     per_table = union_all([table_profile(df, n, layer, stored=True) for n, df in present.items()])
     checked = [key_profile(df, n, keys[n]) for n, df in present.items() if keys and n in keys]
     if checked:
@@ -110,9 +120,8 @@ def audit_layer(tables: dict[str, DataFrame | None], layer: str, pipeline: str,
     # One row per table of the layer.
     return per_table.agg(
         F.lit(pipeline).alias("pipeline_name"), F.lit(layer).alias("layer"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
-        F.count("*").alias("total_tables"), F.sum("row_count").alias("total_rows"),
-        F.when(F.sum("row_count") > 0, "SUCCESS").otherwise("EMPTY").alias("status"),
+        _now(), F.count("*").alias("total_tables"), F.sum("row_count").alias("total_rows"),
+        F.lit("SUCCESS").alias("status"),
         F.array_sort(F.collect_list(F.struct(*per_table.columns[0:1], *[
             c for c in per_table.columns[1:] if c != "null_counts"], F.to_json("null_counts").alias("null_counts")
         ))).alias("tables"))

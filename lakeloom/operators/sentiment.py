@@ -215,5 +215,6 @@ def train_and_evaluate(reviews: DataFrame, *, key: str, text: str, label: str, s
     rows = stratified_split(usable, key, "actual", limits=materialise(split_limits(usable, key, "actual"), "split"))
     train, test = rows.where("not is_test"), rows.where("is_test")
     model = SentimentModel.fit(train, key=key, text=text, label="actual", stop_words=stop_words, path=path, **fit)
-    scored = model.score(test, key, text, keep=["actual"])
+    # Scored once: counts, confusion and the curve read what was written.
+    scored = materialise(model.score(test, key, text, keep=["actual"]).select("actual", "prediction", "probability"), "scored")
     return model, evaluation_report(scored, "actual", document_count(train))
