@@ -6,6 +6,10 @@ None where SQL cannot say it. Nothing else in the library imports this package.
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
+
 from lakeloom.llm import (
     bpe,
     decontaminate,
@@ -19,6 +23,9 @@ from lakeloom.llm import (
     toxicity,
 )
 
+# Tasks carry the code of this package with them, so that executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CASES = {
     "op1_bpe": (bpe.op1_bpe, None),
     "op2_pii": (pii.op2_pii, None),
