@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -52,6 +54,19 @@ def extended(docs: DataFrame, added: str, passed: list[str] | None = None) -> tu
     return places, StructType([docs.schema.fields[i] for i in places] + new)
 
 
+def runs_of(texts: list[bytes], size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """``texts`` in runs of about ``size`` bytes; a longer one is a run of its own."""
+    run, total = [], 0
+    for text in texts:
+        if run and total + len(text) > size:
+            yield run
+            run, total = [], 0
+        run.append(text)
+        total += len(text)
+    if run:
+        yield run
+
+
 def sorted_names(keys: DataFrame, columns: list[str], name: str, first: int = 0) -> DataFrame:
     """Give each row of ``keys`` (distinct) its rank in sorted order, dense and counted from ``first``.
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import DOCUMENT_COLUMNS, by_row, components, documents, small_batches, text_of, with_row
+from lakeloom.llm.common import DOCUMENT_COLUMNS, by_row, components, documents, runs_of, small_batches, text_of, with_row
 from lakeloom.session import materialise
 
 #: Words of a shingle, percent of similarity, and the share (one in so many) of the hashes that are counted.
@@ -77,7 +77,12 @@ class Shingler:
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
         """Per text, its shingles' hashes, sorted and distinct. Fewer words than a shingle has are one shingle."""
-        raw = [(t or "").encode().lower() for t in texts]
+        out = []
+        for run in runs_of([(t or "").encode().lower() for t in texts]):
+            out += self._run(run)
+        return out
+
+    def _run(self, raw: list[bytes]) -> list[np.ndarray]:
         code = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
         power, inverse = self._powers(len(code) + 1)
         space = _SPACE[code]

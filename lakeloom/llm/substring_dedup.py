@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import documents, small_batches, text_of, with_row
+from lakeloom.llm.common import documents, runs_of, small_batches, text_of, with_row
 from lakeloom.llm.ngram_join import RANGE_KEYS, RUN_ROWS, _mix, common_counts
 from lakeloom.session import materialise
 
@@ -43,6 +43,12 @@ class Chunker:
 
     def __call__(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per text: where its chunks begin, its length last; and a hash for each chunk."""
+        out = []
+        for run in runs_of(texts):
+            out += self._run(run)
+        return out
+
+    def _run(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         sizes = [len(t) for t in texts]
         # Before each text there is room for one hash, in which nothing counts: every text starts from the same state.
         flat = np.frombuffer(b"".join(bytes(GEAR_BYTES) + t for t in texts), np.uint8)
@@ -57,8 +63,6 @@ class Chunker:
         mixed = (rolled ^ (rolled >> np.uint32(16))) * np.uint32(0x7FEB352D)
         cut = np.flatnonzero(mixed < np.uint32((1 << 32) // ONE_IN)) + 1
         cut = cut[np.diff(cut, prepend=-LEAST) >= LEAST]
-        if not texts:
-            return []
         if len(self._power) < len(flat) + 1:
             for name, factor in (("_power", _FACTOR), ("_inverse", pow(_FACTOR, -1, 1 << 64))):
                 row = np.full(len(flat) + 1, factor, np.uint64)
