@@ -26,7 +26,7 @@ from lakeloom.llm.common import DOCUMENT_COLUMNS, documents, extended, small_bat
 
 VOCABULARY = "word_bpe_49k.json"
 #: Bytes of documents that a task lays out at once.
-RUN_BYTES = 6_000_000
+RUN_BYTES = 1_500_000
 # Fixed values of the vocabulary's own description of words: what counts as one word.
 # The vocabulary does not count the separators 1C to 1F as white space, as the library behind `regex` does.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|(?:[^\s\p{L}\p{N}]|[\x1c-\x1f])+"
@@ -258,6 +258,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", with_
             if size >= RUN_BYTES:
                 yield from flush(bpe, run)
                 run, size = [], 0
+                pa.default_memory_pool().release_unused()
         if run:
             yield from flush(bpe, run)
 
