@@ -4,14 +4,15 @@ Documents that share a rare line are brought together: each one with the first
 document that has the line. A line that is too common to point at a partner
 does so together with the line after it. The lines of a pair are aligned with
 patience diff, and blocks that both have in the same order are deleted from
-the later document.
+the later document. A rare or long line that an earlier document has goes
+wherever it stands; only common short lines must stand in a block.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import documents, small_batches, text_of, with_row
 from lakeloom.session import materialise
 
-#: Documents that a rare line has at most, and lines of a block that is deleted at least.
-RARE_DOCS, BLOCK_LINES = 50, 2
+#: Documents that a rare line has at most, code points of a long line, and lines of a block of common short lines at least.
+RARE_DOCS, LONG_CHARS, BLOCK_LINES = 50, 32, 2
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -67,29 +68,40 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_blocks(a: list[int], b: list[int], least: int = BLOCK_LINES) -> list[int]:
-    """Places in ``a`` of the aligned blocks of at least ``least`` neighbouring lines."""
-    places, block = [], []
+def common_blocks(a: list[int], b: list[int], least: int = BLOCK_LINES, alone: Iterable[int] = ()) -> list[int]:
+    """Places in ``a`` of the aligned blocks with at least ``least`` neighbouring lines that are not blank (false).
+
+    The lines ``alone``, which ``b`` has too, count at any place.
+    """
+    single = set(alone)
+    places, block = {i for i, x in enumerate(a) if x in single}, []
     for i, j in patience(a, b) + [(-9, -9)]:
         if block and (i, j) != (block[-1][0] + 1, block[-1][1] + 1):
-            places += [x for x, _ in block] if len(block) >= least else []
+            if sum(bool(a[x]) for x, _ in block) >= least:
+                places.update(x for x, _ in block)
             block = []
         block.append((i, j))
-    return places
+    return sorted(places)
 
 
-def repeated_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least: int = BLOCK_LINES) -> DataFrame:
+def repeated_lines(docs: DataFrame, rare_docs: int | None = None, least: int | None = None) -> DataFrame:
     """(_row, partners, places): lines (from 0) of the rows of ``docs`` (a stored table) that go, and partners looked at.
 
     Lines end at a line feed; white space at their ends does not count, and
     blank lines only count inside a block. Earlier is a smaller doc_id (null
     last), then an earlier row. Of documents with the same lines the first one
     is aligned for all; from the others everything goes. Null and empty texts
-    have one blank line and are left alone. Lines are compared by 64-bit hash.
+    have one blank line and are left alone. Lines are compared by a hash of 63
+    bits and by whether they are long.
+
+    Lines of at most RARE_DOCS documents and long ones count alone, others in
+    blocks of BLOCK_LINES. ``rare_docs`` replaces the first rule by a bound
+    without regard to length; ``least`` holds for the blocks of all lines.
     """
     small_batches(docs.sparkSession)
-    lines = F.transform(F.split(text_of(), "\n", -1), lambda x: F.when(F.trim(x) == "", F.lit(0)).otherwise(
-        F.xxhash64(F.btrim(x, F.lit(" \t\r\x0b\x0c")))))
+    trimmed = F.transform(F.split(text_of(), "\n", -1), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c")))
+    lines = F.transform(trimmed, lambda x: F.when(x == "", F.lit(0)).otherwise(
+        F.xxhash64(x).bitwiseAND(F.lit(-2)) + (F.length(x) >= LONG_CHARS).cast("long")))
     rows = materialise(with_row(docs.select("doc_id", "text"), "_row").select(
         "_row", "doc_id", lines.alias("lines")).where(F.exists("lines", lambda h: h != 0))
         .withColumn("digest", F.sha2(F.array_join(F.transform("lines", lambda h: h.cast("string")), ","), 256)), "lines")
@@ -102,21 +114,26 @@ def repeated_lines(docs: DataFrame, rare_docs: int = RARE_DOCS, least: int = BLO
                          .groupBy("h").agg(F.count("*").alias("docs")).where("docs > 1"), "line-counts")
     after = F.transform("lines", lambda h, i: F.struct(h.alias("h"), F.get("lines", i + 1).alias("next")))
     each = texts.select("_row", "o", F.explode(after).alias("l")).select("_row", "o", "l.h", "l.next").where("h <> 0")
+    rare = F.col("docs") <= (RARE_DOCS if rare_docs is None else rare_docs)
+    if rare_docs is None:
+        rare = rare | (F.col("h") % 2 != 0)
     keyed = each.join(counts, "h").select(
-        "_row", "o", F.when(F.col("docs") <= rare_docs, F.col("h")).when(
-            F.col("next").isNotNull(), F.xxhash64("h", "next")).alias("key"),
-        (F.col("docs") <= rare_docs).alias("rare")).where("key is not null").distinct()
+        "_row", "o", F.when(rare, F.col("h")).when(F.col("next").isNotNull(), F.xxhash64("h", "next")).alias("key"),
+        rare.alias("rare")).where("key is not null").distinct()
     keyed = materialise(keyed, "line-keys")
     holders = materialise(keyed.groupBy("key", "rare").agg(F.min("o").alias("first"), F.count("*").alias("n"))
                           .where("n > 1").select("key", "rare", F.col("first.r").alias("first")), "holders")
-    pairs = materialise(keyed.join(holders, ["key", "rare"]).where("_row <> first").select("_row", "first").distinct(), "line-pairs")
+    alone = F.collect_list(F.when(F.col("rare"), F.col("key"))) if least is None else F.first(F.expr("array(0L)"))
+    pairs = materialise(keyed.join(holders, ["key", "rare"]).where("_row <> first").groupBy("_row", "first").agg(
+        alone.alias("alone")), "line-pairs")
     first = texts.select(F.col("_row").alias("first"), F.col("lines").alias("earlier"))
-    both = pairs.join(texts.select("_row", "lines"), "_row").join(first, "first").select("_row", "lines", "earlier")
+    both = pairs.join(texts.select("_row", "lines"), "_row").join(first, "first").select("_row", "lines", "earlier", "alone")
+    shortest = BLOCK_LINES if least is None else least
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [common_blocks(a, b, least) for a, b in zip(batch.column("lines").to_pylist(),
-                                                                batch.column("earlier").to_pylist())]
+            found = [common_blocks(a, b, shortest, {x for x in c if x}) for a, b, c in zip(
+                *(batch.column(name).to_pylist() for name in ("lines", "earlier", "alone")))]
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(found, pa.list_(pa.int32()))], ["_row", "places"])
 
     aligned = both.mapInArrow(align, "_row long, places array<int>")

@@ -72,3 +72,17 @@ def test_repeated_and_null_rows(spark, stored):
     out = line_dedup.op5_line_dedup(spark, stored(rows)).collect()
     assert sorted((str(r.doc_id), r.n_removed) for r in out) == [("3", 0), ("3", 2), ("5", 0), ("6", 0), ("6", 0), ("None", 2)]
     assert line_dedup.op5_line_dedup(spark, stored([], "none")).count() == 0
+
+
+def test_single_rare_or_long_lines_go_and_common_short_ones_stay(spark, stored, monkeypatch):
+    rng = random.Random(6)
+    monkeypatch.setattr(line_dedup, "RARE_DOCS", 5)
+    long, rare, short = " ".join(prose(rng, 60).split()), "Rare one.", "Yes."
+    own = lambda: prose(rng, 36)
+    rows = [(i, "\n".join([own(), short, own(), long, own()])) for i in range(9)]
+    rows += [(20, f"{own()}\n{rare}\n{own()}"), (21, f"{own()}\n\t\r\n{rare}\r\n{own()}\n \t\n{short}"),
+             # Crossing: the earlier document has them in the other order.
+             (30, f"{own()}\nFirst.\n{own()}\nSecond.\n"), (31, f"{own()}\nSecond.\n{own()}\nFirst.\n{own()}")]
+    out = {r.doc_id: r.text.split("\n") for r in line_dedup.drop_lines(spark.read.parquet(stored(rows) + "/documents.parquet")).collect()}
+    gone = {d: [x for x in t.split("\n") if x not in out[d]] for d, t in rows}
+    assert gone == {0: [], **{i: [long] for i in range(1, 9)}, 20: [], 21: [rare + "\r"], 30: [], 31: ["Second.", "First."]}
