@@ -68,10 +68,20 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def neighbours(lines: list[int], size: int) -> Iterator[tuple[tuple[int, ...], list[int]]]:
+    """Each ``size`` lines in a row that are not blank (false) with the numbers of blank lines between them, and their places."""
+    full = [i for i, x in enumerate(lines) if x]
+    for k in range(len(full) - size + 1):
+        at = full[k:k + size]
+        yield (*(lines[i] for i in at), *(j - i for i, j in zip(at, at[1:]))), at
+
+
 def common_blocks(a: list[int], b: list[int], least: int = BLOCK_LINES, alone: Iterable[int] = ()) -> list[int]:
     """Places in ``a`` of the aligned blocks with at least ``least`` neighbouring lines that are not blank (false).
 
-    The lines ``alone``, which ``b`` has too, count at any place.
+    Blocks of two such lines or more also go where the alignment cannot have
+    them: if ``a`` repeats them, or has them in another order than ``b``. The
+    lines ``alone``, which ``b`` has too, count at any place.
     """
     single = set(alone)
     places, block = {i for i, x in enumerate(a) if x in single}, []
@@ -81,6 +91,11 @@ def common_blocks(a: list[int], b: list[int], least: int = BLOCK_LINES, alone: I
                 places.update(x for x, _ in block)
             block = []
         block.append((i, j))
+    size = max(least, 2)
+    there = {key for key, _ in neighbours(b, size)}
+    for key, at in neighbours(a, size):
+        if key in there:
+            places.update(range(at[0], at[-1] + 1))
     return sorted(places)
 
 

@@ -86,3 +86,21 @@ def test_single_rare_or_long_lines_go_and_common_short_ones_stay(spark, stored,
     out = {r.doc_id: r.text.split("\n") for r in line_dedup.drop_lines(spark.read.parquet(stored(rows) + "/documents.parquet")).collect()}
     gone = {d: [x for x in t.split("\n") if x not in out[d]] for d, t in rows}
     assert gone == {0: [], **{i: [long] for i in range(1, 9)}, 20: [], 21: [rare + "\r"], 30: [], 31: ["Second.", "First."]}
+
+
+def test_repeated_and_crossing_blocks_go():
+    a, b = [1, 2, 9, 1, 2, 8, 5, 0, 6, 7, 3, 4], [3, 4, 11, 1, 2, 12, 5, 0, 6, 13, 1, 2]
+    assert line_dedup.common_blocks(a, b) == [0, 1, 3, 4, 6, 7, 8, 10, 11]
+    # Blank lines between count: 5, 6 without one is no block of the earlier document, nor are three lines of two blocks.
+    assert line_dedup.common_blocks([5, 6, 20, 1, 3], b) == []
+    assert line_dedup.common_blocks([0, 1, 2, 5, 0, 6], b, 3) == []
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = ([rng.randrange(5) for _ in range(rng.randint(0, 16))] for _ in range(2))
+        gone = set(line_dedup.common_blocks(a, b))
+        runs = {tuple(b[j:j + n]) for n in range(2, len(b) + 1) for j in range(len(b) - n + 1)}
+        for i in range(len(a)):
+            for n in range(2, len(a) - i + 1):
+                if a[i] and a[i + n - 1] and tuple(a[i:i + n]) in runs:
+                    assert gone >= set(range(i, i + n))
+        assert all(a[i] in b for i in gone)
