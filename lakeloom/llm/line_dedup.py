@@ -1,8 +1,8 @@
 """Line dedup by pairwise alignment.
 
-Documents that share a rare line are brought together: each one with the first
-document that has the line. A line that is too common to point at a partner
-does so together with the line after it. The lines of a pair are aligned with
+Documents that share a line are brought together: each one with the first
+document that has the line, if it is rare or long, and with the first one that
+has it together with the line after it. The lines of a pair are aligned with
 patience diff, and blocks that both have in the same order are deleted from
 the later document. A rare or long line that an earlier document has goes
 wherever it stands; only common short lines must stand in a block.
@@ -111,7 +111,8 @@ def repeated_lines(docs: DataFrame, rare_docs: int | None = None, least: int | N
 
     Lines of at most RARE_DOCS documents and long ones count alone, others in
     blocks of BLOCK_LINES. ``rare_docs`` replaces the first rule by a bound
-    without regard to length; ``least`` holds for the blocks of all lines.
+    without regard to length, and lines up to it then find partners only
+    alone; ``least`` holds for the blocks of all lines.
     """
     small_batches(docs.sparkSession)
     trimmed = F.transform(F.split(text_of(), "\n", -1), lambda x: F.btrim(x, F.lit(" \t\r\x0b\x0c")))
@@ -127,14 +128,19 @@ def repeated_lines(docs: DataFrame, rare_docs: int | None = None, least: int | N
         "_row", F.sequence(F.lit(0), F.size("lines") - 1).alias("places"), F.lit(1).alias("partners"))
     counts = materialise(texts.select(F.explode(F.array_distinct("lines")).alias("h")).where("h <> 0")
                          .groupBy("h").agg(F.count("*").alias("docs")).where("docs > 1"), "line-counts")
-    after = F.transform("lines", lambda h, i: F.struct(h.alias("h"), F.get("lines", i + 1).alias("next")))
-    each = texts.select("_row", "o", F.explode(after).alias("l")).select("_row", "o", "l.h", "l.next").where("h <> 0")
+    # Each line that is not blank with the next such line and its distance.
+    full = F.filter(F.transform("lines", lambda h, i: F.struct(h.alias("h"), i.alias("i"))), lambda x: x["h"] != 0)
+    each = texts.select("_row", "o", full.alias("f")).select("_row", "o", F.posexplode("f").alias("k", "l"), "f").select(
+        "_row", "o", "l.h", F.get("f", F.col("k") + 1).alias("n"), F.col("l.i").alias("i")).select(
+        "_row", "o", "h", F.col("n.h").alias("next"), (F.col("n.i") - F.col("i")).alias("step"))
     rare = F.col("docs") <= (RARE_DOCS if rare_docs is None else rare_docs)
     if rare_docs is None:
         rare = rare | (F.col("h") % 2 != 0)
-    keyed = each.join(counts, "h").select(
-        "_row", "o", F.when(rare, F.col("h")).when(F.col("next").isNotNull(), F.xxhash64("h", "next")).alias("key"),
-        rare.alias("rare")).where("key is not null").distinct()
+    paired = F.col("next").isNotNull() & (F.lit(rare_docs is None) | ~rare)
+    keys = F.array(F.when(rare, F.struct(F.col("h").alias("key"), F.lit(True).alias("rare"))),
+                   F.when(paired, F.struct(F.xxhash64("h", "step", "next").alias("key"), F.lit(False).alias("rare"))))
+    keyed = each.join(counts, "h").select("_row", "o", F.explode(F.array_compact(keys)).alias("k")).select(
+        "_row", "o", "k.key", "k.rare").distinct()
     keyed = materialise(keyed, "line-keys")
     holders = materialise(keyed.groupBy("key", "rare").agg(F.min("o").alias("first"), F.count("*").alias("n"))
                           .where("n > 1").select("key", "rare", F.col("first.r").alias("first")), "holders")

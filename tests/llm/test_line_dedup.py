@@ -104,3 +104,30 @@ def test_repeated_and_crossing_blocks_go():
                 if a[i] and a[i + n - 1] and tuple(a[i:i + n]) in runs:
                     assert gone >= set(range(i, i + n))
         assert all(a[i] in b for i in gone)
+
+
+@pytest.mark.parametrize("rare", [2, 8])
+def test_blocks_of_all_earlier_documents_go(spark, stored, monkeypatch, rare):
+    monkeypatch.setattr(line_dedup, "RARE_DOCS", rare)
+    rng = random.Random(8)
+    # The first holders of both lines have them apart; a blank line may stand between.
+    rows = [(1, "Ah.\nbe"), (2, "Oh.\nbe"), (3, "Ah.\nOh.\nbo"), (4, "by\nAh.\nOh.")]
+    rows += [(10 + i, "\n".join(rng.choice(["Ah.", "Oh.", "", "x", "y", "z", "u v", "w " * 40]) for _ in range(rng.randint(1, 9)))) for i in range(60)]
+    docs = spark.read.parquet(stored(rows) + "/documents.parquet")
+    got = {r._row: r.places for r in line_dedup.repeated_lines(docs).collect()}
+    rows_of = {r.doc_id: r._row for r in line_dedup.with_row(docs.select("doc_id"), "_row").collect()}
+    texts = {d: [x.strip() for x in t.split("\n")] for d, t in rows if t.strip()}
+    firsts = {tuple(t): d for d, t in sorted(texts.items(), reverse=True)}
+    df = Counter(x for t in firsts for x in set(t) if x)
+    lines, blocks = set(), set()
+    for d, t in sorted(texts.items()):
+        gone = set(got.get(rows_of[d], ()))
+        if firsts[tuple(t)] == d:
+            for i, x in enumerate(t):
+                assert not x or x not in lines or i in gone or (df[x] > rare and len(x) < line_dedup.LONG_CHARS)
+            for key, at in line_dedup.neighbours(t, 2):
+                if key in blocks:
+                    assert gone >= set(range(at[0], at[-1] + 1))
+            assert all(not t[i] or t[i] in lines for i in gone)
+        lines.update(t)
+        blocks.update(key for key, _ in line_dedup.neighbours(t, 2))
