@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -25,13 +26,25 @@ def text_of(name: str = "text") -> Column:
 
 
 def with_row(docs: DataFrame, name: str) -> DataFrame:
-    """Number the rows of a stored table.
+    """Number the rows of a stored table (Parquet files).
 
-    The number is the scan's partition and position, so two scans of the same
-    files agree on it, as does a task that is run again. It tells repeated
-    rows apart, which ``doc_id`` cannot.
+    The number is the place of the file among the table's sorted files (from
+    bit 40 on) and of the row in the file, so all scans agree on it, however
+    Spark cuts the files. It tells repeated rows apart, which ``doc_id``
+    cannot.
     """
-    return docs.withColumn(name, F.monotonically_increasing_id())
+    place = F.col("_metadata.row_index")
+    # An empty authority is written as three slashes or left out.
+    files = sorted({re.sub("^([^:/]+):///", r"\1:/", f) for f in docs.inputFiles()})
+    if len(files) < 2:
+        return docs.withColumn(name, place)
+    # The names are URLs, so they hold no line feed.
+    numbers = (docs.sparkSession.range(1).select(F.posexplode(F.split(F.lit("\n".join(files)), "\n")))
+               .select(F.col("col").alias("_file"), F.shiftleft(F.col("pos").cast("long"), 40).alias("_first")))
+    # Every row needs its file: one that is not listed must not fall out of the join unseen.
+    first = F.coalesce("_first", F.raise_error(F.concat(F.lit("not a listed file: "), "_file")).cast("long"))
+    return (docs.select("*", F.regexp_replace("_metadata.file_path", "^([^:/]+):///", "$1:/").alias("_file"), place.alias(name))
+            .join(F.broadcast(numbers), "_file", "left").withColumn(name, F.col(name) + first).drop("_file", "_first"))
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:

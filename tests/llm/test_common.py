@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from lakeloom.llm.common import components, sorted_names
+from lakeloom.llm.common import components, sorted_names, with_row
 
 
 def test_components_of_random_graphs_chains_and_stars(spark):
@@ -30,3 +30,19 @@ def test_names_are_dense_ranks(spark, parts):
     got = {(r.a, r.b): r.name for r in
            sorted_names(spark.createDataFrame(keys, "a long, b long").repartition(parts), ["a", "b"], "name").collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys))}
+
+
+def test_row_numbers_do_not_depend_on_how_files_are_cut(spark, tmp_path):
+    path = str(tmp_path / "a b%")
+    spark.range(3000).selectExpr("id", "repeat('x', 50) AS text").repartition(4).write.option("parquet.block.size", "4096").parquet(path)
+    numbers, parts, old = [], [], spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "2k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            docs = with_row(spark.read.parquet(path).select("id"), "_row")
+            parts.append(docs.rdd.getNumPartitions())
+            numbers.append({r.id: r._row for r in docs.collect()})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert parts[0] != parts[1] and docs.columns == ["id", "_row"]
+    assert numbers[0] == numbers[1] and len(set(numbers[0].values())) == 3000
