@@ -1,7 +1,7 @@
 """Benchmark decontamination by template windows.
 
-Numbers, units and names of a text become typed placeholders. Windows of the
-remaining template are hashed and joined with those of the benchmark, so that
+Numbers, units and names of a text become typed placeholders; a second reading
+keeps names as lower-cased words. Windows of the remaining template are hashed and joined with those of the benchmark, so that
 a question is found again when only its parameters were changed. The windows
 of one item must lie on one diagonal (the same distance in text and item) and
 cover enough of the item, and its slots must be filled consistently: one value
@@ -20,6 +20,8 @@ from lakeloom.session import materialise
 WINDOW, COVERAGE, BROADCAST_WINDOWS = 5, 0.8, 500_000
 # Placeholders: private-use characters, which are taken out of the texts first; a number is a single 0.
 NAME, UNIT, NUMBER = "", "", "0"
+# Marks of names while a text is cut: where a sentence may begin, and the end of a name.
+FIRST, END = "\uE012", "\uE013"
 UNITS = ("mm cm m km in ft yd mi mg g kg t lb oz ml cl l s ms min h hr hrs hour hours day days week weeks year years "
          "meter meters metre metres kilometer kilometers kilometre kilometres mile miles gram grams kilogram kilograms "
          "liter liters litre litres second seconds minute minutes month months percent dollar dollars euro euros cent cents "
@@ -29,13 +31,21 @@ _TOKEN = rf"{_DIGITS}|\p{{L}}+"
 
 
 def _clean(text: Column) -> Column:
-    return F.translate(text, NAME + UNIT, "  ")
+    return F.translate(text, NAME + UNIT + FIRST + END, "    ")
 
 
-def template(text: Column) -> Column:
-    """Text with placeholders. A name is a capitalised word inside a sentence, but not a word all in capitals; a unit follows a number."""
-    named = F.regexp_replace(_clean(text), r"(?<=[\p{L}\p{N},;:)] )\p{Lu}\p{Ll}\p{L}*", NAME)
-    low = F.lower(named)
+def _marked(text: Column) -> Column:
+    """Clean text in which names stand between NAME and END, or FIRST and END where a sentence may begin.
+
+    A name is a row of capitalised words, no matter what white space or quote is before them; words all in capitals are none.
+    """
+    named = F.regexp_replace(_clean(text), r"(?<!\p{L})\p{Lu}\p{Ll}\p{L}*(?:\s+\p{Lu}\p{Ll}\p{L}*)*", f"{NAME}$0{END}")
+    return F.regexp_replace(named, rf"(?<![\p{{L}}\p{{N}},;:){END}][\s\"'“”‘’«»(]{{1,4}}){NAME}", FIRST)
+
+
+def template(marked: Column) -> Column:
+    """Text with placeholders for what is marked, numbers and units; a unit follows a number."""
+    low = F.lower(F.regexp_replace(marked, f"[{NAME}{FIRST}][^{END}]*{END}", NAME))
     numbered = F.regexp_replace(low, _DIGITS, NUMBER)
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     united = F.regexp_replace(numbered, rf"(?<=0|0 )(?:{units})(?!\p{{L}})", UNIT)
@@ -43,10 +53,16 @@ def template(text: Column) -> Column:
 
 
 def windows(table: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFrame:
-    """(key, pos, h, slots): the template windows of each text; slots are the values behind placeholders, null if none."""
-    tokens = table.select(
-        key, F.regexp_extract_all(template(text_of(text)), F.lit(rf"{NAME}|{UNIT}|{NUMBER}|\p{{L}}+"), 0).alias("t"),
-        F.regexp_extract_all(_clean(text_of(text)), F.lit(_TOKEN), 0).alias("v"))
+    """(key, plain, pos, h, slots): the template windows of each text; slots are the values behind placeholders, null if none.
+
+    Each text has them twice: with names as placeholders, and ``plain``, with names as lower-cased words.
+    """
+    both = table.select(key, F.explode(F.array(
+        F.struct(F.lit(True).alias("plain"), _clean(text_of(text)).alias("m")),
+        F.struct(F.lit(False).alias("plain"), _marked(text_of(text)).alias("m")))).alias("b")).select(key, "b.plain", "b.m")
+    tokens = both.select(
+        key, "plain", F.regexp_extract_all(template(F.col("m")), F.lit(rf"{NAME}|{UNIT}|{NUMBER}|\p{{L}}+"), 0).alias("t"),
+        F.regexp_extract_all("m", F.lit(rf"[{NAME}{FIRST}][^{END}]*{END}|{_TOKEN}"), 0).alias("v"))
     holes = F.array(F.lit(NAME), F.lit(UNIT), F.lit(NUMBER))
     tokens = tokens.where(F.size("t") >= size).withColumn("slotted", F.arrays_overlap("t", holes))
 
@@ -56,19 +72,21 @@ def windows(table: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFr
         for part in parts[1:]:
             hole = hole | part.isin(NAME, UNIT, NUMBER)
         values = F.array_compact(F.array(*[
-            F.when(part.isin(NAME, UNIT, NUMBER), F.struct((i + k).cast("int").alias("at"), F.lower(F.element_at("v", i + k + 1)).alias("value")))
+            F.when(part.isin(NAME, UNIT, NUMBER), F.struct((i + k).cast("int").alias("at"), F.regexp_replace(F.lower(F.element_at("v", i + k + 1)), rf"[{NAME}{END}]", "").alias("value")))
             for k, part in enumerate(parts)]))
         return F.struct(F.xxhash64(*parts).alias("h"), F.when(F.col("slotted") & hole, values).alias("slots"))
 
     starts = F.sequence(F.lit(0), F.size("t") - size)
-    return tokens.select(key, F.posexplode(F.transform(starts, window)).alias("pos", "w")).select(
-        key, "pos", F.col("w.h").alias("h"), F.col("w.slots").alias("slots"))
+    return tokens.select(key, "plain", F.posexplode(F.transform(starts, window)).alias("pos", "w")).select(
+        key, "plain", "pos", F.col("w.h").alias("h"), F.col("w.slots").alias("slots"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
-    """(_row, item_id, at, n_windows, item_windows, n_slots, verbatim): items found in rows of ``docs`` (a stored table).
+    """(_row, item_id, at, n_windows, item_windows, n_slots, verbatim, plain): items found in rows of ``docs`` (a stored table).
 
-    ``at`` is the token of the text at which the item would begin. ``verbatim``
+    A place may be found in both readings, with names as words (``plain``) and
+    as placeholders. ``at`` is the token of the text, so read, at which the
+    item would begin; neighbouring name words are one token if not plain. ``verbatim``
     tells whether all slots hold the item's own values. Null texts count as
     empty; texts and items with fewer tokens than a window have none and are
     never found. Repeated rows and repeated items are reported each. Other
@@ -76,25 +94,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, coverage: f
     """
     items = materialise(windows(benchmark.select("item_id", "text").withColumn("_item", F.monotonically_increasing_id())
                                 .select(F.struct("_item", "item_id").alias("item"), "text"), "item", "text", size)
-                        .select("item", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots")), "items")
-    sizes = items.groupBy("item").agg(F.count("*").alias("item_windows"))
+                        .select("item", "plain", F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots")), "items")
+    sizes = items.groupBy("item", "plain").agg(F.count("*").alias("item_windows"))
     bounded = items.count() <= BROADCAST_WINDOWS
     near = windows(with_row(docs.select("text"), "_row"), "_row", "text", size)
-    met = near.join(F.broadcast(items) if bounded else items, "h")
+    met = near.join(F.broadcast(items) if bounded else items, ["h", "plain"])
     # Slots of one window side by side: the same templates have them at the same places.
     pairs = F.when(F.col("slots").isNotNull(), F.zip_with(
         "item_slots", "slots", lambda a, b: F.struct(a["at"].alias("at"), a["value"].alias("item"), b["value"].alias("doc"))))
-    lines = (met.select("_row", "item", (F.col("pos") - F.col("item_pos")).alias("at"), "item_pos", pairs.alias("pairs"))
-             .groupBy("_row", "item", "at")
+    lines = (met.select("_row", "item", "plain", (F.col("pos") - F.col("item_pos")).alias("at"), "item_pos", pairs.alias("pairs"))
+             .groupBy("_row", "item", "plain", "at")
              .agg(F.count("*").alias("n_windows"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs")))
-    lines = lines.join(F.broadcast(sizes) if bounded else sizes, "item")
-    values = F.array_distinct(F.transform("pairs", lambda p: p["item"]))
-    both = F.array_distinct(F.transform("pairs", lambda p: F.struct(p["item"], p["doc"])))
+    lines = lines.join(F.broadcast(sizes) if bounded else sizes, ["item", "plain"])
+    # A word that may be no name, as a sentence begins with it, need not be filled consistently.
+    sure = F.filter("pairs", lambda p: ~(p["item"].startswith(FIRST) | p["doc"].startswith(FIRST)))
+    values = F.array_distinct(F.transform(sure, lambda p: p["item"]))
+    both = F.array_distinct(F.transform(sure, lambda p: F.struct(p["item"], p["doc"])))
+    same = lambda p: F.translate(p["item"], FIRST, "") == F.translate(p["doc"], FIRST, "")
     return (lines.where(F.col("n_windows") >= F.ceil(F.lit(coverage) * F.col("item_windows")))
             .where(F.size(values) == F.size(both))
             .select("_row", F.col("item.item_id").alias("item_id"), "at", "n_windows", "item_windows",
                     F.size("pairs").cast("long").alias("n_slots"),
-                    F.forall("pairs", lambda p: p["item"] == p["doc"]).alias("verbatim")))
+                    F.forall("pairs", same).alias("verbatim"), "plain"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -107,9 +128,11 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     found = materialise(leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "leaks")
     # One row per document and item: an item that occurs in a document again is reported once, with its best place.
+    # Both readings of a place are one, so places are counted in the reading that has more of them.
     best = found.groupBy("_row", "item_id").agg(
         F.max_by(F.struct("at", "n_windows", "item_windows", "n_slots", "verbatim"),
-                 F.struct("n_windows", "verbatim", -F.col("at"))).alias("b"), F.count("*").alias("n_places"))
+                 F.struct("verbatim", "plain", "n_windows", -F.col("at"))).alias("b"),
+        F.greatest(F.count_if("plain"), F.count_if(~F.col("plain"))).alias("n_places"))
     best = materialise(best, "leaks")
     return by_row(with_row(docs.select("doc_id"), "_row"), best, "inner").select("doc_id", "item_id", "n_places", "b.*")
 

@@ -54,3 +54,17 @@ def test_shuffled_join_beyond_the_bound_and_clean_rows(spark, stored, clashing,
     left = dec.without_leaks(docs, items)
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [2, 3]
     assert dec.leaks(documents(spark, stored([], "none")), items).count() == 0
+
+
+def test_names_in_any_shape(spark, stored):
+    one, tom = ITEMS[0][1], "Tom buys 12 red apples at the market. Tom eats 5 of them. How many apples are left?"
+    rows = list(enumerate([
+        one.replace(" Berlin", "\nBerlin"), one.replace(" Berlin", "  Berlin"), one.replace("Berlin", '"Berlin"'), one.upper(), one.lower(),
+        one.replace("Berlin", "New York"), one.replace("Berlin", "New\nYork").replace("120", "77").replace("Anna", "Mary Ann"),
+        one.replace("Berlin", "New York").replace("120 km", "77 km"), tom, tom.replace("Tom", "Anna").replace("12", "31"),
+        "Tom sells 3 green pears in the garden. Anna eats some of them."]))
+    out = dec.op9_decontaminate(spark, stored(rows, benchmark=[(1, one), (2, tom)])).collect()
+    got = {(r.doc_id, r.item_id): r for r in out}
+    assert set(got) == {*((i, 1) for i in range(7)), (8, 2), (9, 2)}
+    assert [got[i, 1].verbatim for i in range(7)] == [True] * 5 + [False] * 2 and not got[9, 2].verbatim
+    assert all(r.n_places == 1 for r in out)
