@@ -68,3 +68,43 @@ def test_names_in_any_shape(spark, stored):
     assert set(got) == {*((i, 1) for i in range(7)), (8, 2), (9, 2)}
     assert [got[i, 1].verbatim for i in range(7)] == [True] * 5 + [False] * 2 and not got[9, 2].verbatim
     assert all(r.n_places == 1 for r in out)
+
+
+def test_long_runs_of_names_and_digits_do_not_overflow(spark, stored):
+    rows = [(1, "Word Here " * 500_000 + ITEMS[1][1]), (2, "1" + ".1" * 1_000_000), (3, "Ab " * 1_000_000), (4, "7" * 1_000_000)]
+    assert set(found(spark, stored, rows)) == {(1, 2)}
+
+
+def test_marked_and_plain_tokens_are_the_same(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(2)
+    bits = ["Berlin", "New", "5", "12.5", "km", "Km", "KM", " ", "  ", "\n", ".", ",", "a", "the", "İstanbul", "mm", "é", "X", "IBM",
+            "McX", "1", "́", "𝐀b", "5.", "3,4", "km/h", "Ünd"]
+    rows = [("".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(0, 25))),) for _ in range(2000)]
+    bare = F.transform(dec.marked_tokens(F.col("text")), lambda t: F.translate(t, dec.NAME + dec.FIRST + dec.END, ""))
+    assert spark.createDataFrame(rows, "text string").where(dec.tokens(F.col("text")) != bare).count() == 0
+    out = dec.windows(spark.createDataFrame([(1, "we saw İstanbul and 12 apples")], "k int, text string"), "k", "text").collect()
+    assert {s.value for r in out if r.plain for s in r.slots or []} == {"12"}
+
+
+def test_edited_items_are_found_and_unrelated_ones_are_not(spark, stored):
+    """Recall over items of 14 words and more with one word altered, dropped or inserted for every sixteen windows."""
+    rng = random.Random(11)
+    items = [(i, prose(rng, rng.randint(14, 60), line=99)) for i in range(60)]
+    rows = []
+    for i, text in items:
+        for kind in range(3):
+            words = text.split(" ")
+            for _ in range(1 if len(words) < 25 else 2):
+                at = rng.randrange(len(words))
+                words[at:at + 1] = [["zzalter"], [], ["zzinsert", words[at]]][kind]
+            rows.append((1000 * (kind + 1) + i, prose(rng, 30) + " " + " ".join(words) + " " + prose(rng, 30)))
+    clean = [(9000 + i, prose(rng, 120)) for i in range(60)]
+    got = set(found_items(spark, stored(rows + clean, benchmark=items)))
+    hits = sum((d, d % 1000) in got for d, _ in rows)
+    assert hits / len(rows) >= 0.95, hits / len(rows)
+    assert all(i == d % 1000 for d, i in got) and not any(d >= 9000 for d, _ in got)
+
+
+def found_items(spark, folder):
+    return [(r.doc_id, r.item_id) for r in dec.op9_decontaminate(spark, folder).collect()]
