@@ -16,6 +16,7 @@ from lakeloom.llm import (
     exact_dedup,
     line_dedup,
     ngram_join,
+    piece,
     pii,
     quality,
     sharding,
@@ -37,4 +38,5 @@ CASES = {
     "op8_ngram_join": (ngram_join.op8_ngram_join, None),
     "op9_decontaminate": (decontaminate.op9_decontaminate, None),
     "op10_substring_dedup": (substring_dedup.op10_substring_dedup, None),
+    "op13_sentencepiece": (piece.op13_sentencepiece, None),
 }
