@@ -19,6 +19,7 @@ from lakeloom.llm import (
     piece,
     pii,
     quality,
+    repair,
     sharding,
     substring_dedup,
     toxicity,
@@ -38,5 +39,6 @@ CASES = {
     "op8_ngram_join": (ngram_join.op8_ngram_join, None),
     "op9_decontaminate": (decontaminate.op9_decontaminate, None),
     "op10_substring_dedup": (substring_dedup.op10_substring_dedup, None),
+    "op11_repair": (repair.op11_repair, None),
     "op13_sentencepiece": (piece.op13_sentencepiece, None),
 }
