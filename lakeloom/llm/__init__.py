@@ -18,6 +18,7 @@ from lakeloom.llm import (
     ngram_join,
     piece,
     pii,
+    prefix_trie,
     quality,
     repair,
     sharding,
@@ -40,5 +41,6 @@ CASES = {
     "op9_decontaminate": (decontaminate.op9_decontaminate, None),
     "op10_substring_dedup": (substring_dedup.op10_substring_dedup, None),
     "op11_repair": (repair.op11_repair, None),
+    "op12_prefix_trie": (prefix_trie.op12_prefix_trie, None),
     "op13_sentencepiece": (piece.op13_sentencepiece, None),
 }

@@ -17,5 +17,5 @@ def test_query_gives_rows(spark, name):
     assert CASES[name][0](spark, SF).count() > 0
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in CASES) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in CASES) == list(range(1, 14))
