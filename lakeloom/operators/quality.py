@@ -47,8 +47,24 @@ def null_rates(profile: DataFrame) -> DataFrame:
                     F.coalesce(F.try_divide("null_count", "row_count"), F.lit(0.0)).alias("null_rate")))
 
 
+def file_inventory(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """A1: (path, length) of every file of a table, with or without rows.
+
+    Only the listing is read, not the files; names that begin with an
+    underscore or a dot are no part of a table.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return listed.select("path", "length").where(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
+
+
+def inventory_size(files: DataFrame, name: str) -> DataFrame:
+    """A1: (table_name, file_count, empty_files, size_kb) of an inventory."""
+    return files.agg(F.lit(name).alias("table_name"), F.count("*").alias("file_count"),
+                     F.count_if(F.col("length") == 0).alias("empty_files"), _kilobytes(F.sum("length")).alias("size_kb"))
+
+
 def stored_size(df: DataFrame, name: str) -> DataFrame:
-    """A1: (table_name, file_count, size_kb) of a table read from files."""
+    """A1: (table_name, file_count, size_kb) of the files that the rows of a table come from; ``file_inventory`` has all files."""
     files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
     return (files.groupBy("f").agg(F.max("s").alias("s"))
             .agg(F.lit(name).alias("table_name"), F.count("*").alias("file_count"),
@@ -97,15 +113,44 @@ def _now() -> Column:
     return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp")
 
 
+PROFILE = ("table_name string, layer string, row_count bigint, col_count bigint, columns array<string>, "
+           "null_counts map<string,bigint>, file_count bigint, size_kb double")
+
+
+def write_audited(df: DataFrame, path: str, name: str, layer: str | None = None, write=None) -> DataFrame:
+    """A1+A3+A4 while writing: the profile of a table from the counts that its own write collects.
+
+    ``write`` (df, path) stores the table, as Parquet by default. Rows and
+    NULLs are observed by that job, sizes come from the listing of what it
+    wrote: the table is not read again. The result is one row, as from
+    ``table_profile`` with ``stored``.
+    """
+    seen = Observation(f"audit {name}")
+    observed = audited(df, seen, *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls{i}") for i, c in enumerate(df.columns)])
+    if write is None:
+        observed.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    else:
+        write(observed, path)
+    counts = seen.get
+    nulls = {c: counts[f"nulls{i}"] for i, c in enumerate(df.columns)}
+    spark = df.sparkSession
+    row = spark.createDataFrame([(name, layer, counts["rows"], len(df.columns), df.columns, nulls)], PROFILE.rsplit(", ", 2)[0])
+    sizes = inventory_size(file_inventory(spark, path), name)
+    return row.join(sizes.select("table_name", "file_count", "size_kb"), "table_name")
+
+
 def audit_layer(tables: dict[str, DataFrame | None], layer: str, pipeline: str,
-                keys: dict[str, Sequence[str]] | None = None) -> DataFrame:
+                keys: dict[str, Sequence[str]] | None = None, paths: dict[str, Sequence[str]] | None = None,
+                profiles: Sequence[DataFrame] = ()) -> DataFrame:
     """Q1/Q2: the manifest of a layer as one row; absent tables are left out.
 
     A layer with a table is a SUCCESS, one without any is EMPTY. ``keys`` names
-    the key columns to check per table.
+    the key columns to check per table, ``paths`` the files of a table, so that
+    files without rows count too. ``profiles`` are rows of ``write_audited``,
+    for tables that need no scan any more.
     """
     present = {n: df for n, df in tables.items() if df is not None}
-    if not present:
+    if not present and not profiles:
         counts = "row_count:bigint,col_count:bigint,columns:array<string>,file_count:bigint,size_kb:double"
         checks = ",distinct_keys:bigint,duplicate_rows:bigint,null_keys:bigint" if keys else ""
         return SparkSession.active().range(1).select(
@@ -113,7 +158,15 @@ def audit_layer(tables: dict[str, DataFrame | None], layer: str, pipeline: str,
             F.lit(0).cast("bigint").alias("total_tables"), F.lit(0).cast("bigint").alias("total_rows"),
             F.lit("EMPTY").alias("status"),
             F.array().cast(f"array<struct<table_name:string,layer:string,{counts}{checks},null_counts:string>>").alias("tables"))
-    per_table = union_all([table_profile(df, n, layer, stored=True) for n, df in present.items()])
+
+    def profile(name: str, df: DataFrame) -> DataFrame:
+        if not paths or name not in paths:
+            return table_profile(df, name, layer, stored=True)
+        sizes = inventory_size(file_inventory(df.sparkSession, list(paths[name])), name)
+        return table_profile(df, name, layer).join(sizes.select("table_name", "file_count", "size_kb"), "table_name")
+
+    per_table = union_all([*(p.select(*[c.strip().split(" ")[0] for c in PROFILE.split(", ")]) for p in profiles),
+                           *(profile(n, df) for n, df in present.items())])
     checked = [key_profile(df, n, keys[n]) for n, df in present.items() if keys and n in keys]
     if checked:
         per_table = per_table.join(union_all(checked).drop("row_count"), "table_name", "left")

@@ -1,17 +1,17 @@
 """Content-based top-k recommendation.
 
-The index holds one row per item with its weighted terms, bucketed by item. A
-table of queries is resolved to items, the query vectors are joined to the
-index on the term, and the products are summed per (query, item) inside each
-bucket; only the best k+1 items per query and task are shuffled. Items that
-share no term can still win on quality, so the best k+1 items by quality join
-every query's candidates; no other item without a shared term can reach the
-top k.
+The index holds one row per item with its weighted terms, bucketed by item, and
+the same weights turned over: postings, sorted by term. A table of queries is
+resolved to items. For few queries only the postings of their terms are read.
+For many, all items are: a bucket holds all of an item's weights, so products
+are summed per (query, item) without a shuffle, and each task passes on its
+best k+1 items per query. Items that share no term can still win on quality, so
+the best k+1 items by quality join every query's candidates; no other item
+without a shared term can reach the top k.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,17 +20,20 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.score import (POPULARITY_SCALE, POPULARITY_WEIGHT, RATING_SCALE, RATING_WEIGHT,
                                       SIMILARITY_WEIGHT, rounded, unit_clip)
-from lakeloom.functions.text import is_id_query, title_key
-from lakeloom.operators.relational import top_per_group
+from lakeloom.operators.relational import PUSHED_KEYS, picked, top_per_group
 from lakeloom.operators.tfidf import document_count, vectors, vocabulary
-from lakeloom.session import delete_path, materialise, work_path
-from lakeloom.sources.readers import MissingInput, optional
+from lakeloom.operators.titles import TitleIndex
+from lakeloom.session import materialise, work_path
+from lakeloom.sources import versions
+from lakeloom.sources.readers import MissingInput
 
 BROADCAST_ROWS = 2_000_000
 HOT_TERM_ROWS = 1_000_000
 RANK_PLACES = 9
-GRAM = 3
-
+#: Items by quality that the index keeps; for larger k they are looked up in the items.
+LEADERS = 1000
+#: Terms of all queries together up to which postings are looked up instead of scanned.
+FEW_TERMS = 1200
 # Columns of the slim index, and their names in the answer.
 INDEX_COLUMNS = ("id", "title", "release_year", "genres_clean", "director_clean", "top_cast_clean",
                  "original_language", "vote_average", "vote_count", "popularity", "poster_path")
@@ -51,16 +54,13 @@ def quality(rating: Column | str, popularity: Column | str) -> Column:
             + unit_clip(popularity, POPULARITY_SCALE) * POPULARITY_WEIGHT)
 
 
-META = "buckets int, title string, build string"
-
+def _table_name(folder: str) -> str:
+    """Catalogue name of the bucketed vectors of one version."""
+    return f"lakeloom_vectors_{folder.rsplit('-', 1)[-1]}"
 
-def _table_name(build: str) -> str:
-    """Catalogue name of the bucketed vectors of one build."""
-    return f"lakeloom_vectors_{build}"
 
-
-def _size_checked(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if rows <= limit else df
+def _size_checked(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def resolve_items(queries: DataFrame, items: DataFrame, row: str, item: str = "id",
@@ -70,54 +70,24 @@ def resolve_items(queries: DataFrame, items: DataFrame, row: str, item: str = "i
     ``queries`` has (query_id, query). Digits mean an id and nothing else. Other
     text means the title it equals, else the first title that contains it.
     Titles are tried in the order of their first row, and a title stands for
-    its last row. Substrings are found by an equi-join on one short gram of the
-    query, then verified.
+    its last row. ``TitleIndex`` says how; an index of items stores one.
     """
-    asked = queries.select("query_id", "query", title_key("query").alias("_text"),
-                           is_id_query("query").alias("_by_id"))
-    rows = items.where(F.col(item).isNotNull()).select(
-        F.col(item).cast("bigint").alias("_id"), title_key(title).alias("_title"), F.col(row).alias("_row"))
-    by_id = (asked.where("_by_id").select("query_id", F.col("query").try_cast("bigint").alias("_id"))
-             .join(rows.select("_id", "_row"), "_id")
-             .groupBy("query_id").agg(F.max("_row").alias("row")))
-
-    titles = rows.select("_title", "_row").where(F.col("_title").isNotNull())
-    named = asked.where("not _by_id").select("query_id", "_text")
-    exact = _last_row(named.withColumnRenamed("_text", "_title"), titles)
-
-    open_queries = named.join(exact.select("query_id"), "query_id", "left_anti")
-    blank = open_queries.where("_text = ''").select(
-        "query_id", titles.agg(F.min_by("_title", "_row")).scalar().alias("_title"))
-    probes = open_queries.where("_text <> ''").select(
-        "query_id", "_text", F.substring("_text", 1, GRAM).alias("_gram"))
-    length = F.length("_title")
-    grams = F.array_distinct(F.flatten(F.transform(
-        F.array(*[F.lit(n) for n in range(1, GRAM + 1)]),
-        lambda n: F.transform(F.sequence(F.lit(1), F.greatest(length - n + 1, F.lit(1))),
-                              lambda i: F.substring(F.col("_title"), i, n)))))
-    inside = (titles.select("*", F.explode(grams).alias("_gram"))
-              .join(probes, "_gram").where(F.contains("_title", "_text"))
-              .groupBy("query_id").agg(F.min_by("_title", "_row").alias("_title")))
-    partial = _last_row(blank.where(F.col("_title").isNotNull()).unionByName(inside), titles)
-    return by_id.unionByName(exact).unionByName(partial)
-
-
-def _last_row(wanted: DataFrame, titles: DataFrame) -> DataFrame:
-    """(query_id, row) of the last row with each (query_id, title) wanted."""
-    return wanted.join(titles, "_title").groupBy("query_id").agg(F.max("_row").alias("row"))
+    return TitleIndex.build(items, row, item, title).find(queries)
 
 
 @dataclass
 class ItemIndex:
-    """The stored index: vocabulary, item vectors and the slim catalogue.
+    """The stored index: vocabulary, item vectors, postings, the slim catalogue, titles and the items of highest quality.
 
     ``row`` numbers the items, ``item`` is their id, which may repeat.
     """
 
     vocabulary: DataFrame
     vectors: DataFrame
+    postings: DataFrame
     items: DataFrame
-    title: str | None
+    leaders: DataFrame
+    titles: TitleIndex
 
     @classmethod
     def build(cls, items: DataFrame, *, text: str = "metadata_soup", item: str = "id",
@@ -125,19 +95,17 @@ class ItemIndex:
               rating: str | Column = "vote_average", popularity: str | Column = "popularity",
               columns: Sequence[str] = INDEX_COLUMNS, stop_words: Sequence[str] = (),
               min_df: int = 2, max_terms: int = 20_000, path: str | None = None,
-              buckets: int | None = None) -> ItemIndex:
-        """Fit the vocabulary, weigh every item and store the three tables.
+              buckets: int | None = None, keep: int = versions.KEEP) -> ItemIndex:
+        """Fit the vocabulary, weigh every item and publish the tables as one more version of the index.
 
         ``row`` names a column that numbers the item rows; without it they are
         numbered by the column ``order``, or else in reading order. ``path`` defaults to the shared folder, and
-        ``buckets``, the number of tasks that score, to the shuffle partitions.
+        ``buckets``, the number of files of vectors and postings, to the shuffle partitions.
+        The last ``keep`` versions stay for readers that have them open.
         """
         spark = items.sparkSession
         path = path or work_path(spark, "index")
-        # Every build has a table and a folder of its own. The meta file, written
-        # last, says which one is open: a build that fails leaves the old one whole.
-        build, previous = uuid.uuid4().hex, cls._meta(spark, path)
-        folder = f"{path}/build-{build}"
+        folder = versions.new_folder(path)
         wanted = dict.fromkeys([item, *([title] if title else []), *columns])
         rows = items.where(F.col(item).isNotNull())
         base = (rows.orderBy(order, item) if order else rows).select(
@@ -155,46 +123,66 @@ class ItemIndex:
         vocab = spark.read.schema(vocab.schema).parquet(f"{folder}/vocabulary")
         # One task per bucket already, so this is one file per bucket.
         (vectors(rows, "row", "_text", vocab, max_terms, stop_words, ["item", "quality"], buckets)
-         .write.mode("overwrite").format("parquet").bucketBy(buckets, "row")
-         .option("path", f"{folder}/vectors").saveAsTable(_table_name(build)))
-        meta = spark.createDataFrame([(buckets, title, build)], META)
-        meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
-        if previous is not None:
-            spark.sql(f"DROP TABLE IF EXISTS {_table_name(previous.build)}")
-            delete_path(spark, f"{path}/build-{previous.build}")
-        return cls.load(spark, path)
+         .write.format("parquet").bucketBy(buckets, "row").sortBy("row").option("parquet.page.size", 1 << 16)
+         .option("path", f"{folder}/vectors").saveAsTable(_table_name(folder)))
+        (spark.table(_table_name(folder)).select("row", "item", "quality", F.explode("entries").alias("e"))
+         .select("e.index", "row", "item", "quality", "e.weight")
+         .repartitionByRange(buckets, "index", "row").sortWithinPartitions("index", "row")
+         .write.option("parquet.page.size", 1 << 16).parquet(f"{folder}/postings"))
+        candidate = stored.select("row", "item", "quality")
+        best = [candidate.orderBy(*cls._leading(boost)).limit(LEADERS).withColumn("boost", F.lit(boost)) for boost in (True, False)]
+        best[0].unionByName(best[1]).write.parquet(f"{folder}/leaders")
+        named = stored.select("row", "item", (F.col(title) if title else F.lit(None).cast("string")).alias("title"))
+        TitleIndex.build(named, "row", "item", "title", f"{folder}/titles")
+        older = versions.versions(spark, path)
+        version = versions.publish(spark, path, folder, {"buckets": buckets}, keep)
+        left = {v.folder for v in versions.versions(spark, path)}
+        for gone in (v for v in older if v.folder not in left):
+            spark.sql(f"DROP TABLE IF EXISTS {_table_name(gone.folder)}")
+        return cls.open(spark, version)
 
     @staticmethod
-    def _meta(spark: SparkSession, path: str):
-        meta = optional(spark.read.schema(META).json, f"{path}/meta")
-        return None if meta is None else meta.first()
+    def _leading(quality_boost: bool) -> list[Column | str]:
+        """Order of the items that share no term with a query."""
+        return [F.desc(F.round("quality", RANK_PLACES)), "item", "row"] if quality_boost else ["item", "row"]
+
+    @classmethod
+    def open(cls, spark: SparkSession, version: versions.Version) -> ItemIndex:
+        """The tables of one version; the bucketed one is declared in the session catalogue if it is new there."""
+        folder, name = version.folder, _table_name(version.folder)
+        read = lambda part: spark.read.parquet(f"{folder}/{part}")
+        if not spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read("vectors").schema)
+            place = f"{folder}/vectors".replace("'", chr(92) + "'")
+            spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (row) SORTED BY (row) "
+                      f"INTO {version.note['buckets']} BUCKETS LOCATION '{place}'")
+        return cls(read("vocabulary"), spark.table(name), read("postings"), read("items"), read("leaders"),
+                   TitleIndex.load(spark, f"{folder}/titles"))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ItemIndex:
-        """Open a stored index; the bucketed table is declared in the session catalogue if it is new there."""
-        meta = cls._meta(spark, path)
-        if meta is None:
+        """Open the current version of a stored index."""
+        version = versions.current(spark, path)
+        if version is None:
             raise MissingInput(f"no item index at {path}")
-        folder = f"{path}/build-{meta.build}"
-        name, vectors_path = _table_name(meta.build), f"{folder}/vectors"
-        if not spark.catalog.tableExists(name):
-            columns = spark.read.parquet(vectors_path).schema
-            spark.sql(f"CREATE TABLE {name} ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in columns)}) "
-                      f"USING parquet CLUSTERED BY (row) INTO {meta.buckets} BUCKETS LOCATION '{vectors_path.replace("'", chr(92) + "'")}'")
-        return cls(spark.read.parquet(f"{folder}/vocabulary"), spark.table(name), spark.read.parquet(f"{folder}/items"),
-                   meta.title)
+        return cls.open(spark, version)
 
     def resolve(self, queries: DataFrame) -> DataFrame:
         """H3 over the catalogue of this index."""
-        title = F.col(self.title) if self.title else F.lit(None).cast("string")
-        return resolve_items(queries, self.items.select("row", "item", title.alias("title")), "row", "item")
+        return self.titles.find(queries)
 
-    def _products(self, terms: DataFrame, small: bool) -> DataFrame:
-        """(query_id, row, item, quality, product) for every term a query and an item share."""
-        entries = (self.vectors.select("row", "item", "quality", F.explode("entries").alias("e"))
-                   .select("row", "item", "quality", "e.index", "e.weight"))
+    def _sums(self, terms: DataFrame, count: int) -> DataFrame:
+        """(query_id, row, item, quality, similarity) of all pairs that share a term.
+
+        Few terms are looked up in the postings, by pages; for many, the items' own rows are read.
+        """
+        if count <= FEW_TERMS:
+            entries = picked(self.postings, "index", terms)
+        else:
+            entries = (self.vectors.select("row", "item", "quality", F.explode("entries").alias("e"))
+                       .select("row", "item", "quality", "e.index", "e.weight"))
         on = ["index"]
-        if small:
+        if count <= BROADCAST_ROWS:
             terms = F.broadcast(terms)
         else:
             # Split the terms that many items share over several tasks. The list
@@ -207,8 +195,10 @@ class ItemIndex:
             terms = (terms.join(hot, "index", "left")
                      .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts"))
             on = ["index", "part"]
-        return entries.join(terms, on).select(
+        products = entries.join(terms, on).select(
             "query_id", "row", "item", "quality", (F.col("weight") * F.col("query_weight")).alias("product"))
+        return products.groupBy("query_id", "row").agg(
+            F.max("item").alias("item"), F.max("quality").alias("quality"), F.sum("product").alias("similarity"))
 
     def scores(self, resolved: DataFrame, k: int, quality_boost: bool = True) -> DataFrame:
         """H4: (query_id, row, item, rank, similarity, final) of the best ``k`` items per query.
@@ -220,24 +210,18 @@ class ItemIndex:
         resolved = materialise(resolved.select("query_id", F.col("row").alias("own")), "queries")
         return self._scores(resolved, resolved.count(), k, quality_boost)
 
+    def query_terms(self, resolved: DataFrame, queries: int) -> DataFrame:
+        """(query_id, index, query_weight) of the queries' terms; stored."""
+        mine = picked(self.vectors, "row", resolved.select(F.col("own").alias("row"))) if queries <= PUSHED_KEYS else self.vectors
+        own = _size_checked(resolved, queries)
+        return materialise(mine.join(own, F.col("row") == F.col("own")).select("query_id", F.explode("entries").alias("e"))
+                           .select("query_id", "e.index", F.col("e.weight").alias("query_weight")), "query-terms")
+
     def _scores(self, resolved: DataFrame, queries: int, k: int, quality_boost: bool) -> DataFrame:
         base = F.col("quality") if quality_boost else F.lit(0.0)
         own = _size_checked(resolved, queries)
-        terms = materialise(
-            self.vectors.join(own, F.col("row") == F.col("own"))
-            .select("query_id", F.explode("entries").alias("e"))
-            .select("query_id", "e.index", F.col("e.weight").alias("query_weight")), "query-terms")
-        products = self._products(terms, terms.count() <= BROADCAST_ROWS)
-
         candidate = ["row", "item", "quality"]
-        best = (self.vectors.select(*candidate)
-                .orderBy(F.desc(F.round(base, RANK_PLACES)), "item", "row").limit(k + 1)
-                .agg(F.collect_list(F.struct(*candidate))).scalar())
-        unseen = (resolved.select("query_id", F.explode(best).alias("b"))
-                  .select("query_id", "b.*", F.lit(0.0).alias("similarity")))
-        # The query's own item ranks behind all others, for catalogues of up to k items.
-        itself = (self.vectors.select(*candidate).join(own, F.col("row") == F.col("own"))
-                  .select("query_id", *candidate, F.lit(0.0).alias("similarity")))
+        terms = self.query_terms(resolved, queries)
 
         def final(similarity: str) -> Column:
             return F.col(similarity) * SIMILARITY_WEIGHT + base if quality_boost else F.col(similarity)
@@ -246,11 +230,16 @@ class ItemIndex:
             order = [F.desc(F.round("final", RANK_PLACES)), F.asc("item"), F.asc("row")]
             return top_per_group(scored.withColumn("final", final("similarity")), ["query_id"], order, n)
 
-        # The query's own item may take one place here, hence k+1. The sums of
-        # an item are complete within its bucket.
-        sims = products.groupBy("query_id", "row").agg(
-            F.max("item").alias("item"), F.max("quality").alias("quality"), F.sum("product").alias("similarity"))
-        similar = best_of(sims, k + 1).select("query_id", *candidate, "similarity")
+        listed = self.leaders.where(F.col("boost") == quality_boost) if k + 1 <= LEADERS else self.items
+        best = (listed.select(*candidate).orderBy(*self._leading(quality_boost)).limit(k + 1)
+                .agg(F.collect_list(F.struct(*candidate))).scalar())
+        unseen = (resolved.select("query_id", F.explode(best).alias("b"))
+                  .select("query_id", "b.*", F.lit(0.0).alias("similarity")))
+        # The query's own item ranks behind all others, for catalogues of up to k items.
+        itself = (self.items.select(*candidate).join(own, F.col("row") == F.col("own"))
+                  .select("query_id", *candidate, F.lit(0.0).alias("similarity")))
+        # The query's own item may take one place here, hence k+1.
+        similar = best_of(self._sums(terms, terms.count()), k + 1).select("query_id", *candidate, "similarity")
         # At most 2k+3 candidates per query from here on; similarity is never negative.
         shortlist = (similar.unionByName(unseen).unionByName(itself)
                      .groupBy("query_id", *candidate).agg(F.max("similarity").alias("similarity"))

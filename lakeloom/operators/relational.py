@@ -10,10 +10,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import strip
+from lakeloom.session import materialise
 
 # Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
 WINDOW_PRUNE_LIMIT = 1000
-SLICES = 64
+#: Bins of a histogram that narrows down the n-th value of a group, and how often it is refined at most.
+BINS, REFINEMENTS = 256, 6
+#: Pairs of rows without a key that one join task may make.
+NULL_PAIRS = 10_000_000
+#: Keys up to which a lookup is pushed into the scan as values.
+PUSHED_KEYS = 300
+
+
+class FanOut(ValueError):
+    """Rows without a key would match each other too often."""
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: str | Column) -> DataFrame:
@@ -46,19 +56,44 @@ def first_wins_union(stages: Sequence[DataFrame], keys: Sequence[str], position:
     return chosen if cap is None else chosen.orderBy("stage", position, *keys).limit(cap)
 
 
+def null_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None) -> tuple[int, int]:
+    """Rows without a key on both sides of a join: every one of them matches every other."""
+    return tuple(df.where(F.col(k).isNull()).count() for df, k in ((left, left_key), (right, right_key or left_key)))
+
+
 def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None,
-              null_safe: bool = True) -> DataFrame:
+              null_safe: bool = True, max_pairs: int | None = None, on_excess: str = "split") -> DataFrame:
     """Left outer join on one key; with ``null_safe`` a NULL key finds NULL keys.
 
-    The right key column is dropped; Spark picks the join strategy.
+    The right key column is dropped; Spark picks the join strategy. NULL keys
+    are one hot key whose rows pair n x m. With ``max_pairs`` they are counted
+    first: beyond it the join is refused (``on_excess="raise"``) or those pairs
+    are dealt to so many tasks that none makes more than ``max_pairs``.
     """
     right_key = right_key or left_key
     renamed = right.withColumnRenamed(right_key, "_right_key")
+    if null_safe and max_pairs is not None:
+        lefts, rights = null_pairs(left, right, left_key, right_key)
+        if lefts * rights > max_pairs:
+            if on_excess == "raise":
+                raise FanOut(f"{lefts} x {rights} rows without {left_key} match each other; the bound is {max_pairs}")
+            return _split_nulls(left, renamed, left_key, -(-lefts * rights // max_pairs))
     condition = (F.col(left_key).eqNullSafe(F.col("_right_key")) if null_safe
                  else F.col(left_key) == F.col("_right_key"))
     return left.join(renamed, condition, "left").drop("_right_key")
 
 
+def _split_nulls(left: DataFrame, right: DataFrame, key: str, parts: int) -> DataFrame:
+    """Left join in which the rows without a key, some on both sides, are joined in ``parts`` parts of the right ones."""
+    found = (left.where(F.col(key).isNotNull()).join(right.where("_right_key is not null"), F.col(key) == F.col("_right_key"), "left")
+             .drop("_right_key"))
+    salted = right.where("_right_key is null").drop("_right_key")
+    # By content, so that a task that runs again deals the same.
+    salted = salted.withColumn("_salt", F.pmod(F.xxhash64(*salted.columns), F.lit(parts)).cast("int"))
+    copies = left.where(F.col(key).isNull()).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return found.unionByName(copies.join(salted, "_salt").drop("_salt").select(*found.columns))
+
+
 def lookup_code(df: DataFrame, name: str, codes: DataFrame, code_name: str, code: str) -> DataFrame:
     """Code of a name, else the name read as a whole number, else the row is dropped.
 
@@ -81,18 +116,97 @@ def top_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
                   rank: str = "rank") -> DataFrame:
     """the first ``n`` rows of each group with their 1-based rank.
 
-    Spark prunes to ``n`` rows per group in every task before the shuffle, so
-    the size of a group does not matter. It does so for small ``n`` only; a
-    larger one is first applied to slices of each group.
+    For small ``n`` Spark prunes to ``n`` rows per group in every task before
+    the shuffle, so the size of a group does not matter. For a larger one rows
+    are counted over ranges of the whole order; ``first_per_group`` cuts them first.
     """
     if n > WINDOW_PRUNE_LIMIT:
-        sliced = df.withColumn("_slice", F.spark_partition_id() % SLICES)
-        within = W.partitionBy(*groups, "_slice").orderBy(*order)
-        df = sliced.withColumn(rank, F.row_number().over(within)).where(F.col(rank) <= n).drop("_slice", rank)
+        return numbered(df, groups, order, rank).where(F.col(rank) <= n)
     window = W.partitionBy(*groups).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window).cast("bigint")).where(F.col(rank) <= n)
 
 
+def _same(groups: Sequence[str], prefix: str) -> Column:
+    """Equal groups, where the other side's columns have a ``prefix``; NULL is a group."""
+    return reduce(lambda a, b: a & b, (F.col(g).eqNullSafe(F.col(prefix + g)) for g in groups), F.lit(True))
+
+
+def numbered(df: DataFrame, groups: Sequence[str], order: Sequence[Column], rank: str = "rank") -> DataFrame:
+    """``df`` with the 1-based place of each row in its group's ``order``, which must be unique.
+
+    Rows are sorted over all tasks by group and order and counted inside each
+    range; what is added up is one row per range and group. So neither a large
+    group nor, without ``groups``, the whole table lies in one task.
+    """
+    order = [*[F.col(g).asc_nulls_first() for g in groups], *order]
+    stored = materialise(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()),
+                         "numbered")
+    part = F.shiftright("_at", 33)
+    runs = (stored.groupBy(part.alias("_part"), *groups).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows")))
+    earlier = W.partitionBy(*groups).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    runs = runs.select("_part", "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+                       *[F.col(g).alias(f"_of_{g}") for g in groups])
+    place = F.col("_at") - F.col("_first") + F.col("_before") + 1
+    return (stored.join(runs, (part == F.col("_part")) & _same(groups, "_of_"))
+            .select(*df.columns, place.alias(rank)))
+
+
+def near_the_top(df: DataFrame, groups: Sequence[str], value: str, n: int, descending: bool = False) -> DataFrame:
+    """The rows of ``df`` that can be among the first ``n`` of their group by the number ``value``: those and not many more.
+
+    Radix selection: a histogram per group finds the bin in which the n-th
+    value lies, and that bin is cut into bins again, until it holds few rows or
+    one value. A pass moves a row per task, group and bin, whatever a group's
+    size. Rows whose value is missing or not finite stay.
+    """
+    x = F.col(value).cast("double")
+    x = -x if descending else x
+    finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    named = [F.col(g).alias(f"_of_{g}") for g in groups]
+    values = materialise(df.where(finite).select(*groups, x.alias("_x")), "values")
+    state = (values.groupBy(*named).agg(F.count("*").alias("_held"), F.min("_x").alias("_low"), F.max("_x").alias("_high"))
+             .where(F.col("_held") > n).withColumn("_need", F.lit(n).cast("bigint")))
+    bins = [f"_of_{g}" for g in groups]
+    for _ in range(REFINEMENTS):
+        state = materialise(state, "cuts")
+        if state.where((F.col("_held") > max(n, WINDOW_PRUNE_LIMIT)) & (F.col("_low") < F.col("_high"))).isEmpty():
+            break
+        width = (F.col("_high") - F.col("_low")) / BINS
+        slot = F.least(F.floor(F.try_divide(F.col("_x") - F.col("_low"), width)), F.lit(BINS - 1))
+        counts = (values.join(state, _same(groups, "_of_")).where(F.col("_x").between(F.col("_low"), F.col("_high")))
+                  .groupBy(*bins, "_need", F.coalesce(slot, F.lit(0)).alias("_slot"))
+                  .agg(F.count("*").alias("_held"), F.min("_x").alias("_low"), F.max("_x").alias("_high")))
+        earlier = W.partitionBy(*bins).orderBy("_slot").rowsBetween(W.unboundedPreceding, -1)
+        counts = counts.withColumn("_before", F.coalesce(F.sum("_held").over(earlier), F.lit(0)))
+        state = (counts.where((F.col("_before") < F.col("_need")) & (F.col("_need") <= F.col("_before") + F.col("_held")))
+                 .select(*bins, "_held", "_low", "_high", (F.col("_need") - F.col("_before")).alias("_need")))
+    cuts = state.select(*bins, F.col("_high").alias("_cut"))
+    stays = F.col("_cut").isNull() | ~F.coalesce(finite, F.lit(False)) | (x <= F.col("_cut"))
+    return df.join(cuts, _same(groups, "_of_"), "left").where(stays).select(*df.columns)
+
+
+def first_per_group(df: DataFrame, groups: Sequence[str], value: str, n: int, ties: Sequence[Column], descending: bool = False,
+                    rank: str = "rank") -> DataFrame:
+    """the first ``n`` rows of each group by a number, then by ``ties`` (together unique), for any ``n`` and group size."""
+    order = [F.desc(value) if descending else F.asc(value), *ties]
+    if n > WINDOW_PRUNE_LIMIT:
+        df = near_the_top(df, groups, value, n, descending)
+    return top_per_group(df, groups, order, n, rank)
+
+
+def picked(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``table`` with only the pages that can hold the keys in ``wanted``, where they are few; all of it otherwise.
+
+    For a stored table that is sorted by ``key``. The join with ``wanted`` is
+    still to be done: a page holds other keys too.
+    """
+    keys = [r[0] for r in wanted.select(key).distinct().limit(PUSHED_KEYS + 1).collect()]
+    if len(keys) > PUSHED_KEYS:
+        return table
+    # One comparison each: of a longer list the scan would use the smallest and the largest value only.
+    return table.where(reduce(lambda a, b: a | b, (F.col(key) == k for k in sorted(k for k in keys if k is not None)), F.lit(False)))
+
+
 def group_quota(target: int, groups: int) -> int:
     """rows each group may give, never below 5."""
     return max(5, target // groups)

@@ -175,6 +175,41 @@ class SentimentModel:
         return cls(spark.read.parquet(f"{path}/terms"), meta["intercept"], tuple(meta["stop_words"]),
                    meta["max_terms"], path)
 
+    def certificate(self, c: float = REGULARISATION_C) -> DataFrame:
+        """H9: one row that shows how far the stored coefficients are from the optimum of their objective.
+
+        The objective is half the squared coefficients plus ``c`` times the
+        weighted log-loss of the stored training rows. Its gradient must vanish
+        at the optimum: ``largest_gradient`` over the coefficients and
+        ``intercept_gradient``. As the objective is 1-strongly convex in the
+        coefficients, ``gap`` (half the squared gradient) bounds what the
+        coefficients could still gain.
+        """
+        spark = self.terms.sparkSession
+        layout = "label double, weight double, features struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+        rows = spark.read.schema(layout).parquet(f"{self.path}/training")
+        # Read twice below, so the numbers of the rows are stored with them.
+        entries = materialise(rows.withColumn("row", F.monotonically_increasing_id()).select(
+            "row", "label", "weight", F.explode_outer(F.arrays_zip("features.indices", "features.values")).alias("e"))
+            .select("row", "label", "weight", F.col("e.indices").alias("index"), F.col("e.values").alias("x")), "entries")
+        # At most ``max_terms`` rows.
+        terms = F.broadcast(self.terms.select("index", "coefficient"))
+        margins = entries.join(terms, "index", "left").groupBy("row", "label", "weight").agg(
+            F.sum(F.coalesce(F.col("x") * F.col("coefficient"), F.lit(0.0))).alias("dot"))
+        p = 1 / (1 + F.exp(-(F.col("dot") + F.lit(self.intercept))))
+        errors = materialise(margins.select("row", (c * F.col("weight") * (p - F.col("label"))).alias("error"),
+                                            (-c * F.col("weight") * F.log(F.when(F.col("label") == 1, p).otherwise(1 - p))).alias("loss")), "errors")
+        pulls = (entries.where("index is not null").join(errors.select("row", "error"), "row")
+                 .groupBy("index").agg(F.sum(F.col("x") * F.col("error")).alias("pull")))
+        slope = F.coalesce("pull", F.lit(0.0)) + F.col("coefficient")
+        whole = errors.agg(F.count("*").alias("rows"), F.abs(F.sum("error")).alias("intercept_gradient"), F.sum("loss").alias("loss"))
+        shape = terms.join(pulls, "index", "left").agg(
+            F.max(F.abs(slope)).alias("largest_gradient"), (F.sum(slope * slope) / 2).alias("gap"),
+            (F.sum(F.col("coefficient") * F.col("coefficient")) / 2).alias("penalty"))
+        one = F.lit(1).alias("one")
+        return whole.select("*", one).join(shape.select("*", one), "one").select(
+            "rows", "largest_gradient", "intercept_gradient", "gap", (F.col("loss") + F.col("penalty")).alias("objective"))
+
     def score(self, df: DataFrame, key: str, text: str, keep: Sequence[str] = ()) -> DataFrame:
         """(key, *keep, probability, prediction, label, confidence) of each text.
 

@@ -29,8 +29,10 @@ SMALL_INPUT = 256_000_000
 
 def _spread(docs: DataFrame) -> DataFrame:
     """Spread the rows of a small input over all cores. A larger one is never shuffled: its scan has tasks enough."""
-    size = docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return docs.repartition(docs.sparkSession.sparkContext.defaultParallelism) if int(size) <= SMALL_INPUT else docs
+    # Summed over the tables that are read: the estimate for a join would be the product of its sides.
+    leaves = docs._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return docs.repartition(docs.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_INPUT else docs
 
 
 def term_statistics(docs: DataFrame, text: str, stop_words: Sequence[str] = ()) -> DataFrame:

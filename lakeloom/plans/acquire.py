@@ -14,11 +14,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.operators import presets as P
-from lakeloom.operators.relational import exclude_existing, group_quota, top_per_group
+from lakeloom.operators.relational import WINDOW_PRUNE_LIMIT, exclude_existing, first_per_group, group_quota, top_per_group
 from lakeloom.operators.selection import is_acceptable
 
 GROUPS = {"genres": (1,), "keywords": (2,), "regions": (3,), "eras": (4,), "streams": (5, 6, 7, 8, 9, 10)}
@@ -123,18 +122,19 @@ def acquire(listing: DataFrame, target: int, *, existing: DataFrame | None = Non
         quota = group_quota(target, region_keys)
         waiting = per_item.where("before is null and region is not null").select(*by, "region.*")
         order = [F.asc("after_best"), *[F.asc(c) for c in by[::-1]]]
-        winners = top_per_group(waiting, ["key_no"], order, quota, "_place")
+        winners = first_per_group(waiting, ["key_no"], "after_best", quota, order[1:], rank="_place")
         won = winners.select(*by, F.lit(True).alias("won"))
         # At most quota x regions rows, both fixed by the arguments.
         small = quota * region_keys <= BROADCAST_ROWS
         per_item = per_item.join(F.broadcast(won) if small else won, by, "left")
         choice = F.coalesce("before", F.when(F.col("won"), F.col("region")), "after")
     order = ["key_no", "after_best", *by[::-1]]
-    chosen = (per_item.select(*by, choice.alias("c")).where("c is not null").select(*by, "c.*")
-              .orderBy(*order).limit(target))
-    # At most ``target`` rows are left, so one ordered window is fine.
-    place = F.row_number().over(W.orderBy(*order)).cast("bigint")
+    chosen = per_item.select(*by, choice.alias("c")).where("c is not null").select(*by, "c.*")
+    if target <= WINDOW_PRUNE_LIMIT:
+        chosen = chosen.orderBy(*order).limit(target)
+    # The first rows of one order over everything, counted over ranges where they are many.
+    chosen = top_per_group(chosen, [], [F.asc(c) for c in order], target, "position")
     stage_of = F.array(*[F.lit(k.stage) for k in keys])
     name_of = F.array(*[F.lit(k.name) for k in keys])
     return chosen.select(*by, F.get(stage_of, "key_no").cast("bigint").alias("stage"),
-                         F.get(name_of, "key_no").alias("key"), place.alias("position"))
+                         F.get(name_of, "key_no").alias("key"), "position")

@@ -12,16 +12,16 @@ from lakeloom.functions.nested import json_names, json_objects, object_names, ob
 from lakeloom.functions.score import DEFAULT_RATING, sentiment_label
 from lakeloom.functions.text import clean, default_stop_words, filled, language_code, longer_than, weighted_text
 from lakeloom.operators.presets import WRITER_PRODUCER_JOBS
-from lakeloom.operators.quality import audit_gold, audit_layer, compression, removed_rows, stored_size, union_all
+from lakeloom.operators.quality import audit_gold, audit_layer, compression, file_inventory, inventory_size, removed_rows, union_all
 from lakeloom.operators.recommend import ItemIndex
-from lakeloom.operators.relational import keep_first, left_join
+from lakeloom.operators.relational import NULL_PAIRS, keep_first, left_join
 from lakeloom.operators.sentiment import SentimentModel, train_and_evaluate
 from lakeloom.operators.shaping import bronze_rows
 from lakeloom.plans.acquire import acquire
 from lakeloom.session import materialise
 from lakeloom.sources.readers import MissingInput, ORDER, optional, read_parquet, read_text_table, required
 from lakeloom.sources.schemas import BRONZE
-from lakeloom.sources.writers import append_batch, known_keys, text_table_paths, write_manifest, write_parquet, write_text_copy
+from lakeloom.sources.writers import append_batch, key_ledger, text_table_paths, write_manifest, write_parquet, write_text_copy
 
 # Least review length, default title, Gold columns, texts to clean, weights of the soup.
 REVIEW_LENGTH = 20
@@ -119,15 +119,18 @@ SILVER_STEPS = {
 
 
 def gold_features(movies: DataFrame, credits: DataFrame, keywords: DataFrame,
-                  soup: Sequence[tuple[str | Column, int]] = SOUP, null_safe: bool = True) -> DataFrame:
+                  soup: Sequence[tuple[str | Column, int]] = SOUP, null_safe: bool = True,
+                  max_pairs: int | None = None, on_excess: str = "split") -> DataFrame:
     """J1 twice, cleaned text columns, release year and the weighted text.
 
     By default rows without a usable id match each other, every one with every
     one; ``null_safe=False`` leaves them unmatched, for input with many bad ids.
+    With ``max_pairs`` such rows are counted first, and beyond it the join is
+    refused or split (``on_excess``).
     """
-    joined = left_join(movies.select(*GOLD_MOVIE_COLUMNS), credits.select("id", *GOLD_CREDIT_COLUMNS), "id",
-                       null_safe=null_safe)
-    joined = left_join(joined, keywords.select("id", "keywords_clean"), "id", null_safe=null_safe)
+    bounds = {"null_safe": null_safe, "max_pairs": max_pairs, "on_excess": on_excess}
+    joined = left_join(movies.select(*GOLD_MOVIE_COLUMNS), credits.select("id", *GOLD_CREDIT_COLUMNS), "id", **bounds)
+    joined = left_join(joined, keywords.select("id", "keywords_clean"), "id", **bounds)
     cleaned = joined.withColumns({c: clean(c) for c in GOLD_TEXT_COLUMNS})
     return cleaned.withColumns({"release_year": release_year("release_date"), "metadata_soup": weighted_text(soup)})
 
@@ -141,16 +144,20 @@ def land(records: DataFrame, bronze_dir: str) -> None:
     """
     tables = bronze_rows(materialise(records, "records"))
     for name in sorted(tables, key=lambda n: n == "movies_metadata"):
-        append_batch(tables[name], f"{bronze_dir}/{name}", key="id" if name == "movies_metadata" else None)
+        noted = {"key": "id", "extra": ["media_type"], "numbers": True} if name == "movies_metadata" else {}
+        append_batch(tables[name], f"{bronze_dir}/{name}", **noted)
 
 
 def ingest(listing: DataFrame, details: DataFrame, bronze_dir: str, target: int, **choice) -> DataFrame:
     """Choose up to ``target`` new items, land their detail records, return the choice.
 
-    Ids already in Bronze are skipped. ``choice`` goes to ``acquire``.
+    Ids already in Bronze are skipped. ``choice`` goes to ``acquire``; with
+    ``by=("media_type", "id")`` a series may have the id of a movie.
     """
-    known = known_keys(listing.sparkSession, f"{bronze_dir}/movies_metadata", BRONZE["movies_metadata"], "id")
-    existing = None if known is None else known.select(F.col("id").try_cast("bigint").alias("id"))
+    ledger = key_ledger(listing.sparkSession, f"{bronze_dir}/movies_metadata", BRONZE["movies_metadata"], "id", ["media_type"], True)
+    # A key noted without its kind counts as both kinds.
+    kinds = F.when(F.col("media_type").isNull(), F.array(F.lit("movie"), F.lit("tv"))).otherwise(F.array("media_type"))
+    existing = ledger.known(listing).select(F.col("id").try_cast("bigint").alias("id"), F.explode(kinds).alias("media_type"))
     chosen = materialise(acquire(listing, target, existing=existing, **choice), "chosen")
     # Stages before the tenth select movies, the tenth selects series.
     kind = F.when(F.col("stage") == 10, "tv").otherwise("movie")
@@ -191,7 +198,7 @@ def build_gold(spark: SparkSession, silver_dir: str, gold_dir: str, text_copy: b
     tables = [required(read_parquet, spark, f"{silver_dir}/{t}")
               for t in ("silver_movies", "silver_credits", "silver_keywords")]
     path = f"{gold_dir}/gold_movies_features"
-    write_parquet(gold_features(*tables, null_safe=null_safe), path)
+    write_parquet(gold_features(*tables, null_safe=null_safe, max_pairs=NULL_PAIRS), path)
     gold = read_parquet(spark, path)
     if text_copy:
         write_text_copy(gold, f"{path}_text")
@@ -232,9 +239,11 @@ def audit(spark: SparkSession, bronze_dir: str, silver_dir: str, gold_dir: str,
     bronze = read_bronze(spark, bronze_dir, keep_order=False)
     silver = {n: optional(read_parquet, spark, f"{silver_dir}/{n}") for n in SILVER_STEPS}
     gold = required(read_parquet, spark, f"{gold_dir}/gold_movies_features")
+    raw = {n: text_table_paths(spark, f"{bronze_dir}/{n}") for n in BRONZE}
     manifests = {
-        "bronze": (audit_layer(bronze, "Bronze", "bronze_ingestion"), bronze_dir),
-        "silver": (audit_layer(silver, "Silver", "silver_transformation", SILVER_KEYS), silver_dir),
+        "bronze": (audit_layer(bronze, "Bronze", "bronze_ingestion", paths=raw), bronze_dir),
+        "silver": (audit_layer(silver, "Silver", "silver_transformation", SILVER_KEYS,
+                               {n: [f"{silver_dir}/{n}"] for n in SILVER_STEPS}), silver_dir),
         "gold": (audit_gold(gold, recommender, classifier, metrics), gold_dir),
     }
     for name, (manifest, folder) in manifests.items():
@@ -253,8 +262,9 @@ def compression_report(spark: SparkSession, bronze_dir: str, silver_dir: str) ->
     """Q4: size of each raw text table against the Silver table made of it."""
     bronze = read_bronze(spark, bronze_dir, keep_order=False)
     present = [(name, source) for name, (source, _) in SILVER_STEPS.items() if bronze[source] is not None]
-    return compression(union_all([stored_size(bronze[source], name) for name, source in present]),
-                       union_all([stored_size(read_parquet(spark, f"{silver_dir}/{name}"), name) for name, _ in present]))
+    size = lambda paths, name: inventory_size(file_inventory(spark, paths), name)
+    return compression(union_all([size(text_table_paths(spark, f"{bronze_dir}/{source}"), name) for name, source in present]),
+                       union_all([size(f"{silver_dir}/{name}", name) for name, _ in present]))
 
 
 def run_all(spark: SparkSession, bronze_dir: str, silver_dir: str, gold_dir: str, models_dir: str,

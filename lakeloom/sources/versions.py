@@ -108,6 +108,14 @@ def publish(spark: SparkSession, path: str, folder: str, note: dict | None = Non
     return Version(number, folder, note or {})
 
 
+def publish_note(spark: SparkSession, path: str, note: dict, keep: int = KEEP) -> Version:
+    """Publish a version that is nothing but its note."""
+    folder = new_folder(path)
+    files, empty = _files(spark, folder)
+    files.mkdirs(empty)
+    return publish(spark, path, folder, note, keep)
+
+
 def retire(spark: SparkSession, path: str, keep: int = KEEP) -> list[Version]:
     """Delete all but the last ``keep`` versions: first the pointer, so that no reader starts on half a folder."""
     if keep < 1:

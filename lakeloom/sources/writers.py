@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from lakeloom.sources.ledger import KeyLedger
 from lakeloom.sources.readers import read_text_table
 
 LEDGER = "_keys"
@@ -71,14 +70,25 @@ def header_of(spark: SparkSession, path: str) -> list[str] | None:
     return first.columns or None
 
 
-def append_batch(df: DataFrame, path: str, token: str | None = None, key: str | None = None) -> str:
+def _number(batch: str) -> int:
+    return int(batch.split("-")[1])
+
+
+def _suffix(batch: str) -> str:
+    """Token of a batch, or the unique name it got instead."""
+    return batch.split("-", 2)[2]
+
+
+def append_batch(df: DataFrame, path: str, token: str | None = None, key: str | None = None,
+                 extra: list[str] | None = None, numbers: bool = False) -> str:
     """Append rows to a text table as one more batch folder.
 
     The header of the table must equal the columns of ``df`` in order. Batch
     folders are numbered, so folder order is append order. A ``token`` names
     the batch: writing the same token again replaces that batch, which makes a
     replayed streaming batch harmless. ``key`` also notes the keys of the batch
-    in a Parquet ledger beside the table, for ``known_keys``.
+    in the ledger beside the table, with the columns ``extra``; ``numbers``
+    says that keys are whole numbers.
     """
     spark = df.sparkSession
     known = header_of(spark, path)
@@ -87,40 +97,49 @@ def append_batch(df: DataFrame, path: str, token: str | None = None, key: str |
     batches = _batches(spark, path)
     # Without a token the name is unique, so that two writers at once cannot take one folder.
     suffix = f"-{token}" if token else f"-u{uuid.uuid4().hex}"
-    again = [b for b in batches if token and b.split("-", 2)[2:] == [token]]
+    again = [b for b in batches if token and _suffix(b) == token]
     if again:
         name = again[0]
     else:
-        last = int(batches[-1].split("-")[1]) if batches else 0
+        last = _number(batches[-1]) if batches else 0
         name = f"batch-{last + 1:010d}{suffix}"
     mode = "overwrite" if token else "errorifexists"
     _text_writer(df, mode).csv(f"{path}/{name}")
     if key:
         # After the rows: a crash in between leaves rows to deduplicate, not keys without rows.
         batch = read_text_table(spark, f"{path}/{name}", df.columns, na_tokens=False)
-        batch.select(key).write.mode(mode).parquet(f"{path}{LEDGER}/{name}")
+        KeyLedger(spark, path + LEDGER, [key], extra, numbers).append(batch, _suffix(name), _number(name))
     return name
 
 
+def key_ledger(spark: SparkSession, path: str, columns: list[str], key: str, extra: list[str] | None = None,
+               numbers: bool = False, without: str | None = None) -> KeyLedger:
+    """The ledger of a text table's keys, brought up to date.
+
+    The text of batches that were written without a key is read once and noted;
+    the batch with token ``without``, which is about to be written again, is left out.
+    """
+    ledger = KeyLedger(spark, path + LEDGER, [key], extra, numbers)
+    state = ledger.state()
+    missing = [b for b in _batches(spark, path) if not state.covers(_number(b)) and _suffix(b) != without]
+    plain = [p for p in text_table_paths(spark, path) if p != path and not state.covers(0)]
+    read = lambda paths: read_text_table(spark, paths, columns, na_tokens=False)
+    older = plain + [f"{path}/{b}" for b in missing[:-1]]
+    if older:
+        ledger.append(read(older), None, [0] * bool(plain) + [_number(b) for b in missing[:-1]])
+    if missing:
+        # The newest batch is a run of its own, as it may be written again.
+        ledger.append(read(f"{path}/{missing[-1]}"), _suffix(missing[-1]), _number(missing[-1]))
+    return ledger
+
+
 def known_keys(spark: SparkSession, path: str, columns: list[str], key: str,
                without: str | None = None) -> DataFrame | None:
-    """Keys a text table holds, apart from the batch with token ``without``.
+    """All keys a text table holds, apart from the batch with token ``without``; None for an empty table.
 
-    Reads the narrow ledger of each batch, and the text only of batches that
-    have none.
+    To compare a batch with them, ``KeyLedger.exclude`` reads only what it needs.
     """
-    noted = _batches(spark, path + LEDGER)
-    parts = []
-    if noted:
-        # One scan of the whole ledger, however many batches there are.
-        ledger = (spark.read.schema(f"`{key}` string").option("recursiveFileLookup", True).parquet(path + LEDGER))
-        own = F.col("_metadata.file_path").contains(f"-{without}/") if without else F.lit(False)
-        parts.append(ledger.where(~own).select(key))
-    plain = [p for p in text_table_paths(spark, path) if p != path]
-    unnoted = sorted({b for b in _batches(spark, path) if b.split("-", 2)[2:] != [without]} - set(noted))
-    if texts := plain + [f"{path}/{b}" for b in unnoted]:
-        parts.append(read_text_table(spark, texts, columns, na_tokens=False).select(key))
-    return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
+    return key_ledger(spark, path, columns, key, without=without).all(without)
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import quality as Q
 from lakeloom.operators import sentiment as S
+from lakeloom.operators.recommend import ItemIndex
 from lakeloom.operators.sentiment import MAX_TERMS, MIN_DF
 from lakeloom.operators.tfidf import vocabulary
 from lakeloom.operators.shaping import landing_rejects as landing_reject_counts
@@ -101,14 +102,69 @@ SELECT count(*) AS row_count, 2::BIGINT AS col_count, count(*) FILTER (quality I
 
 
 def compression_ratio(spark, sf):
+    """Rows, files and sizes of tables kept as text and as Parquet; files without rows count."""
     path = work_path(spark, "sizes")
     names = ["orders", "documents", "part"]
+    kept, profiles = [], []
     for name in names:
         df = table(spark, sf, name)
-        W.write_parquet(df, f"{path}/{name}")
+        # Two files, one of them without rows.
+        two = df.repartition(1).unionByName(df.limit(0).repartition(1))
+        profiles.append(Q.write_audited(two, f"{path}/{name}", name, "sizes"))
         W.write_text_copy(df, f"{path}/{name}_text")
-    text = Q.union_all([Q.stored_size(spark.read.schema(text_schema(TABLES[n])).csv(f"{path}/{n}_text"), n) for n in names])
-    return Q.compression(text, Q.union_all([Q.stored_size(R.read_parquet(spark, f"{path}/{n}"), n) for n in names]))
+        kept.append(Q.inventory_size(Q.file_inventory(spark, f"{path}/{name}_text"), name))
+    stored = Q.union_all(profiles)
+    ratios = Q.compression(Q.union_all(kept), stored.select("table_name", "size_kb"))
+    return ratios.join(stored, "table_name").select("table_name", "row_count", "file_count", (F.col("ratio") > 0).alias("smaller"))
+
+
+COMPRESSION_RATIO = "\nUNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count, 2::BIGINT AS file_count, true AS smaller FROM {n}" for n in ("orders", "documents", "part"))
+
+
+def audit_layer_manifest(spark, sf):
+    """The manifest of a layer from the counts its writes collect and one check of keys, stored and read again."""
+    path = work_path(spark, "layer")
+    names = ["nation", "part", "documents", "labels"]
+    profiles = [Q.write_audited(table(spark, sf, n), f"{path}/{n}", n, "Silver") for n in names[:3]]
+    scanned = {"labels": table(spark, sf, "labels"), "absent": None}
+    manifest = Q.audit_layer(scanned, "Silver", "silver_transformation", {"labels": ["doc_id"]}, profiles=profiles)
+    W.write_manifest(manifest, f"{path}/manifest")
+    back = spark.read.schema(manifest.schema).json(f"{path}/manifest")
+    return back.select("pipeline_name", "status", "total_tables", "total_rows", F.explode("tables").alias("t")).select(
+        "pipeline_name", "status", "total_tables", "total_rows", "t.table_name", "t.row_count", "t.col_count",
+        F.aggregate(F.map_values(F.from_json("t.null_counts", "map<string,bigint>")), F.lit(0).cast("bigint"), lambda a, n: a + n).alias("nulls"),
+        (F.col("t.size_kb") > 0).alias("sized"), "t.distinct_keys", "t.duplicate_rows")
+
+
+def _audit_layer_sql() -> str:
+    one = "\nUNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS row_count, {len(TABLES[n])}::BIGINT AS col_count, "
+        f"({' + '.join(f'count(*) FILTER ({c} IS NULL)' for c in TABLES[n])})::BIGINT AS nulls, "
+        + ("count(DISTINCT doc_id) AS distinct_keys, count(*) - count(DISTINCT doc_id)" if n == "labels" else "NULL::BIGINT AS distinct_keys, NULL::BIGINT")
+        + f" AS duplicate_rows FROM {n}" for n in ("nation", "part", "documents", "labels"))
+    return (f"WITH t AS ({one}) SELECT 'silver_transformation' AS pipeline_name, 'SUCCESS' AS status, 4::BIGINT AS total_tables, "
+            "(SELECT sum(row_count) FROM t)::BIGINT AS total_rows, *, true AS sized FROM t")
+
+
+def audit_gold_manifest(spark, sf):
+    """The Gold manifest with the smoke test of a recommender, stored and read again."""
+    path = work_path(spark, "gold-audit")
+    docs = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("title"), F.col("text").alias("metadata_soup"),
+        (F.col("n_chars") % 10).cast("double").alias("vote_average"), (F.col("n_chars") % 100).cast("double").alias("popularity"))
+    index = ItemIndex.build(docs, columns=["title"], stop_words=STOP_WORDS, path=f"{path}/index", row="id", max_terms=2000)
+    manifest = Q.audit_gold(docs, recommender=index)
+    W.write_manifest(manifest, f"{path}/manifest")
+    return spark.read.schema(manifest.schema).json(f"{path}/manifest").select(
+        "row_count", "col_count", "null_soup", "empty_soup", "status", "recommender_status", "recommender_test",
+        "sentiment_status", "sentiment_test")
+
+
+AUDIT_GOLD_MANIFEST = """
+SELECT count(*) AS row_count, 5::BIGINT AS col_count, count(*) FILTER (text IS NULL) AS null_soup, count(*) FILTER (text = '') AS empty_soup,
+  'SUCCESS' AS status, 'READY' AS recommender_status, 'PASSED' AS recommender_test, 'NOT_TRAINED' AS sentiment_status,
+  'SKIPPED' AS sentiment_test FROM documents"""
 
 
 def schema_checked_append(spark, sf):
@@ -196,6 +252,46 @@ CROSS_RUN_DEDUP = """
 SELECT event_id, event_type, CASE WHEN event_type IN ('click', 'view') THEN 1 ELSE 2 END::BIGINT AS run FROM events"""
 
 
+def many_runs_dedup(spark, sf, batches=12):
+    """Many small batches, each overlapping the one before it, against the ledger's runs; the fifth is replayed at once."""
+    path = work_path(spark, "many-runs")
+    events = table(spark, sf, "events").select(F.col("event_id").cast("string").alias("event_id"), "event_type")
+    slot = F.pmod(F.col("event_id").cast("bigint"), F.lit(batches))
+    for n in range(batches):
+        part = events.where((slot == n) | (slot == max(n - 1, 0)))
+        for _ in range(2 if n == 4 else 1):
+            I.append_new(part, path, "event_id", f"run{n}")
+    back = R.read_text_table(spark, path, ["event_id", "event_type"], keep_order=True)
+    run = F.regexp_extract("_order.folder", "batch-0*([0-9]+)-", 1).cast("bigint")
+    return back.select(F.col("event_id").cast("bigint").alias("event_id"), "event_type", run.alias("run"))
+
+
+MANY_RUNS_DEDUP = "SELECT event_id, event_type, (event_id % 12 + 1)::BIGINT AS run FROM events"
+
+
+def stream_late_settled(spark, sf):
+    """Batches in which old events come late, some new and some repeated; a watermark alone would lose the new ones."""
+    path = work_path(spark, "settled")
+    events = table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), F.col("ts").cast("string").alias("ts"), "event_type")
+    number = F.col("event_id").cast("bigint")
+    old = F.pmod(number, F.lit(7)) == 3
+    parts = [events.where(~old & (F.pmod(number, F.lit(2)) == 0)), events.where(~old), events]
+    for n, part in enumerate(parts):
+        I.append_settled(part, path, "event_id", "ts", "1 HOUR", f"batch{n}")
+    I.append_settled(parts[-1], path, "event_id", "ts", "1 HOUR", "batch2")
+    counts = I.late_counts(spark, path)
+    back = R.read_text_table(spark, path, ["event_id", "ts", "event_type"], keep_order=True)
+    run = F.regexp_extract("_order.folder", "batch-0*([0-9]+)-", 1).cast("bigint")
+    return back.select(F.col("event_id").cast("bigint").alias("event_id"), "event_type", run.alias("run"),
+                       F.lit(counts.late > counts.settled > 0).alias("late_ones_settled"))
+
+
+STREAM_LATE_SETTLED = """
+SELECT event_id, event_type, CASE WHEN event_id % 7 = 3 THEN 3 WHEN event_id % 2 = 0 THEN 1 ELSE 2 END::BIGINT AS run,
+  true AS late_ones_settled FROM events"""
+
+
 def stream_dedup_watermark(spark, sf):
     path = work_path(spark, "dedup")
     schema = table(spark, sf, "events").schema
@@ -324,12 +420,16 @@ CASES = {
     "layer_manifest": (layer_manifest, LAYER_MANIFEST),
     "removed_counts": (removed_counts, REMOVED_COUNTS),
     "gold_audit": (gold_audit, GOLD_AUDIT),
-    "compression_ratio": (compression_ratio, None),
+    "compression_ratio": (compression_ratio, COMPRESSION_RATIO),
+    "audit_layer_manifest": (audit_layer_manifest, _audit_layer_sql()),
+    "audit_gold_manifest": (audit_gold_manifest, AUDIT_GOLD_MANIFEST),
     "schema_checked_append": (schema_checked_append, SCHEMA_CHECKED_APPEND),
     "nested_landing_source": (nested_landing_source, NESTED_LANDING_SOURCE),
     "landing_rejects": (landing_rejects, LANDING_REJECTS),
     "micro_ingest_stream": (micro_ingest_stream, MICRO_INGEST_STREAM),
     "cross_run_dedup": (cross_run_dedup, CROSS_RUN_DEDUP),
+    "many_runs_dedup": (many_runs_dedup, MANY_RUNS_DEDUP),
+    "stream_late_settled": (stream_late_settled, STREAM_LATE_SETTLED),
     "stream_dedup_watermark": (stream_dedup_watermark, STREAM_DEDUP_WATERMARK),
     "stream_score": (stream_score, STREAM_SCORE),
     "gold_sql_view": (gold_sql_view, GOLD_SQL_VIEW),

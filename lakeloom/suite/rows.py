@@ -72,6 +72,41 @@ SELECT o_orderkey, o_orderpriority, o_totalprice, rank FROM (
 WHERE rank <= greatest(5, 1000 // 5)"""
 
 
+#: Rows per group, and rows in all, beyond the number that Spark ranks within tasks.
+LARGE_QUOTA, LARGE_TARGET = 3000, 6000
+
+
+def group_quota_large(spark, sf):
+    """Quotas of thousands; one group has most of the rows, and many rows share a value."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", F.when(F.col("l_discount") > 0.02, "most").when(F.col("l_tax") > 0.02, F.col("l_returnflag")).alias("kind"))
+    return R.first_per_group(lines, ["kind"], "l_quantity", LARGE_QUOTA, [F.asc("l_orderkey"), F.asc("l_linenumber")], descending=True)
+
+
+GROUP_QUOTA_LARGE = f"""
+WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity,
+  CASE WHEN l_discount > 0.02 THEN 'most' WHEN l_tax > 0.02 THEN l_returnflag END AS kind FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_quantity, kind,
+  row_number() OVER (PARTITION BY kind ORDER BY l_quantity DESC, l_orderkey, l_linenumber) AS rank FROM l
+QUALIFY rank <= {LARGE_QUOTA}"""
+
+
+def null_keys_split(spark, sf):
+    """A third of both sides without a key: their pairs are dealt to many tasks."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_custkey")).alias("cust"))
+    customer = table(spark, sf, "customer").select(F.when(F.col("c_custkey") % 3 > 0, F.col("c_custkey")).alias("key"), "c_name")
+    joined = R.left_join(orders, customer, "cust", "key", max_pairs=50_000)
+    return joined.groupBy("cust").agg(F.count("*").alias("pairs"), F.count("c_name").alias("matched"), F.max("c_name").alias("last_name"))
+
+
+NULL_KEYS_SPLIT = """
+WITH o AS (SELECT CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END AS cust FROM orders),
+c AS (SELECT CASE WHEN c_custkey % 3 > 0 THEN c_custkey END AS key, c_name FROM customer),
+l AS (SELECT cust, count(*) AS rows FROM o GROUP BY 1), r AS (SELECT key, count(*) AS rows, max(c_name) AS name FROM c GROUP BY 1)
+SELECT cust, l.rows * coalesce(r.rows, 1) AS pairs, l.rows * coalesce(r.rows, 0) AS matched, name AS last_name
+FROM l LEFT JOIN r ON cust IS NOT DISTINCT FROM key"""
+
+
 def lookup_with_fallback(spark, sf):
     name = (F.when(F.col("s_acctbal") > 5000, F.concat(F.lit(" Nation_"), "s_nationkey"))
             .when(F.col("s_acctbal") > 0, F.col("s_nationkey").cast("string")).otherwise(F.col("s_name")))
@@ -224,13 +259,18 @@ def _listing(spark, sf):
         (size * 2).alias("runtime"))
 
 
-def staged_acquisition(spark, sf):
+def staged_acquisition(spark, sf, target=600):
     sold = table(spark, sf, "lineitem").where("l_quantity = 50").select(F.col("l_partkey").alias("id"))
-    return acquire(_listing(spark, sf), 600, existing=sold, genres=["Action", "adventure", "16", "nonsense"],
+    return acquire(_listing(spark, sf), target, existing=sold, genres=["Action", "adventure", "16", "nonsense"],
                    languages=["ja", "ko", "fr", "vi"])
 
 
-def _staged_sql() -> str:
+def staged_acquisition_large(spark, sf):
+    """A target, and so a quota, beyond what one task ranks."""
+    return staged_acquisition(spark, sf, LARGE_TARGET)
+
+
+def _staged_sql(target: int = 600) -> str:
     movie, dated = "media_type = 'movie'", "d BETWEEN '1970-01-01' AND '2026-12-31'"
     keys = [(1, n, f"{movie} AND g = {c} AND v >= 25 AND {dated}", "pop")
             for n, c in (("Action", 28), ("adventure", 12), ("16", 16))]
@@ -262,12 +302,12 @@ ok AS (SELECT * FROM l WHERE substr(d, 1, 4)::INTEGER BETWEEN 1970 AND 2026 AND
 claims AS ({claims}),
 early AS (SELECT * FROM claims WHERE stage < 3 QUALIFY row_number() OVER (PARTITION BY id ORDER BY key_no) = 1),
 waiting AS (SELECT * FROM claims WHERE stage = 3 AND id NOT IN (SELECT id FROM early)),
-won AS (SELECT * FROM waiting QUALIFY row_number() OVER (PARTITION BY key_no ORDER BY sort DESC, id) <= greatest(5, 600 // 4)),
+won AS (SELECT * FROM waiting QUALIFY row_number() OVER (PARTITION BY key_no ORDER BY sort DESC, id) <= greatest(5, {target} // 4)),
 late AS (SELECT * FROM claims WHERE stage > 3 AND id NOT IN (SELECT id FROM early) AND id NOT IN (SELECT id FROM won)
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY key_no) = 1),
 u AS (SELECT * FROM early UNION ALL SELECT * FROM won UNION ALL SELECT * FROM late)
 SELECT id, stage::BIGINT AS stage, key, row_number() OVER (ORDER BY key_no, sort DESC, id) AS position FROM u
-QUALIFY position <= 600"""
+QUALIFY position <= {target}"""
 
 
 def min_words(spark, sf):
@@ -305,6 +345,8 @@ CASES = {
     "union_first_wins_cap": (union_first_wins_cap, UNION_FIRST_WINS_CAP),
     "incremental_exclude": (incremental_exclude, INCREMENTAL_EXCLUDE),
     "group_quota": (group_quota, GROUP_QUOTA),
+    "group_quota_large": (group_quota_large, GROUP_QUOTA_LARGE),
+    "null_keys_split": (null_keys_split, NULL_KEYS_SPLIT),
     "lookup_with_fallback": (lookup_with_fallback, LOOKUP_WITH_FALLBACK),
     "select_catalogue": (select_catalogue, SELECT_CATALOGUE),
     "year_range_filter": (year_range_filter, YEAR_RANGE_FILTER),
@@ -314,6 +356,7 @@ CASES = {
     "source_fallback": (source_fallback, SOURCE_FALLBACK),
     "coverage_argmax": (coverage_argmax, COVERAGE_ARGMAX),
     "staged_acquisition": (staged_acquisition, _staged_sql()),
+    "staged_acquisition_large": (staged_acquisition_large, _staged_sql(LARGE_TARGET)),
     "min_words": (min_words, MIN_WORDS),
     "weighted_soup": (weighted_soup, WEIGHTED_SOUP),
     "slim_index": (slim_index, SLIM_INDEX),

@@ -7,6 +7,7 @@ import pytest
 
 from lakeloom.operators import recommend as R
 from lakeloom.operators import tfidf as T
+from lakeloom.operators.titles import TitleIndex
 from lakeloom.sources.readers import MissingInput
 
 ANSWER = {"id": "id", "title": "title"}
@@ -67,6 +68,9 @@ def test_top_k_equals_scoring_every_pair(spark, monkeypatch, seed, k, boost, n,
     if not broadcast:
         monkeypatch.setattr(R, "BROADCAST_ROWS", -1)
         monkeypatch.setattr(R, "HOT_TERM_ROWS", 3)
+        monkeypatch.setattr(R, "FEW_TERMS", 0)
+        monkeypatch.setattr(R, "LEADERS", 2)
+        monkeypatch.setattr("lakeloom.operators.relational.PUSHED_KEYS", 0)
     items, df = catalogue(spark, seed, n)
     _, weights = brute_weights([i["text"] for i in items], 2, 20_000)
     index = R.ItemIndex.build(df, text="text", row="id", rating="rating", columns=["title"])
@@ -81,22 +85,44 @@ def test_top_k_equals_scoring_every_pair(spark, monkeypatch, seed, k, boost, n,
             assert g[2:] == pytest.approx((b[1], b[2]), abs=6e-5)
 
 
-def test_stored_index_opens_again(spark, tmp_path):
+def test_stored_index_opens_again_and_open_readers_stay(spark, tmp_path):
     tmp_path = tmp_path / "it's here"
     _, df = catalogue(spark, 6)
-    built = R.ItemIndex.build(df, text="text", rating="rating", columns=["title"], path=str(tmp_path / "i"), buckets=3)
+    path = str(tmp_path / "i")
+    built = R.ItemIndex.build(df, text="text", rating="rating", columns=["title"], path=path, buckets=3, keep=2)
     queries = spark.createDataFrame([(1, "t3"), (2, "104"), (3, "nothing like it")], "query_id int, query string")
-    first = sorted(map(tuple, built.recommend(queries, 4, answer=ANSWER).collect()))
-    build = R.ItemIndex._meta(spark, str(tmp_path / "i")).build
-    spark.sql(f"DROP TABLE {R._table_name(build)}")
-    again = R.ItemIndex.load(spark, str(tmp_path / "i"))
-    assert sorted(map(tuple, again.recommend(queries, 4, answer=ANSWER).collect())) == first
-    rebuilt = R.ItemIndex.build(df, text="text", rating="rating", columns=["title"], path=str(tmp_path / "i"), buckets=2)
-    assert sorted(map(tuple, rebuilt.recommend(queries, 4, answer=ANSWER).collect())) == first
-    assert len(list((tmp_path / "i").glob("build-*"))) == 1
+    answers = lambda index: sorted(map(tuple, index.recommend(queries, 4, answer=ANSWER).collect()))
+    first = answers(built)
+    assert {r[0] for r in first} == {1, 2} and len(first) == 8
+    assert answers(R.ItemIndex.load(spark, path)) == first
+    rebuilt = R.ItemIndex.build(df.limit(20), text="text", rating="rating", columns=["title"], path=path, buckets=2, keep=2)
+    # The first reader still answers from its own version; a build that stops half-way changes nothing.
+    assert answers(built) == first and answers(R.ItemIndex.load(spark, path)) == answers(rebuilt) != first
+    with pytest.raises(Exception):
+        R.ItemIndex.build(df, text="none", path=path)
+    assert answers(R.ItemIndex.load(spark, path)) == answers(rebuilt)
     with pytest.raises(MissingInput):
         R.ItemIndex.load(spark, str(tmp_path / "none"))
-    assert {r[0] for r in first} == {1, 2} and len(first) == 8
+
+
+def test_a_request_reads_the_postings_of_its_terms(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(2000)]
+    rows = [(i, f"t{i}", " ".join(["common"] + rng.choices(words, k=20)), 0.0, 0.0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, title string, text string, rating double, popularity double")
+    index = R.ItemIndex.build(df, text="text", row="id", rating="rating", columns=["title"], stop_words=(), buckets=2)
+    one = spark.createDataFrame([(1, 7)], "query_id int, own long")
+    terms = index.query_terms(one, 1).join(index.vocabulary.where("df < 100"), "index")
+    seen = R.picked(index.postings, "index", terms)
+    plan = seen._jdf.queryExecution().executedPlan()
+    seen.collect()
+    read = [int(leaf.metrics().get("numOutputRows").get().value()) for leaf in
+            (plan.collectLeaves().apply(i) for i in range(plan.collectLeaves().size())) if leaf.metrics().contains("numOutputRows")]
+    assert 0 < sum(read) < index.postings.count() / 4
+    assert index._scores(one, 1, 3, False).count() == 3
+    # For many terms sums are complete in a bucket: nothing but the best rows of each task is shuffled.
+    plan = index._sums(terms.select("query_id", "index", "query_weight"), 10 ** 6)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(query_id" not in plan and "Bucketed: true" in plan
 
 
 def test_repeated_ids_are_separate_items(spark):
@@ -118,3 +144,47 @@ def test_resolution(spark):
         "query_id int, query string")
     got = {r.query_id: r.row for r in R.resolve_items(queries, items, "row").collect()}
     assert got == {1: 2, 2: 3, 4: 1, 6: 2, 8: 1, 9: 2}
+
+
+def test_titles_that_begin_alike(spark):
+    titles = [(i, i, f"the long common beginning {i:05d} x") for i in range(4000)] + [(9000, 9000, "the"), (9001, 9001, "zebra crossing")]
+    items = spark.createDataFrame(titles, "row long, id long, title string")
+    index = TitleIndex.build(items, "row")
+    queries = spark.createDataFrame(
+        [(1, "The long COMMON beginning 03999 x"), (2, "beginning 0123"), (3, "common beginning 9"), (4, "bra cro"), (5, "th"),
+         (6, "g 03999 "), (7, "the long common beginning"), (8, "x"), (9, "the"), (10, "a crossing")], "query_id int, query string")
+    want = {}
+    for q in queries.collect():
+        text = q.query.lower().strip()
+        rows = [r for r, _, t in titles if t == text] or [r for r, _, t in titles if text in t][:1]
+        if rows:
+            want[q.query_id] = rows[-1]
+    assert {r.query_id: r.row for r in index.find(queries).collect()} == want
+    # The rarest gram decides how many titles are looked at.
+    asked = queries.where("query_id in (2, 4)").selectExpr("query_id", "lower(query) AS text")
+    looked = index.rarest(asked).join(index.counts, "gram").collect()
+    assert {r.query_id: r.titles for r in looked}[4] == 1 and all(r.titles <= 400 for r in looked)
+
+
+def test_resolution_equals_brute_force(spark):
+    rng = random.Random(12)
+    titles = [(i, 100 + i % 37, "".join(rng.choices("ab é", k=rng.randint(0, 9)))) for i in range(150)]
+    items = spark.createDataFrame(titles, "row long, id long, title string")
+    asked = [(i, "".join(rng.choices("ab é", k=rng.randint(0, 5)))) for i in range(120)] + [(500 + i, str(95 + i)) for i in range(50)]
+    first, last = {}, {}
+    for row, _, title in titles:
+        key = title.strip()
+        first.setdefault(key, row)
+        last[key] = row
+    want = {}
+    for q, text in asked:
+        if text.isdigit():
+            rows = [r for r, i, _ in titles if i == int(text)]
+        else:
+            text = text.strip()
+            found = [text] if text in first else sorted((t for t in first if text in t), key=first.get)[:1]
+            rows = [last[t] for t in found]
+        if rows:
+            want[q] = rows[-1]
+    got = R.resolve_items(spark.createDataFrame(asked, "query_id int, query string"), items, "row")
+    assert {r.query_id: r.row for r in got.collect()} == want

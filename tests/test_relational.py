@@ -1,5 +1,8 @@
 import random
 
+import pytest
+
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.operators import relational as R
@@ -84,3 +87,44 @@ def test_resolve_tags(spark):
     out = rows(R.resolve_tags(queries, "q", candidates, items, "tags", fixed))
     # 11 and 12 cover two items each: the earlier wins. 15 covers three, but is the sixth candidate.
     assert out == [("q1", 11, 2), ("q2", 20, 0), ("q3", 99, None), ("q4", None, None)]
+
+
+@pytest.mark.parametrize("n", [1, 7, 40, 2000])
+def test_large_quotas_equal_a_window(spark, monkeypatch, n):
+    monkeypatch.setattr(R, "WINDOW_PRUNE_LIMIT", 3)
+    monkeypatch.setattr(R, "BINS", 4)
+    rng = random.Random(n)
+    values = [None, float("nan"), float("inf"), -float("inf"), 0.0, 1e300, -1e300] + [float(rng.randrange(12)) for _ in range(40)]
+    rows = [(rng.choice(["a", "a", "a", "a", "b", None]), rng.choice(values), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "g string, v double, i long").repartition(5)
+    for descending in (False, True):
+        order = [F.desc("v") if descending else F.asc("v"), F.asc("i")]
+        want = df.withColumn("rank", F.row_number().over(W.partitionBy("g").orderBy(*order)).cast("bigint")).where(F.col("rank") <= n)
+        got = R.first_per_group(df, ["g"], "v", n, [F.asc("i")], descending)
+        key = lambda r: str(tuple(r))
+        assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+    every = R.numbered(df, [], [F.asc("i")], "place").collect()
+    assert sorted((r.i, r.place) for r in every) == [(i, i + 1) for i in range(700)]
+
+
+def test_the_histogram_leaves_few_rows_of_a_large_group(spark):
+    df = spark.range(200_000).select((F.col("id") % 10 == 0).alias("g"), (F.xxhash64("id") % 1_000_000).cast("double").alias("v"))
+    left = R.near_the_top(df, ["g"], "v", 2000)
+    sizes = {r.g: r["count"] for r in left.groupBy("g").count().collect()}
+    assert all(2000 <= n <= 4500 for n in sizes.values())
+
+
+@pytest.mark.parametrize("both", [(10_000, 10_000), (100, 0), (0, 100)])
+def test_rows_without_a_key_are_refused_or_split(spark, both):
+    lefts, rights = both
+    left = spark.range(lefts + 5).select(F.when(F.col("id") < 5, F.col("id")).alias("k"), F.col("id").alias("l"))
+    right = spark.range(rights + 5).select(F.when(F.col("id") < 5, F.col("id") + 3).alias("k"), F.col("id").alias("r"))
+    assert R.null_pairs(left, right, "k") == (lefts, rights)
+    bound = 1_000_000
+    if lefts * rights > bound:
+        with pytest.raises(R.FanOut):
+            R.left_join(left, right, "k", max_pairs=bound, on_excess="raise")
+    out = R.left_join(left, right, "k", max_pairs=bound)
+    assert out.columns == ["k", "l", "r"]
+    row = out.agg(F.count("*").alias("n"), F.count_if(F.expr("k is null")).alias("nulls"), F.count_if(F.expr("k is not null and r is not null")).alias("met")).first()
+    assert (row.nulls, row.met) == (lefts * max(rights, 1), 2) and row.n == row.nulls + 5
