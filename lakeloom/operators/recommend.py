@@ -132,8 +132,8 @@ class ItemIndex:
         candidate = stored.select("row", "item", "quality")
         best = [candidate.orderBy(*cls._leading(boost)).limit(LEADERS).withColumn("boost", F.lit(boost)) for boost in (True, False)]
         best[0].unionByName(best[1]).write.parquet(f"{folder}/leaders")
-        named = stored.select("row", "item", (F.col(title) if title else F.lit(None).cast("string")).alias("title"))
-        TitleIndex.build(named, "row", "item", "title", f"{folder}/titles")
+        named = stored.select("row", "item", *([F.col(title).alias("title")] if title else []))
+        TitleIndex.build(named, "row", "item", "title" if title else None, f"{folder}/titles")
         older = versions.versions(spark, path)
         version = versions.publish(spark, path, folder, {"buckets": buckets}, keep)
         left = {v.folder for v in versions.versions(spark, path)}

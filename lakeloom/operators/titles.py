@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.text import is_id_query, title_key
 from lakeloom.operators.relational import picked
 from lakeloom.session import materialise, work_path
+from lakeloom.sources.readers import optional
 
 GRAM = 3
 
@@ -31,21 +32,23 @@ def _grams(text: Column, size: int) -> Column:
 
 @dataclass
 class TitleIndex:
-    """Stored: rows by id, titles with their first and last row, postings of grams, and counts of grams."""
+    """Stored: rows by id, titles with their first and last row, postings of grams, and counts of grams; ids alone where there are no titles."""
 
     ids: DataFrame
-    titles: DataFrame
-    grams: DataFrame
-    counts: DataFrame
+    titles: DataFrame | None = None
+    grams: DataFrame | None = None
+    counts: DataFrame | None = None
 
     @classmethod
-    def build(cls, items: DataFrame, row: str, item: str = "id", title: str = "title", path: str | None = None) -> TitleIndex:
+    def build(cls, items: DataFrame, row: str, item: str = "id", title: str | None = "title", path: str | None = None) -> TitleIndex:
         """File ``items`` (row numbers, ids, titles) under ``path``, by default in the shared folder. Rows without an id are no items."""
         spark = items.sparkSession
         path = path or work_path(spark, "titles")
         rows = items.where(F.col(item).isNotNull())
         (rows.select(F.col(item).cast("bigint").alias("id"), F.col(row).alias("row"))
          .groupBy("id").agg(F.max("row").alias("row")).write.parquet(f"{path}/ids"))
+        if title is None:
+            return cls.load(spark, path)
         # A title stands for its last row and is tried in the order of its first.
         (rows.select(title_key(title).alias("title"), F.col(row).alias("row")).where(F.col("title").isNotNull())
          .groupBy("title").agg(F.min("row").alias("first"), F.max("row").alias("last"))
@@ -62,7 +65,8 @@ class TitleIndex:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TitleIndex:
-        return cls(*(spark.read.parquet(f"{path}/{name}") for name in ("ids", "titles", "grams", "counts")))
+        tables = (optional(spark.read.parquet, f"{path}/{name}") for name in ("titles", "grams", "counts"))
+        return cls(spark.read.parquet(f"{path}/ids"), *tables)
 
     def rarest(self, probes: DataFrame) -> DataFrame:
         """(query_id, text, gram, at) of each query's gram that fewest titles have; queries with an unknown gram match nothing."""
@@ -87,6 +91,8 @@ class TitleIndex:
         asked = queries.select("query_id", "query", title_key("query").alias("text"), is_id_query("query").alias("by_id"))
         by_id = (asked.where("by_id").select("query_id", F.col("query").try_cast("bigint").alias("id"))
                  .join(self.ids, "id").groupBy("query_id").agg(F.max("row").alias("row")))
+        if self.titles is None:
+            return by_id
         named = asked.where("not by_id").select("query_id", "text")
         exact = (named.join(self.titles.withColumnRenamed("title", "text"), "text")
                  .groupBy("query_id").agg(F.max("last").alias("row")))

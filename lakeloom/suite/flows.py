@@ -105,17 +105,18 @@ def compression_ratio(spark, sf):
     """Rows, files and sizes of tables kept as text and as Parquet; files without rows count."""
     path = work_path(spark, "sizes")
     names = ["orders", "documents", "part"]
-    kept, profiles = [], []
+    kept, stored, rows = [], [], []
     for name in names:
         df = table(spark, sf, name)
-        # Two files, one of them without rows.
-        two = df.repartition(1).unionByName(df.limit(0).repartition(1))
-        profiles.append(Q.write_audited(two, f"{path}/{name}", name, "sizes"))
+        rows.append(Q.write_audited(df.coalesce(1), f"{path}/{name}", name, "sizes").select("table_name", "row_count"))
+        # One more file, without rows.
+        df.limit(0).coalesce(1).write.mode("append").parquet(f"{path}/{name}")
         W.write_text_copy(df, f"{path}/{name}_text")
         kept.append(Q.inventory_size(Q.file_inventory(spark, f"{path}/{name}_text"), name))
-    stored = Q.union_all(profiles)
-    ratios = Q.compression(Q.union_all(kept), stored.select("table_name", "size_kb"))
-    return ratios.join(stored, "table_name").select("table_name", "row_count", "file_count", (F.col("ratio") > 0).alias("smaller"))
+        stored.append(Q.inventory_size(Q.file_inventory(spark, f"{path}/{name}"), name))
+    ratios = Q.compression(Q.union_all(kept), Q.union_all(stored))
+    return (ratios.join(Q.union_all(stored).select("table_name", "file_count"), "table_name").join(Q.union_all(rows), "table_name")
+            .select("table_name", "row_count", "file_count", (F.col("ratio") > 0).alias("smaller")))
 
 
 COMPRESSION_RATIO = "\nUNION ALL ".join(
