@@ -222,6 +222,22 @@ def test_ingest_lands_only_new_choices(spark, tmp_path):
     assert titles.where("media_type = 'tv'").count() == 0
 
 
+def test_ingest_by_kind_and_id_takes_a_series_with_a_movies_id(spark, tmp_path):
+    lines = [json.dumps(record(i)) for i in (1, 2, 3)] + [json.dumps(record(3, media_type="tv", title="Series"))]
+    (tmp_path / "d.json").write_text("\n".join(lines))
+    details = read_landing(spark, str(tmp_path / "d.json"))
+    listing = details.withColumns({
+        "genre_ids": F.array(F.when(F.col("media_type") == "tv", 18).otherwise(28)), "keyword_ids": F.array(F.lit(0)),
+        "trending_rank": F.lit(None).cast("int"), "vote_count": F.lit(700), "first_air_date": F.col("release_date")})
+    bronze, both = str(tmp_path / "bronze"), ["media_type", "id"]
+    first = L.ingest(listing, details, bronze, 2, by=both)
+    assert {(r.media_type, r.id) for r in first.collect()} == {("movie", 3), ("movie", 2)}
+    second = L.ingest(listing, details, bronze, 100, by=both)
+    assert {(r.media_type, r.id) for r in second.collect()} == {("movie", 1), ("tv", 3)}
+    assert L.ingest(listing, details, bronze, 100, by=both).count() == 0
+    assert read_text_table(spark, f"{bronze}/movies_metadata", BRONZE["movies_metadata"]).count() == 4
+
+
 def test_plain_csv_files_are_bronze_too(spark, tmp_path):
     (tmp_path / "keywords.csv").write_text('id,keywords\n7,"[{""name"": ""old""}]"\n8,[]\n')
     path = f"{tmp_path}/keywords"
