@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Hashable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +25,21 @@ from lakeloom.session import materialise
 RARE_DOCS, LONG_CHARS, BLOCK_LINES = 50, 32, 2
 
 
-def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+def places_of(lines: list, among: Iterable[int]) -> dict[Hashable, list[int]]:
+    """Each line with its places."""
+    out = {}
+    for i in among:
+        out.setdefault(lines[i], []).append(i)
+    return out
+
+
+def patience(a: list, b: list) -> list[tuple[int, int]]:
     """Aligned equal places (i, j) of two rows of lines, both ascending.
 
     Equal ends are matched first, then lines that occur once on either side,
     by their longest ascending sequence; the stretches between are aligned in
-    the same way. A stack stands for the recursion.
+    the same way. In a stretch without such a line the n-th one of a line goes
+    with its n-th on the other side. A stack stands for the recursion.
     """
     out, stack = [], [(0, len(a), 0, len(b))]
     while stack:
@@ -47,6 +56,12 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         there = Counter(b[b0:b1])
         at = {b[j]: j for j in range(b0, b1) if there[b[j]] == 1}
         pairs = [(i, at[a[i]]) for i in range(a0, a1) if once[a[i]] == 1 and a[i] in at]
+        if not pairs:
+            places, seen = places_of(b, range(b0, b1)), Counter()
+            for i in range(a0, a1):
+                if seen[a[i]] < len(places.get(a[i], ())):
+                    pairs.append((i, places[a[i]][seen[a[i]]]))
+                    seen[a[i]] += 1
         if not pairs:
             continue
         tops, piles, back = [], [], []
@@ -76,29 +91,56 @@ def neighbours(lines: list[int], size: int) -> Iterator[tuple[tuple[int, ...], l
         yield (*(lines[i] for i in at), *(j - i for i, j in zip(at, at[1:]))), at
 
 
+def aligned_again(a: list, b: list) -> Iterator[int]:
+    """Places of ``a`` that are aligned with ``b`` in one of many rounds, each without what the rounds before aligned.
+
+    Where a round aligns less than half of its part, the two halves of the rest
+    are aligned apart from each other, so that rows in reversed order do not
+    take a round each. A round meets as many of the equal places of ``b`` as
+    its part has, from the front.
+    """
+    there = places_of(b, range(len(b)))
+    parts = [[i for i, x in enumerate(a) if x in there]]
+    while parts:
+        part = parts.pop()
+        near = sorted(j for x, n in Counter(a[i] for i in part).items() for j in there[x][:n])
+        found = {i for i, _ in patience([a[i] for i in part], [b[j] for j in near])}
+        yield from (part[n] for n in found)
+        rest = [i for n, i in enumerate(part) if n not in found]
+        cut = len(rest) if 2 * len(found) >= len(part) else len(rest) // 2
+        if len(part) > 1:
+            parts += [half for half in (rest[:cut], rest[cut:]) if half]
+
+
 def common_blocks(a: list[int], b: list[int], least: int = BLOCK_LINES, alone: Iterable[int] = ()) -> list[int]:
     """Places in ``a`` of the aligned blocks with at least ``least`` neighbouring lines that are not blank (false).
 
-    Blocks of two such lines or more also go where the alignment cannot have
-    them: if ``a`` repeats them, or has them in another order than ``b``. The
-    lines ``alone``, which ``b`` has too, count at any place.
+    The first alignment is that of the lines. The later ones align blocks: each
+    ``least`` lines in a row (two at least) that are not blank, and each of the lines ``alone``.
     """
-    single = set(alone)
-    places, block = {i for i, x in enumerate(a) if x in single}, []
+    places, block = set(), []
     for i, j in patience(a, b) + [(-9, -9)]:
         if block and (i, j) != (block[-1][0] + 1, block[-1][1] + 1):
             if sum(bool(a[x]) for x, _ in block) >= least:
                 places.update(x for x, _ in block)
             block = []
         block.append((i, j))
-    size = max(least, 2)
-    there = {key for key, _ in neighbours(b, size)}
-    for key, at in neighbours(a, size):
-        if key in there:
-            places.update(range(at[0], at[-1] + 1))
+    size, single = max(least, 2), set(alone)
+    # A block that lies in what is deleted needs no other place.
+    mine, theirs = ([(key, at) for key, at in blocks(lines, size, single) if lines is b or not places.issuperset(at)]
+                    for lines in (a, b))
+    for n in aligned_again([key for key, _ in mine], [key for key, _ in theirs]):
+        at = mine[n][1]
+        places.update(range(at[0], at[-1] + 1))
     return sorted(places)
 
 
+def blocks(lines: list[int], size: int, single: set[int]) -> Iterator[tuple[tuple[int, ...], list[int]]]:
+    """The lines of ``single`` and each ``size`` neighbours, with their places."""
+    yield from (((x,), [i]) for i, x in enumerate(lines) if x in single)
+    yield from neighbours(lines, size)
+
+
 def repeated_lines(docs: DataFrame, rare_docs: int | None = None, least: int | None = None) -> DataFrame:
     """(_row, partners, places): lines (from 0) of the rows of ``docs`` (a stored table) that go, and partners looked at.
 

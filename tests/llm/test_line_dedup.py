@@ -106,6 +106,27 @@ def test_repeated_and_crossing_blocks_go():
         assert all(a[i] in b for i in gone)
 
 
+def test_deletions_come_from_the_alignment(monkeypatch):
+    a, b = [1, 2, 9, 1, 2, 8, 5, 0, 6, 7, 3, 4], [3, 4, 11, 1, 2, 12, 5, 0, 6, 13, 1, 2]
+    assert line_dedup.common_blocks(a, b, alone=[7, 5])
+    monkeypatch.setattr(line_dedup, "patience", lambda a, b: [])
+    assert line_dedup.common_blocks(a, b, alone=[7, 5]) == []
+
+
+def test_long_documents_in_any_order():
+    # Reversed blocks, one block many times, and blocks shuffled: each line of the later document goes.
+    count = 20_000
+    pairs = [[2 * i + 1, 2 * i + 2] for i in range(count)]
+    b = [x for p in pairs for x in (*p, 0)]
+    assert line_dedup.common_blocks([x for p in pairs[::-1] for x in p], b) == list(range(2 * count))
+    assert line_dedup.common_blocks([1, 2] * count, b) == list(range(2 * count))
+    assert line_dedup.common_blocks(b, [1, 2, 1, 2]) == [0, 1]
+    random.Random(5).shuffle(pairs)
+    assert line_dedup.common_blocks([x for p in pairs for x in p], b) == list(range(2 * count))
+    assert line_dedup.common_blocks([x for p in pairs for x in (p[0], -1)], b, alone=range(0, 2 * count, 4)) == []
+    assert len(line_dedup.common_blocks([x for p in pairs for x in (p[0], -1)], b, alone=range(1, 2 * count, 4))) == count // 2
+
+
 @pytest.mark.parametrize("rare", [2, 8])
 def test_blocks_of_all_earlier_documents_go(spark, stored, monkeypatch, rare):
     monkeypatch.setattr(line_dedup, "RARE_DOCS", rare)
