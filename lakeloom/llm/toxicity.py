@@ -93,11 +93,8 @@ class Grams:
 
 
 def fit_weights(rows: list[np.ndarray], label: np.ndarray, bits: int, epochs: int = 12, alpha: float = 1.0,
-                penalty: float = 1e-4, least: float = 0.08, seed: int = 7) -> np.ndarray:
-    """Weights per bucket, the intercept last, for texts given as their buckets. Zeros if a class is missing.
-
-    Weights smaller than ``least`` become zero, which spares scoring the n-grams that say little.
-    """
+                penalty: float = 1e-4, seed: int = 7) -> np.ndarray:
+    """Weights per bucket, the intercept last, for texts given as their buckets. Zeros if a class is missing."""
     size = 1 << bits
     weights = np.zeros(size + 1)
     base = np.clip(label.mean(), 0.001, 0.999) if len(label) else 0.001
@@ -128,7 +125,7 @@ def fit_weights(rows: list[np.ndarray], label: np.ndarray, bits: int, epochs: in
             coef[b] -= 0.1 * step / np.sqrt(grad2[b])
             bias2 += g * g
             bias -= 0.1 * g / np.sqrt(bias2)
-    weights[:-1] = np.where(np.abs(coef * ratio) < least, 0, coef * ratio)
+    weights[:-1] = coef * ratio
     weights[-1] = bias
     return weights
 
