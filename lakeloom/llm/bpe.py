@@ -31,6 +31,17 @@ RUN_BYTES = 1_500_000
 # The vocabulary does not count the separators 1C to 1F as white space, as the library behind `regex` does.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|(?:[^\s\p{L}\p{N}]|[\x1c-\x1f])+"
 
+# Letters and digits that Unicode 16.0 has beyond 15.1 (first, last), and lower-case forms (first, last, distance)
+# that 16.0 and 17.0 add. The vocabulary's library cuts words by 16.0 and lowers by 17.0; Python 3.13 has 15.1, `regex` 17.0.
+ADDED = [(0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D65), (0x10D6F, 0x10D85),
+         (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+         (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BE0), (0x11BF0, 0x11BF9), (0x13460, 0x143FA),
+         (0x16100, 0x1611D), (0x16130, 0x16139), (0x16D40, 0x16D6C), (0x16D70, 0x16D79), (0x18CFF, 0x18CFF), (0x1CCF0, 0x1CCF9),
+         (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5FA)]
+LOWERED = [(0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1),
+           (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 32), (0x16EA0, 0x16EB8, 27)]
+LOWER = {c: c + distance for first, last, distance in LOWERED for c in range(first, last + 1)}
+
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte: itself where it is printable, else the next free one from 256."""
@@ -153,10 +164,24 @@ class Bpe:
         parts = self._split.split(text) if self._split.search(text) else [text]
         found = []
         for part in parts:
-            found += [part] if part in self.special else self._word.findall(
+            found += [part] if part in self.special else self._cut(
                 unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
         return found
 
+    def _cut(self, text: str) -> list[str]:
+        """Words of a lowered text.
+
+        What Unicode 15.1 leaves unassigned is lowered by the table above and,
+        unless 16.0 has it as a letter or digit, cut like a character that never will be assigned.
+        """
+        new = [c for c in set(text) if c > "\u0377" and unicodedata.category(c) == "Cn"]
+        if not new:
+            return self._word.findall(text)
+        text = text.translate(LOWER)
+        odd = [ord(c) for c in set(text) if unicodedata.category(c) == "Cn" and not any(a <= ord(c) <= b for a, b in ADDED)]
+        cut = text.translate(dict.fromkeys(odd, "\uffff"))
+        return [text[m.start():m.end()] for m in self._word.finditer(cut)]
+
     def encode_run(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a run of texts (null: none) and where each text begins among them.
 

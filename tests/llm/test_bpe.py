@@ -54,3 +54,14 @@ def test_runs_of_equal_symbols_and_a_refused_vocabulary():
     data["model"]["merges"] = data["model"]["merges"][::-1]
     with pytest.raises(ValueError):
         bpe.Bpe(json.dumps(data))
+
+
+def test_every_code_point_equals_the_library():
+    import sys
+    points = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    for first in range(0, len(points), 50_000):
+        texts = [f"a{c}b {c}{c}1" for c in points[first:first + 50_000]]
+        flat, begin = OURS.encode_run(pa.array(texts, pa.string()))
+        theirs = [e.ids for e in THEIRS.encode_batch(texts, add_special_tokens=False)]
+        wrong = [hex(ord(points[first + i])) for i, ids in enumerate(theirs) if flat[begin[i]:begin[i + 1]].tolist() != ids]
+        assert not wrong, wrong
