@@ -18,7 +18,7 @@ from lakeloom.sources import writers as W
 from lakeloom.sources.schemas import BRONZE, LANDING, text_schema
 from lakeloom.streaming import ingest as I
 from lakeloom.streaming.scoring import score_stream
-from lakeloom.suite.common import STOP_WORDS, sql_strip, sql_terms, sql_vocabulary, sql_words, table
+from lakeloom.suite.common import STOP_WORDS, sql_strip, sql_terms, sql_vocabulary, sql_words, table, table_stream
 
 TABLES = {
     "region": ["r_regionkey", "r_name"],
@@ -295,9 +295,7 @@ SELECT event_id, event_type, CASE WHEN event_id % 7 = 3 THEN 3 WHEN event_id % 2
 
 def stream_dedup_watermark(spark, sf):
     path = work_path(spark, "dedup")
-    schema = table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    twice = stream.select("event_id", "ts", "event_type", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
+    twice = table_stream(spark, sf, "events").select("event_id", "ts", "event_type", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
     once = I.dedup_stream(twice, ["event_id"], "ts", "1 hour").select("event_id", "event_type")
     (once.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
      .start(f"{path}/out", format="parquet", outputMode="append").awaitTermination())
@@ -316,9 +314,7 @@ def _fixed_model(spark, sf, path):
 
 def stream_score(spark, sf):
     path = work_path(spark, "score")
-    stream = (spark.readStream.schema(table(spark, sf, "conversations").schema)
-              .option("pathGlobFilter", "conversations.parquet").parquet(sf))
-    turns = stream.select(F.concat_ws("-", "conv_id", "turn").alias("turn_id"), "role", "text")
+    turns = table_stream(spark, sf, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("turn_id"), "role", "text")
     model = _fixed_model(spark, sf, path)
     score_stream(turns, model, "turn_id", "text", f"{path}/out", f"{path}/checkpoint", keep=["role"]).awaitTermination()
     return spark.read.parquet(f"{path}/out").select(
