@@ -128,3 +128,34 @@ def test_rows_without_a_key_are_refused_or_split(spark, both):
     assert out.columns == ["k", "l", "r"]
     row = out.agg(F.count("*").alias("n"), F.count_if(F.expr("k is null")).alias("nulls"), F.count_if(F.expr("k is not null and r is not null")).alias("met")).first()
     assert (row.nulls, row.met) == (lefts * max(rights, 1), 2) and row.n == row.nulls + 5
+
+
+@pytest.mark.parametrize("lefts, rights, bound", [(3000, 40, 100), (40, 3000, 100), (300_000, 30_000, 50_000), (7, 9, 5), (1, 900, 50)])
+def test_the_grid_of_rows_without_a_key_keeps_the_bound_with_few_copies(lefts, rights, bound):
+    rows, columns = R._grid(lefts, rights, bound)
+    assert -(-lefts // rows) * -(-rights // columns) <= bound
+    # Dealing the right rows alone copied every left row once for each of lefts * rights / bound parts.
+    assert lefts * columns + rights * rows <= 4 * max(lefts * rights / bound ** 0.5, lefts + rights)
+
+
+def test_more_left_rows_without_a_key_than_a_task_may_pair(spark):
+    left = spark.range(3000).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("l"))
+    right = spark.range(40).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("r"))
+    out = R.left_join(left, right, "k", max_pairs=100)
+    row = out.agg(F.count("*").alias("n"), F.countDistinct("l", "r").alias("different")).first()
+    assert (row.n, row.different) == (120_000, 120_000)
+
+
+def test_null_keys_split_makes_a_row_per_customer_and_not_per_order(spark, tmp_path, monkeypatch):
+    from lakeloom.suite import rows as suite_rows
+    orders = spark.range(6000).select(F.col("id").alias("o_orderkey"), F.when(F.col("id") % 5 > 0, F.col("id") % 100).alias("o_custkey"))
+    customer = spark.range(600).select(F.col("id").alias("c_custkey"), F.concat(F.lit("c"), "id").alias("c_name"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    customer.write.parquet(f"{tmp_path}/customer.parquet")
+    joins, join = [], R.left_join
+    monkeypatch.setattr(suite_rows.R, "left_join", lambda *args, **kw: joins.append(join(*args, **kw)) or joins[-1])
+    found = {r.cust: (r.pairs, r.matched, r.last_name) for r in suite_rows.null_keys_split(spark, str(tmp_path)).collect()}
+    lefts = orders.where("o_orderkey % 3 = 0 or o_custkey is null").count()
+    assert found[None] == (lefts * 200, lefts * 200, "c99")
+    assert found[3] == (40, 0, None) and found[4][1:] == (found[4][0], "c4")
+    assert sum(j.count() for j in joins) <= 6000 + 600
