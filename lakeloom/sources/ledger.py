@@ -27,6 +27,8 @@ FAN, BUCKET_KEYS, MOST_BITS = 8, 200_000, 12
 FILTER_BITS, PROBES = 12, 4
 #: Keys up to which a run is read without asking a filter.
 UNFILTERED = 10_000
+#: Keys asked for per bucket beyond which a filter is not asked either: by mistake alone it would leave nearly every bucket open.
+ASKED_PER_BUCKET = 1_500
 
 
 @dataclass
@@ -165,8 +167,10 @@ class KeyLedger:
 
     def open_buckets(self, hashed: DataFrame, runs: list[Run]) -> list[tuple[Run, list[int]]]:
         """For each run the buckets in which its filters leave one of the keys open; at most 4,096 a run."""
-        small = [(r, list(range(1 << r.bits))) for r in runs if not r.filter_bits]
-        runs = [r for r in runs if r.filter_bits]
+        asked_keys = hashed.count()
+        crowded = [r for r in runs if not r.filter_bits or asked_keys >> r.bits > ASKED_PER_BUCKET]
+        small = [(r, list(range(1 << r.bits))) for r in crowded]
+        runs = [r for r in runs if r not in crowded]
         if not runs:
             return small
         lead = [r[0] for r in hashed.select(_bucket("h", MOST_BITS)).distinct().collect()]

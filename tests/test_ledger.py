@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.session import delete_path
 from lakeloom.sources import ledger as L
 from lakeloom.sources import readers as R
 from lakeloom.sources import writers as W
@@ -104,3 +105,18 @@ def test_late_rows_of_a_stream(spark, tmp_path):
         I.settle_stream(stream, str(tmp_path / "out"), "id", "ts", "1 DAY", str(tmp_path / "ck")).awaitTermination()
     assert sorted(r.id for r in R.read_text_table(spark, str(tmp_path / "out"), ["id", "ts"]).collect()) == ["a", "b", "c"]
     assert I.late_counts(spark, str(tmp_path / "out")).late == 2
+
+
+def test_a_large_batch_asks_no_filter(spark, tmp_path, monkeypatch):
+    """Of many keys for a bucket some are left open by mistake, so its filter would only be sent around for nothing."""
+    monkeypatch.setattr(L, "UNFILTERED", 10)
+    monkeypatch.setattr(L, "ASKED_PER_BUCKET", 50, raising=False)
+    ledger = L.KeyLedger(spark, f"{tmp_path}/keys", ["k"])
+    ledger.append(spark.range(500).select(F.col("id").cast("string").alias("k")))
+    run, = ledger.state().runs
+    assert run.filter_bits
+    few = spark.range(490, 530).select(F.col("id").cast("string").alias("k"))
+    assert sorted(r.k for r in ledger.exclude(few).collect()) == [str(i) for i in range(500, 530)]
+    delete_path(spark, f"{tmp_path}/keys/runs/{run.name}/filters")
+    many = spark.range(300, 700).select(F.col("id").cast("string").alias("k"))
+    assert sorted(r.k for r in ledger.exclude(many).collect()) == [str(i) for i in range(500, 700)]
