@@ -25,14 +25,26 @@ from lakeloom.operators.relational import top_n_pruned
 BROADCAST_TERMS = 1_000_000
 # Input up to this size may be one file that cannot be cut; more than that Spark deals out by itself.
 SMALL_INPUT = 256_000_000
+# Stored input whose terms one task counts, and the size from which an estimate says that nothing is known.
+TASK_INPUT, UNKNOWN_INPUT = 8_000_000, 10**15
+
+
+def _input_size(docs: DataFrame) -> int:
+    """Bytes of the tables that are read, summed: the estimate for a join would be the product of its sides."""
+    leaves = docs._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def _spread(docs: DataFrame) -> DataFrame:
     """Spread the rows of a small input over all cores. A larger one is never shuffled: its scan has tasks enough."""
-    # Summed over the tables that are read: the estimate for a join would be the product of its sides.
-    leaves = docs._jdf.queryExecution().optimizedPlan().collectLeaves()
-    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    return docs.repartition(docs.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_INPUT else docs
+    return docs.repartition(docs.sparkSession.sparkContext.defaultParallelism) if _input_size(docs) <= SMALL_INPUT else docs
+
+
+def _counting_tasks(docs: DataFrame) -> int | None:
+    """Tasks that the texts are dealt to, so that a task's counts do not grow with the input; None: as Spark finds."""
+    size = _input_size(docs)
+    tasks = -(-size // TASK_INPUT)
+    return tasks if docs.sparkSession.sparkContext.defaultParallelism < tasks and size < UNKNOWN_INPUT else None
 
 
 def term_statistics(docs: DataFrame, text: str, stop_words: Sequence[str] = ()) -> DataFrame:
@@ -81,6 +93,7 @@ def term_counts(docs: DataFrame, key: str, text: str, vocab: DataFrame, max_term
     row per document without a term, so that no document is lost.
     """
     narrow = docs.select(key, *keep, text)
+    partitions = partitions or _counting_tasks(docs)
     spread = narrow.repartition(partitions, key) if partitions else narrow.repartition(key)
     found = (spread.select(key, *keep, F.explode_outer(terms(text, stop_words)).alias("term"))
              .join(F.broadcast(vocab) if max_terms <= BROADCAST_TERMS else vocab, "term", "left"))

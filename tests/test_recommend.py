@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeloom.operators import recommend as R
 from lakeloom.operators import tfidf as T
@@ -188,3 +189,15 @@ def test_resolution_equals_brute_force(spark):
             want[q] = rows[-1]
     got = R.resolve_items(spark.createDataFrame(asked, "query_id int, query string"), items, "row")
     assert {r.query_id: r.row for r in got.collect()} == want
+
+
+def test_more_text_is_counted_by_more_tasks(spark, tmp_path, monkeypatch):
+    df = spark.range(400).select("id", F.concat_ws(" ", *[F.concat(F.lit(f"w{i}x"), F.col("id") % 7) for i in range(20)]).alias("text"))
+    df.repartition(4).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    vocab = T.vocabulary(docs, "text").select("term", "index")
+    few = T.term_counts(docs, "id", "text", vocab, 20_000)
+    monkeypatch.setattr(T, "TASK_INPUT", 200, raising=False)
+    many = T.term_counts(docs, "id", "text", vocab, 20_000)
+    assert many.rdd.getNumPartitions() > 10 > few.rdd.getNumPartitions()
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
