@@ -32,6 +32,8 @@ HOT_TERM_ROWS = 1_000_000
 RANK_PLACES = 9
 #: Items by quality that the index keeps; for larger k they are looked up in the items.
 LEADERS = 1000
+#: Rows of a page of postings: a page is read whole for one term, and by bytes alone it would hold 20,000.
+POSTINGS_PAGE = 500
 #: Terms of all queries together up to which postings are looked up instead of scanned.
 FEW_TERMS = 1200
 # Columns of the slim index, and their names in the answer.
@@ -128,7 +130,7 @@ class ItemIndex:
         (spark.table(_table_name(folder)).select("row", "item", "quality", F.explode("entries").alias("e"))
          .select("e.index", "row", "item", "quality", "e.weight")
          .repartitionByRange(buckets, "index", "row").sortWithinPartitions("index", "row")
-         .write.option("parquet.page.size", 1 << 16).parquet(f"{folder}/postings"))
+         .write.option("parquet.page.size", 1 << 16).option("parquet.page.row.count.limit", POSTINGS_PAGE).parquet(f"{folder}/postings"))
         candidate = stored.select("row", "item", "quality")
         best = [candidate.orderBy(*cls._leading(boost)).limit(LEADERS).withColumn("boost", F.lit(boost)) for boost in (True, False)]
         best[0].unionByName(best[1]).write.parquet(f"{folder}/leaders")
