@@ -1,11 +1,13 @@
 """Term counts, vocabulary and TF-IDF weights.
 
-Fitting reads the text twice. The first pass counts terms: the occurrences and
-first occurrences of a term are told apart inside the row, so the text itself
-is never shuffled, only one row per task and term. The second pass hashes the
-text to tasks by document, looks the terms up in the vocabulary (whose size is
-an argument, so it is broadcast) and counts, weighs and normalises within the
-task. Keeping the term counts of all documents between the passes would cost
+Fitting reads the text three times. The first pass counts terms by their 64-bit
+hashes: the occurrences and first occurrences of a hash are told apart inside
+the row, so the text itself is never shuffled, only one row of numbers per task
+and hash. The second finds the terms behind the most frequent hashes; should
+two terms share one, terms are counted by their text instead. The third hashes
+the text to tasks by document, looks the terms up in the vocabulary (whose size
+is an argument, so it is broadcast) and counts, weighs and normalises within
+the task. Keeping the term counts of all documents between the passes would cost
 more than reading the text again: with two-word terms they are many times
 larger than the text.
 """
@@ -19,8 +21,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeloom.functions.common import let
-from lakeloom.functions.text import terms
-from lakeloom.operators.relational import top_n_pruned
+from lakeloom.functions.text import terms, tokens
+from lakeloom.operators.relational import near_top_rows, top_n_pruned
+from lakeloom.session import materialise
 
 BROADCAST_TERMS = 1_000_000
 # Input up to this size may be one file that cannot be cut; more than that Spark deals out by itself.
@@ -58,6 +61,56 @@ def term_statistics(docs: DataFrame, text: str, stop_words: Sequence[str] = ())
             .groupBy("t.term").agg(F.sum("t.first").alias("df"), F.count("*").alias("cf")))
 
 
+def _hash(*words: Column) -> Column:
+    """The number that stands for a term of one or two words while terms are counted."""
+    return F.xxhash64(*words)
+
+
+def _hash_statistics(docs: DataFrame, text: str, stop_words: Sequence[str]) -> DataFrame:
+    """(h, df, cf): the counts of ``term_statistics`` by the hash of the term."""
+    def hashes(words: Column) -> Column:
+        rest = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
+        return F.concat(F.transform(words, lambda w: _hash(w)),
+                        F.transform(rest, lambda w, i: _hash(F.get(words, i), w)))
+
+    # Outside of the lambda numbers are sorted and paired with their neighbours by generated code.
+    listed = _spread(docs.select(text)).select(F.sort_array(let(tokens(text, stop_words), hashes)).alias("h"))
+    before = F.concat(F.array(F.lit(None).cast("bigint")), "h").alias("before")
+    found = listed.select(F.explode(F.arrays_zip("h", before)).alias("e")).select("e.h", "e.before").where("h IS NOT NULL")
+    first = F.when(F.col("h").eqNullSafe(F.col("before")), 0).otherwise(1)
+    return found.groupBy("h").agg(F.sum(first).alias("df"), F.count("*").alias("cf"))
+
+
+def _named_hashes(docs: DataFrame, text: str, stop_words: Sequence[str], wanted: DataFrame) -> DataFrame:
+    """(h, term): the distinct terms of the documents whose hash is in ``wanted``, which is broadcast."""
+    words = _spread(docs.select(text)).select(tokens(text, stop_words).alias("a"))
+    following = F.slice("a", F.lit(2), F.greatest(F.size("a") - 1, F.lit(0))).alias("b")
+    neighbours = words.select(F.explode(F.arrays_zip("a", following)).alias("e")).select("e.a", "e.b")
+    hashed = (neighbours.select("a", "b", F.posexplode(F.array(_hash(F.col("a")), _hash(F.col("a"), F.col("b")))).alias("two", "h"))
+              .where("two = 0 OR b IS NOT NULL"))
+    term = F.when(F.col("two") == 0, F.col("a")).otherwise(F.concat("a", F.lit(" "), "b"))
+    return hashed.join(F.broadcast(wanted.select("h")), "h").select("h", term.alias("term")).distinct()
+
+
+def _frequent_terms(docs: DataFrame, text: str, stop_words: Sequence[str], min_df: int, max_terms: int) -> DataFrame:
+    """(term, df, cf) of terms in ``min_df`` documents or more, among them the ``max_terms`` most frequent.
+
+    What hashes count is never less than what one of their terms does, so no
+    term outside the most frequent hashes can be missing. Counts of a hash are
+    those of its term if it has one only, which the second pass makes sure of.
+    """
+    if max_terms <= BROADCAST_TERMS:
+        frequent = _hash_statistics(docs, text, stop_words).where(F.col("df") >= min_df)
+        kept = materialise(near_top_rows(frequent, "cf", max_terms), "frequent-hashes")
+        rows = kept.count()
+        # Very many equal counts at the cut are all needed, as ties go by term.
+        if rows <= BROADCAST_TERMS:
+            named = materialise(_named_hashes(docs, text, stop_words, kept).join(F.broadcast(kept), "h"), "frequent-terms")
+            if named.count() == rows:
+                return named.select("term", "df", "cf")
+    return term_statistics(docs, text, stop_words).where(F.col("df") >= min_df)
+
+
 def document_count(docs: DataFrame) -> Column:
     """Number of documents as a scalar subquery."""
     return docs.agg(F.count("*").alias("n")).scalar()
@@ -77,7 +130,7 @@ def vocabulary(docs: DataFrame, text: str, stop_words: Sequence[str] = (), min_d
     number of documents, by default the rows of ``docs``.
     """
     n = document_count(docs) if n is None else n
-    frequent = term_statistics(docs, text, stop_words).where(F.col("df") >= min_df)
+    frequent = _frequent_terms(docs, text, stop_words, min_df, max_terms)
     kept = top_n_pruned(frequent, "cf", "term", max_terms)
     # At most ``max_terms`` rows, so one ordered window is fine.
     index = (F.row_number().over(W.orderBy("term")) - 1).cast("int")

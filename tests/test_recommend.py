@@ -201,3 +201,33 @@ def test_more_text_is_counted_by_more_tasks(spark, tmp_path, monkeypatch):
     many = T.term_counts(docs, "id", "text", vocab, 20_000)
     assert many.rdd.getNumPartitions() > 10 > few.rdd.getNumPartitions()
     assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+
+
+@pytest.mark.parametrize("hashes", ["own", "crowded", "one"])
+def test_terms_are_counted_by_numbers(spark, monkeypatch, hashes):
+    texts = [None, "", "red red ring red red", "red ring", "blue red ring blue", "old blue", "zinc zinc zinc", "old bolt bolt"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    if hashes != "own":
+        monkeypatch.setattr(T, "_hash", lambda *words: F.pmod(F.xxhash64(*words), F.lit(5 if hashes == "crowded" else 1)))
+    named = []
+    monkeypatch.setattr(T, "term_statistics", lambda *args, found=T.term_statistics: named.append(1) or found(*args))
+    for n in (3, 100):
+        kept, _ = brute_weights([t or "" for t in texts], 2, n)
+        got = T.vocabulary(df, "text", max_terms=n).orderBy("index").collect()
+        assert [r.term for r in got] == kept
+        cells = [re.findall(r"\w\w+", t or "") for t in texts]
+        terms = [Counter(w + [f"{a} {b}" for a, b in zip(w, w[1:])]) for w in cells]
+        assert [(r.df, r.cf) for r in got] == [(sum(t in c for c in terms), sum(c[t] for c in terms)) for t in kept]
+    # Terms are counted by their text only where two of them share a number.
+    assert bool(named) == (hashes != "own")
+    counting = T._hash_statistics(df, "text", ())._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", counting) == ["h"]
+
+
+def test_many_equal_counts_at_the_cut_are_not_cut(spark, monkeypatch):
+    words = [f"w{i:03d}" for i in range(120)]
+    df = spark.createDataFrame([(w,) for w in words * 2], "text string")
+    want = words[:50]
+    assert [r.term for r in T.vocabulary(df, "text", max_terms=50).orderBy("index").collect()] == want
+    monkeypatch.setattr(T, "BROADCAST_TERMS", 60)
+    assert [r.term for r in T.vocabulary(df, "text", max_terms=50).orderBy("index").collect()] == want
