@@ -17,9 +17,12 @@ How documents come together in a task:
    counted exactly; a document that has too few of these sends all its own.
    Counting moves packed arrays: every run of documents sends each range of
    hashes its distinct keys, and gets back a count per key in the same order.
-3. Shingles in two or more prefixes link documents to the first one that has
-   them. Connected documents form a candidate group; anything similar lies
-   within one. Only documents in such groups are read again.
+3. Shingles in two or more prefixes link documents, if their sizes and what is
+   left of either after the shingle allow T common ones. Of a similar pair the
+   first common shingle always does; one that documents share by chance seldom
+   does, so chance does not chain them. Connected documents form a candidate
+   group; anything similar lies within one. Only documents in such groups are
+   read again.
 4. Each group is searched as above. A large group is dealt out in blocks, each
    pair of blocks a task of its own, so that no group is held by one task.
 """
@@ -33,7 +36,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import DOCUMENT_COLUMNS, by_row, components, documents, runs_of, small_batches, text_of, with_row
@@ -219,7 +222,7 @@ def _unpacked(blob: bytes, size: int) -> np.ndarray:
 
 
 def _prefixes(runs: DataFrame, counts: DataFrame, bits: int, percent: int, share: int) -> DataFrame:
-    """(token, row): the shingles of each prefix that another document has too."""
+    """(token, row, n, place): the shingles of each prefix that another document has too, with size and place in the order."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,7 +232,7 @@ def _prefixes(runs: DataFrame, counts: DataFrame, bits: int, percent: int, share
                 keys = np.unique(flat >> np.uint64(32 - bits))
                 codes = np.frombuffer(b"".join(a["codes"] for a in answers or []), np.uint8)
                 code = codes[np.searchsorted(keys, flat >> np.uint64(32 - bits))] if len(flat) else codes
-                tokens, rows, at = [], [], 0
+                tokens, rows, ns, places, at = [], [], [], [], 0
                 for d in sizes:
                     mine, common = flat[at:at + d["sent"]], code[at:at + d["sent"]].astype(np.int64)
                     at += d["sent"]
@@ -238,16 +241,43 @@ def _prefixes(runs: DataFrame, counts: DataFrame, bits: int, percent: int, share
                     # The order of all shingles: counted ones first, then by count, then by hash (as they are sorted).
                     order = np.argsort(np.where(counted(mine, share), common, common + 256), kind="stable")
                     chosen = order[:prefix_size(d["n"], percent)]
-                    chosen = chosen[common[chosen] > 1]
-                    tokens.append(mine[chosen].view(np.int64))
-                    rows.append(np.full(len(chosen), d["row"], np.int64))
+                    place = np.flatnonzero(common[chosen] > 1)
+                    tokens.append(mine[chosen[place]].view(np.int64))
+                    rows.append(np.full(len(place), d["row"], np.int64))
+                    ns.append(np.full(len(place), d["n"], np.int64))
+                    places.append(place)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (tokens, rows)],
-                    ["token", "row"])
+                    [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), t)
+                     for x, t in ((tokens, pa.int64()), (rows, pa.int64()), (ns, pa.int32()), (places, pa.int32()))],
+                    ["token", "row", "n", "place"])
 
     slim = runs.select("run", "keys", F.transform("docs", lambda d: F.struct(d["row"].alias("row"), d["n"].alias("n"),
                                                                             d["sent"].alias("sent"))).alias("docs"))
-    return slim.join(counts, "run", "left").mapInArrow(task, "token long, row long")
+    return slim.join(counts, "run", "left").mapInArrow(task, "token long, row long, n int, place int")
+
+
+def chained(prefixes: DataFrame, percent: int) -> DataFrame:
+    """(row, hub): documents that a shingle of ``prefixes`` (token, row, n, place) links, each with the first of its chain.
+
+    Sets of sizes m and n, of which r and q are left from the shingle on, can
+    be similar only if min(r, q) >= T, that is if either size is at most the
+    other's ``reach``. Where that is no less than its own size, a set is an
+    interval from size to reach, and two such sets are linked if their intervals
+    meet. The other sets (late shingles) are never linked with each other, and
+    the intervals that hold such a set's reach and size all meet. So one pass
+    in the order of the lesser of size and reach finds the chains, without pairs.
+    """
+    reach = F.floor((F.col("n") - F.col("place")).cast("long") * (100 + percent) / F.lit(percent)) - F.col("n")
+    sized = prefixes.withColumn("reach", reach).withColumn("late", F.col("reach") < F.col("n"))
+    sized = sized.withColumn("at", F.least("n", "reach"))
+    order = Window.partitionBy("token").orderBy("at", "late", "row")
+    early = F.when(~F.col("late"), F.col("reach"))
+    before = F.max(early).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    met = F.coalesce(F.col("n") <= F.col("before"), F.lit(False))
+    first = F.when(~F.col("late") & ~F.col("met"), F.col("row"))
+    hub = F.last(first, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    swept = sized.withColumn("before", before).withColumn("met", met).withColumn("hub", hub)
+    return swept.where("met").select("row", "hub")
 
 
 def search(sets: list[np.ndarray], percent: int, side: list[int] | None = None) -> Iterator[tuple[int, int]]:
@@ -333,10 +363,8 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     bits = max(0, min(32, int(np.ceil(np.log2(max(1, keys / 8 / range_keys)))) + 3))
     prefixes = _prefixes(runs, common_counts(runs, bits), bits, percent, share)
     reps = classes.select(F.col("rep").alias("row"))
-    prefixes = materialise(prefixes.join(reps, "row", "left_semi"), "prefixes")
-    hubs = materialise(prefixes.groupBy("token").agg(F.min("row").alias("hub"), F.count("*").alias("docs"))
-                       .where("docs > 1").select("token", "hub"), "hubs")
-    near = components(prefixes.join(hubs, "token").select(F.col("row").alias("a"), F.col("hub").alias("b")), "candidates")
+    near = chained(prefixes.join(reps, "row", "left_semi"), percent)
+    near = components(near.select(F.col("row").alias("a"), F.col("hub").alias("b")), "candidates")
     near = materialise(near.select(F.col("node").alias("_row"), F.col("component").alias("part")), "candidates")
     blocks = (near.groupBy("part").agg(F.ceil(F.count("*") / block_docs).cast("int").alias("blocks")))
     near = materialise(near.join(blocks, "part").join(

@@ -1,3 +1,4 @@
+import random
 import re
 
 import numpy as np
@@ -5,7 +6,8 @@ import pytest
 
 from lakeloom.llm import ngram_join
 from lakeloom.llm.common import documents
-from corpora import corpus
+from lakeloom.session import materialise
+from corpora import corpus, prose
 
 
 def word_sets(text, words):
@@ -60,6 +62,49 @@ def test_search_finds_every_pair():
         assert {tuple(sorted(p)) for p in ngram_join.search(sets, percent, side)} == {p for p in want if side[p[0]] != side[p[1]]}
 
 
+def test_chains_equal_all_pairs_of_a_shingle(spark):
+    rng = np.random.default_rng(5)
+    for percent in (50, 85, 100):
+        rows = []
+        for i in range(400):
+            n = int(rng.integers(1, 60))
+            place = int(rng.integers(0, ngram_join.prefix_size(n, percent)))
+            rows.append((int(rng.integers(0, 60)), i, n, place))
+        got = ngram_join.chained(spark.createDataFrame(rows, "token long, row long, n int, place int"), percent).collect()
+        want, seen = list(range(len(rows))), list(range(len(rows)))
+
+        def root(parent, i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+        for t, i, m, p in rows:
+            for u, j, n, q in rows[:i]:
+                if t == u and (100 + percent) * min(m - p, n - q) >= percent * (m + n):
+                    want[root(want, i)] = root(want, j)
+        for r in got:
+            seen[root(seen, r.row)] = root(seen, r.hub)
+        chains = [{frozenset(i for i in range(len(rows)) if root(p, i) == k) for k in range(len(rows))} for p in (want, seen)]
+        assert chains[0] == chains[1]
+
+
+def test_passages_shared_by_chance_make_no_candidates(spark, stored, monkeypatch):
+    rng = random.Random(3)
+    passages = [prose(rng, 24) for _ in range(24)]
+    rows = [(i, " ".join(passages[(i + k) % 24] for k in (0, 2, 5))) for i in range(24)]
+    apart = prose(rng, 72)
+    rows += [(100, apart + " more"), (101, apart + " again")]
+    kept = []
+
+    def keep(df, purpose):
+        kept.append((purpose, materialise(df, purpose)))
+        return kept[-1][1]
+    monkeypatch.setattr(ngram_join, "materialise", keep)
+    got = ngram_join.similar_groups(documents(spark, stored(rows)), share=1).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in got), key=str) == brute(rows, 4, 85)
+    # The two alike, and a few that share a shingle over the border of two passages.
+    assert 2 <= [df for purpose, df in kept if purpose == "candidates"][-1].count() < 10
+
+
 def test_one_of_each_group_stays(spark, stored, clashing):
     rows = corpus(6, 20)
     docs = clashing(stored(rows))
