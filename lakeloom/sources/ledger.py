@@ -75,6 +75,11 @@ def _spots(h: str, filter_bits: int) -> list[Column]:
     return [F.xxhash64(F.col(h), F.lit(i)).bitwiseAND(F.lit(filter_bits - 1)) for i in range(PROBES)]
 
 
+def _crowded(run: Run, asked_keys: int) -> bool:
+    """Whether so many keys are asked for that a run is read whole instead of by its filters."""
+    return not run.filter_bits or asked_keys >> run.bits > ASKED_PER_BUCKET
+
+
 class KeyLedger:
     """Keys under ``path``: columns ``keys`` (text, hashed) and ``extra`` (text, kept beside them).
 
@@ -168,7 +173,7 @@ class KeyLedger:
     def open_buckets(self, hashed: DataFrame, runs: list[Run]) -> list[tuple[Run, list[int]]]:
         """For each run the buckets in which its filters leave one of the keys open; at most 4,096 a run."""
         asked_keys = hashed.count()
-        crowded = [r for r in runs if not r.filter_bits or asked_keys >> r.bits > ASKED_PER_BUCKET]
+        crowded = [r for r in runs if _crowded(r, asked_keys)]
         small = [(r, list(range(1 << r.bits))) for r in crowded]
         runs = [r for r in runs if r not in crowded]
         if not runs:
@@ -194,8 +199,14 @@ class KeyLedger:
 
     def known(self, df: DataFrame, without: str | None = None) -> DataFrame:
         """(*keys, *extra) of the ledger's entries with the keys of ``df``, apart from the run with the token ``without``."""
-        hashed = materialise(self.hashed(df).select("h", *self.keys).distinct(), "asked-keys")
-        runs = [r for r in self.state().runs if without is None or r.token != without]
+        return self._found(self.hashed(df), self._runs(without))
+
+    def _runs(self, without: str | None) -> list[Run]:
+        return [r for r in self.state().runs if without is None or r.token != without]
+
+    def _found(self, asked: DataFrame, runs: list[Run]) -> DataFrame:
+        """(*keys, *extra) of the entries of ``runs`` with the keys of ``asked``, which has h and the keys."""
+        hashed = materialise(asked.select("h", *self.keys).distinct(), "asked-keys")
         # Only these buckets are read.
         parts = [self._keys(run, buckets) for run, buckets in self.open_buckets(hashed, runs)]
         if not parts:
@@ -203,13 +214,30 @@ class KeyLedger:
         entries = reduce(lambda a, b: a.unionByName(b), parts)
         return entries.join(hashed, ["h", *self.keys], "left_semi").select(*self.keys, *self.extra).distinct()
 
-    def exclude(self, df: DataFrame, by: list[str] | None = None, without: str | None = None) -> DataFrame:
+    def exclude(self, df: DataFrame, by: list[str] | None = None, without: str | None = None,
+                asked: DataFrame | None = None) -> DataFrame:
         """The rows of ``df`` whose ``by`` (keys, and perhaps extra columns) the ledger does not hold.
 
         An extra column that is not noted for a key counts as any value.
+        Where ``df`` is dealt by its keys already, ``asked`` is a stored table
+        with the same keys: runs that they crowd are then compared with ``df``
+        as they are, and only of the others are the entries looked up first.
         """
         by = list(by or self.keys)
-        known = self.known(df, without).select(*[F.col(c).alias(f"_known_{c}") for c in [*self.keys, *self.extra]])
+        runs = self._runs(without)
+        if not runs:
+            return df
+        hashed, crowded = self.hashed(df if asked is None else asked), []
+        if asked is not None:
+            # An estimate will do: it chooses the way, not the rows.
+            number = hashed.agg(F.approx_count_distinct("h")).first()[0]
+            crowded = [r for r in runs if _crowded(r, number)]
+        parts = [self._keys(r).drop("h") for r in crowded]
+        others = [r for r in runs if r not in crowded]
+        if others:
+            parts.append(self._found(hashed, others))
+        entries = reduce(lambda a, b: a.unionByName(b), parts)
+        known = entries.select(*[F.col(c).alias(f"_known_{c}") for c in [*self.keys, *self.extra]])
         same = [self._text(c) == F.col(f"_known_{c}") for c in self.keys]
         same += [F.col(f"_known_{c}").isNull() | (F.col(c).cast("string") == F.col(f"_known_{c}")) for c in by if c in self.extra]
         return df.join(known, reduce(lambda a, b: a & b, same), "left_anti")

@@ -108,7 +108,7 @@ def append_settled(batch: DataFrame, path: str, key: str, time: str, delay: str,
     side = rows.where("_late").select(*batch.columns)
     append_batch(side, f"{path}_late", token)
     first = keep_first(rows, [key], F.struct("_late", "_place"))
-    new = materialise(ledger.exclude(first, without=token), "settled")
+    new = materialise(ledger.exclude(first, without=token, asked=rows), "settled")
     append_batch(new.select(*batch.columns), path, token, key)
     high, late = rows.agg(F.date_format(F.max(when), "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.count_if("_late")).first()
     tokens = {**note["tokens"], token: [late, new.where("_late").count()]}

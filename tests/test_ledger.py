@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.session import delete_path
+from lakeloom.session import delete_path, materialise
 from lakeloom.sources import ledger as L
 from lakeloom.sources import readers as R
 from lakeloom.sources import writers as W
@@ -120,3 +120,39 @@ def test_a_large_batch_asks_no_filter(spark, tmp_path, monkeypatch):
     delete_path(spark, f"{tmp_path}/keys/runs/{run.name}/filters")
     many = spark.range(300, 700).select(F.col("id").cast("string").alias("k"))
     assert sorted(r.k for r in ledger.exclude(many).collect()) == [str(i) for i in range(500, 700)]
+
+
+def test_a_large_settled_batch_looks_up_no_entries(spark, tmp_path, monkeypatch):
+    """Its rows are dealt by key already, so whole runs are compared with them; the keys are not stored and joined before."""
+    monkeypatch.setattr(L, "UNFILTERED", 10)
+    monkeypatch.setattr(L, "ASKED_PER_BUCKET", 50)
+    stored = []
+    monkeypatch.setattr(L, "materialise", lambda df, purpose: stored.append(purpose) or materialise(df, purpose))
+    path = str(tmp_path / "s")
+    rows = lambda a, b, more="": spark.range(a, b).selectExpr("cast(id as string) as id", f"'2024-01-0{1 + (a > 0)} 10:00:00{more}' as ts")
+    I.append_settled(rows(0, 500), path, "id", "ts", "1 HOUR", "t0")
+    I.append_settled(rows(300, 700).union(rows(300, 700, ".5")), path, "id", "ts", "1 HOUR", "t1")
+    assert "asked-keys" not in stored
+    # A few keys are still looked up through the filters.
+    few = rows(690, 710).unionByName(spark.createDataFrame([(None, "2024-01-03 10:00:00")], "id string, ts string"))
+    I.append_settled(few, path, "id", "ts", "1 HOUR", "t2")
+    I.append_settled(few, path, "id", "ts", "1 HOUR", "t2")
+    assert stored.count("asked-keys") == 2
+    back = R.read_text_table(spark, path, ["id", "ts"], keep_order=True)
+    found = sorted((r.run, r.id or "") for r in back.selectExpr("id", "int(regexp_extract(_order.folder, 'batch-0*([0-9]+)-', 1)) as run").collect())
+    assert found == sorted([*((1, str(i)) for i in range(500)), *((2, str(i)) for i in range(500, 700)),
+                            *((3, str(i)) for i in range(700, 710)), (3, "")])
+
+
+def test_crowded_and_filtered_runs_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(L, "UNFILTERED", 50)
+    book = L.KeyLedger(spark, str(tmp_path / "l"), ["id"], ["media_type"], numbers=True)
+    book.append(frame(spark, [str(i) for i in range(300)], "movie"), "a")
+    book.append(frame(spark, ["400", "401"]), "b")
+    assert [bool(r.filter_bits) for r in book.state().runs] == [True, False]
+    asked = spark.createDataFrame([("07", "movie"), ("7", "tv"), ("400", "tv"), ("x", "tv"), (None, "tv")], "id string, media_type string")
+    for given in (None, asked):
+        assert sorted((r.id or "", r.media_type) for r in book.exclude(asked, asked=given).collect()) == [("", "tv"), ("x", "tv")]
+        left = book.exclude(asked, ["media_type", "id"], asked=given).collect()
+        assert sorted((r.id or "", r.media_type) for r in left) == [("", "tv"), ("7", "tv"), ("x", "tv")]
+        assert sorted(r.id for r in book.exclude(asked.dropna(), without="b", asked=given).collect()) == ["400", "x"]
