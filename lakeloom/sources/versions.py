@@ -11,9 +11,11 @@ one wins without harming the other.
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.session import delete_path
@@ -21,6 +23,8 @@ from lakeloom.sources.readers import MissingInput
 
 #: Versions that stay for readers that are still open, the current one included.
 KEEP = 3
+# A local file system looks for a file before it creates it, so the writers of one process take turns.
+_CLAIMING = threading.Lock()
 
 
 @dataclass(frozen=True)
@@ -81,11 +85,17 @@ def new_folder(path: str) -> str:
 def _claim(spark: SparkSession, path: str) -> int:
     """A number above all others that this writer alone has."""
     while True:
-        taken = _numbers(spark, f"{path}/claims") + _numbers(spark, f"{path}/pointers")
-        number = max(taken, default=0) + 1
-        files, file = _files(spark, f"{path}/claims/{number:012d}")
-        if files.createNewFile(file):
-            return number
+        with _CLAIMING:
+            taken = _numbers(spark, f"{path}/claims") + _numbers(spark, f"{path}/pointers")
+            number = max(taken, default=0) + 1
+            files, file = _files(spark, f"{path}/claims/{number:012d}")
+            try:
+                if files.createNewFile(file):
+                    return number
+            except Py4JJavaError as error:
+                # Another process made the file between the look and the creation.
+                if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+                    raise
 
 
 def publish(spark: SparkSession, path: str, folder: str, note: dict | None = None, keep: int = KEEP) -> Version:

@@ -45,3 +45,24 @@ def test_writers_at_once_get_numbers_of_their_own(spark, tmp_path):
     assert V.current(spark, path) == last and V.read_version(spark, path).count() == last.note["rows"]
     with pytest.raises(ValueError):
         V.retire(spark, path, 0)
+
+
+def test_a_number_lost_while_it_is_claimed_is_left_to_its_writer(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    assert V._claim(spark, path) == 1
+    numbers, files_of, early = V._numbers, V._files, [[], []]
+
+    class Late:
+        """A file system on which another writer's file appears after the look."""
+
+        def __init__(self, files):
+            self.files = files
+
+        def createNewFile(self, file):
+            self.files.create(file, False).close()
+            return True
+
+    monkeypatch.setattr(V, "_numbers", lambda *at: early.pop() if early else numbers(*at))
+    with monkeypatch.context() as m:
+        m.setattr(V, "_files", lambda *at: (Late(files_of(*at)[0]), files_of(*at)[1]) if at[1].endswith("1") else files_of(*at))
+        assert V._claim(spark, path) == 2
